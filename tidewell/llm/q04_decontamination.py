@@ -25,9 +25,9 @@ WITH d AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS ws FROM document
 b AS (SELECT item_id, {WORDS} AS ws FROM benchmark),
 bw AS (SELECT DISTINCT item_id, least(len(ws), 10) AS n, array_to_string(ws[i : i + least(len(ws), 10) - 1], ' ') AS w
        FROM (SELECT item_id, ws, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) AS i FROM b WHERE len(ws) > 0)),
-p AS (SELECT r, ws, unnest(range(1, len(ws) + 1)) AS i FROM d),
-m AS (SELECT p.r, p.i, k.n, bw.item_id FROM p, (SELECT DISTINCT n FROM bw) k JOIN bw ON bw.n = k.n
-      WHERE p.i + k.n - 1 <= len(p.ws) AND array_to_string(p.ws[p.i : p.i + k.n - 1], ' ') = bw.w),
+p AS (SELECT r, n, unnest(list_transform(range(1, len(ws) - n + 2), lambda i: {{'i': i, 'w': array_to_string(ws[i : i + n - 1], ' ')}})) AS x
+      FROM d, (SELECT DISTINCT n FROM bw) k WHERE len(ws) >= n),
+m AS (SELECT p.r, x.i AS i, p.n, bw.item_id FROM p JOIN bw ON bw.n = p.n AND bw.w = x.w),
 h AS (SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS j FROM m) GROUP BY r),
 it AS (SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM m GROUP BY r)
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
