@@ -1,11 +1,78 @@
-"""The corpus pipeline: stages that each work on all the documents their predecessor kept."""
+"""The corpus pipeline: stages that each work on all the documents their predecessor kept.
 
-STAGES = []
+Quality rules, SimHash near-dedup, benchmark decontamination, personal data, BPE coding. Every stage but
+the last returns the columns of its documents; the last adds n_tokens, ids and decoded.
+
+Defined results for odd input: null texts are rejected by the quality rules; rows without an id are
+deduplicated by equal texts alone; of rows with one id one stays; repeated rows leave one; empty
+tables give empty tables.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewell.llm.bpe import encode_documents
+from tidewell.llm.common import read_table, settle
+from tidewell.llm.decontamination import drop_contaminated
+from tidewell.llm.pii import redact
+from tidewell.llm.q06_bpe import vocabulary
+from tidewell.llm.quality_rules import clean_documents
+from tidewell.llm.simhash import near_duplicates
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that the rules reject; the others go on without their failing lines."""
+    return clean_documents(docs)
+
+
+def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays, that of the least id.
+
+    A row stays if its id and text are those of the group's representative; of rows alike in both, one.
+    """
+    found = near_duplicates(docs.select("doc_id", "text"))
+    groups = found.groupBy("component").agg(F.min(F.struct("id", "fp")).alias("kept"))
+    kept = settle(groups.select(F.col("kept.id").alias("__id")).filter("__id IS NOT NULL"), "kept-ids")
+    named = docs.join(kept, docs["doc_id"] == kept["__id"], "left_semi")
+    nameless = docs.filter("doc_id IS NULL").dropDuplicates(["text"])
+    return named.dropDuplicates(["doc_id"]).unionByName(nameless)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents in which a window of a benchmark item occurs."""
+    return drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Puts the kind in brackets in place of personal data."""
+    return redact(docs)
+
+
+def bpe_coding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Adds n_tokens, the packed ids and the text that they decode to."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    coded = encode_documents(docs.select(row.alias("__row"), F.col("text").alias("__text")), *vocabulary(), "__row", "__text", decode=True)
+    return coded.select("id.*", "n_tokens", "ids", "decoded")
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("SimHash near-dedup", simhash_dedup),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("PII", personal_data),
+    ("BPE encoding and decoding", bpe_coding),
+]
+#: Positions, spans and tokens can't be said in SQL; the tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents, each one's result written and read again."""
+    docs = read_table(spark, sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = settle(docs, f"stage-{k}")
     return docs
