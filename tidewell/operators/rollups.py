@@ -8,12 +8,10 @@ from pyspark.sql import functions as F
 
 def dashboard(rows: DataFrame, day: str, batch: str, metrics: dict[str, Column]) -> DataFrame:
     """One vector of metrics in total, per day and per batch. One scan: grouping sets of partial sums."""
-    cols = [F.sum(m.cast("bigint")).alias(k) for k, m in metrics.items()]
     flat = rows.select(F.col(day).alias("day"), F.col(batch).alias("batch"), *[m.alias(k) for k, m in metrics.items()])
     grouped = flat.groupingSets([[], [F.col("day")], [F.col("batch")]], F.col("day"), F.col("batch"))
     sums = [F.sum(F.col(k).cast("bigint")).alias(k) for k in metrics]
     level = F.when((F.grouping("day") == 1) & (F.grouping("batch") == 1), "total").when(F.grouping("batch") == 1, "day").otherwise("batch")
-    del cols
     return grouped.agg(level.alias("level"), *sums)
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import calls_queries, matching_queries
+from . import calls_queries, matching_queries, report_queries
 
-GROUPS = [calls_queries, matching_queries]
+GROUPS = [calls_queries, matching_queries, report_queries]
 
 
 def queries() -> dict:
