@@ -1,10 +1,11 @@
 """Benchmark decontamination over a distributed positional inverted index (DataFrame functions only).
 
-The index holds a posting (term, document, place) for every occurrence of a benchmark term in the
-documents. Of every window of a benchmark item the two rarest terms are chosen by their counts over all
-documents. The posting lists of the rarest are shifted by the term's place in its item, which gives the
-alignments (document, item, shift) at which the item may occur; those that the shifted lists of the
-second rarest don't share are gone. What is left is compared word by word with the document.
+The index holds a posting (term, document, place, hash of the next word) for every occurrence of a
+benchmark term in the documents. Of every window of a benchmark item the two rarest terms are chosen by
+their counts over all documents, the window's last word aside. The posting lists of the rarest, less the
+postings whose next word is another than the item's, are shifted by the term's place in its item, which
+gives the alignments (document, item, shift) at which the item may occur; those that the shifted lists of
+the second rarest don't share are gone. What is left is compared word by word with the document.
 
 A document is known by its id and the hash of its text, so repeated ids don't mix.
 
@@ -46,45 +47,51 @@ def documents_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def item_tokens(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """item (a key of the row), item_id, n, ipos and term: a row for each word of each distinct item."""
+    """item (a key of the row), item_id, n, ipos, term and nxt: a row for each word of each distinct item."""
     items = benchmark.select(F.col(f"`{id_col}`").alias("item_id"), F.col(f"`{text_col}`").alias("text")).distinct()
-    words = items.select(F.xxhash64("item_id", "text").alias("item"), "item_id", raw_words(F.col("text")).alias("w"))
-    tokens = words.select("item", "item_id", F.size("w").alias("n"), F.posexplode("w").alias("ipos", "term"))
-    return tokens.withColumn("term", lower_ascii(F.col("term")))
+    words = items.select(F.xxhash64("item_id", "text").alias("item"), "item_id", F.size(raw_words(F.col("text"))).alias("n"), F.posexplode(_with_next(F.col("text"))).alias("ipos", "x"))
+    return words.select("item", "item_id", "n", "ipos", lower_ascii(F.col("x.word")).alias("term"), F.hash(lower_ascii(F.col("x.next"))).alias("nxt"))
+
+
+def _with_next(text: Column) -> Column:
+    """The words of text, each with the one after it."""
+    return let(raw_words(text), lambda w: F.transform(w, lambda x, i: F.struct(x.alias("word"), F.get(w, i + 1).alias("next"))))
 
 
 def build_index(docs: DataFrame, terms: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Postings term, id, h, pos: of all words, or of those in the column term of terms; written to a table."""
-    words = documents_of(docs, id_col, text_col).filter(F.col("text").isNotNull()).select("id", "h", raw_words(F.col("text")).alias("w"))
-    postings = words.select("id", "h", F.posexplode("w").alias("pos", "term")).withColumn("term", lower_ascii(F.col("term")))
+    """Postings term, id, h, pos, nxt: of all words, or of those in the column term of terms; written to a table."""
+    words = documents_of(docs, id_col, text_col).filter(F.col("text").isNotNull()).select("id", "h", F.posexplode(_with_next(F.col("text"))).alias("pos", "x"))
+    postings = words.select("id", "h", "pos", lower_ascii(F.col("x.word")).alias("term"), F.col("x.next").alias("next"))
     if terms is not None:
         postings = postings.join(_small(terms, terms.count()), "term", "left_semi")
-    return settle(postings, "postings")
+    return settle(postings.select("term", "id", "h", "pos", F.hash(lower_ascii(F.col("next"))).alias("nxt")), "postings")
 
 
 def alignments(index: DataFrame, tokens: DataFrame, window: int = 10) -> DataFrame:
     """id, h, item, shift where the two rarest terms of a window stand in their places.
 
-    A window of one word has one list. The lists of common words are never read as lists.
+    Items of one or two words have one list. The lists of common words are never read as lists.
     """
     seen = index.groupBy("term").agg(F.count("*").alias("df"))
-    counted = settle(tokens.select("item", "n", "ipos", "term").join(seen, "term", "left").fillna(0, ["df"]), "item-tokens")
+    counted = settle(tokens.select("item", "n", "ipos", "term", "nxt").join(seen, "term", "left").fillna(0, ["df"]), "item-tokens")
     length = F.least(F.col("n"), F.lit(window))
     starts = F.explode(F.sequence(F.greatest(F.lit(0), F.col("ipos") - length + 1), F.least(F.col("ipos"), F.col("n") - length)))
-    in_window = counted.select("item", "ipos", "term", "df", starts.alias("start"))
+    in_window = counted.select("item", "n", "ipos", "term", "nxt", "df", length.alias("length"), starts.alias("start"))
+    in_window = in_window.withColumn("least", F.min("df").over(Window.partitionBy("item", "start"))).filter("least > 0 AND (length = 1 OR ipos < start + length - 1)")
     order = Window.partitionBy("item", "start").orderBy("df", "ipos")
-    ranked = in_window.withColumn("rank", F.row_number().over(order)).withColumn("least", F.min("df").over(Window.partitionBy("item", "start"))).filter("rank <= 2 AND least > 0")
+    ranked = in_window.withColumn("rank", F.row_number().over(order)).filter("rank <= 2")
     ranked = settle(ranked, "item-windows")
 
     def lists(rank: int) -> DataFrame:
-        rare = settle(ranked.filter(F.col("rank") == rank).select("term", "item", "ipos").distinct(), "item-rare")
-        found = index.join(_small(rare, rare.count()), "term")
+        rare = ranked.filter(F.col("rank") == rank).select("term", "item", "ipos", F.col("nxt").alias("want"), (F.col("n") == 1).alias("alone")).distinct()
+        rare = settle(rare, "item-rare")
+        found = index.join(_small(rare, rare.count()), "term").filter(F.col("alone") | (F.col("nxt") == F.col("want")))
         return found.select("id", "h", "item", "ipos", (F.col("pos") - F.col("ipos")).alias("shift"))
 
     first = settle(lists(1).select("id", "h", "item", "shift").distinct(), "alignments")
     second = lists(2).select("id", "h", "item", "shift")
     same = lambda a, b: (a["id"].eqNullSafe(b["id"])) & (a["h"] == b["h"]) & (a["item"] == b["item"]) & (a["shift"] == b["shift"])
-    short = tokens.filter("n = 1").select("item").distinct()
+    short = tokens.filter("n <= 2").select("item").distinct()
     both = second.join(_small(first, first.count()), same(second, first), "left_semi").distinct()
     return both.union(first.join(short, "item", "left_semi").select("id", "h", "item", "shift")).distinct()
 

@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import settle
+
 
 def length_table(lengths: DataFrame, length_col: str = "n_tokens", span: int = 1024) -> DataFrame:
     """One row per encoded length, with suffix sums.
@@ -25,6 +27,7 @@ def length_table(lengths: DataFrame, length_col: str = "n_tokens", span: int = 1
     total_tokens and total_docs of the corpus.
     """
     counts = lengths.groupBy(F.col(length_col).cast("bigint").alias("n_tokens")).agg(F.count("*").alias("n_docs")).withColumn("part", F.floor(F.col("n_tokens") / span))
+    counts = settle(counts, "lengths")  # read twice: else the documents would be encoded twice
     parts = counts.groupBy("part").agg(F.sum("n_docs").alias("d"), F.sum(F.col("n_docs") * F.col("n_tokens")).alias("t"))
     after = Window.orderBy(F.col("part").desc()).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy()
