@@ -6,7 +6,7 @@ less that with the toxic one. A document is scored by how many of its windows pa
 logistic calibration on labelled documents that the dictionaries have not seen.
 
 The toxic dictionary learns from those beginnings of words in toxic documents that are far more frequent
-there than in ordinary ones (a likelihood ratio over documents, near copies counted once); the rest of
+there than in ordinary ones (a likelihood ratio over families of near copies, each counted once); the rest of
 toxic documents is ordinary text and would only blur the distance.
 
 The model is fitted on at most ``max_rows`` labelled rows (8,000 by default), which the driver reads.
@@ -51,33 +51,55 @@ def segments(words: list[bytes], low: int = 5, high: int = 14) -> set[bytes]:
     return out
 
 
-def telling_segments(texts: list[str], labels: np.ndarray, least: int = 5, ratio: float = 6.0, gain: float = 30.0) -> tuple[Counter, Counter]:
-    """Documents by segment: of toxic documents for telling segments, and of ordinary ones for a sample of the others."""
-    toxic, ordinary, seen = Counter(), Counter(), set()
-    n = [0, 0]
-    first: list[int] = []
-    for k, (text, y) in enumerate(zip(texts, labels, strict=True)):
-        ws = words_of(text)
-        long = [w for w in ws if len(w) > 6]
-        mark = (int(y), min(map(zlib.crc32, long), default=0), min((zlib.crc32(b"x" + w) for w in long), default=0))
-        if mark in seen:
-            continue
-        seen.add(mark)
-        n[int(y)] += 1
-        first.append(k)
-        if y:
-            toxic.update(segments(ws))
-    toxic = Counter({s: c for s, c in toxic.items() if c >= least})
-    for k in first:
-        if not labels[k]:
-            ordinary.update(s for s in segments(words_of(texts[k])) if s in toxic)
+def families(texts: list[str], bands: int = 8, rows: int = 3) -> list[int]:
+    """A number for each text, the same for near copies: texts meet if a band of least hashes of their long words agrees."""
+    top = list(range(len(texts)))
+
+    def root(k: int) -> int:
+        while top[k] != k:
+            top[k] = top[top[k]]
+            k = top[k]
+        return k
+
+    rnd = np.random.default_rng(1)
+    factors = rnd.integers(1, 1 << 63, bands * rows, dtype=np.uint64) | np.uint64(1)
+    met: dict[tuple, int] = {}
+    for k, ws in enumerate(map(words_of, texts)):
+        long = {w for w in ws if len(w) > 6}
+        hashes = np.fromiter(map(zlib.crc32, long or {b" ".join(ws)}), np.uint64)
+        mixed = hashes[:, None] * factors
+        least = (mixed ^ (mixed >> np.uint64(29))).min(axis=0).reshape(bands, rows)
+        for b in range(bands):
+            first = met.setdefault((b, *least[b].tolist()), k)
+            top[root(k)] = root(first)
+    return [root(k) for k in range(len(texts))]
+
+
+def telling_segments(texts: list[str], labels: np.ndarray, least: int = 5, ratio: float = 6.0, gain: float = 30.0) -> Counter:
+    """The telling segments, each with the number of its families of toxic documents."""
+    members: dict[tuple[int, int], list[int]] = {}
+    for k, (f, y) in enumerate(zip(families(texts), labels, strict=True)):
+        members.setdefault((int(y), f), []).append(k)
+    n = [sum(y == label for y, _ in members) for label in (0, 1)]
+
+    def count(label: int, known: Counter | None) -> Counter:
+        out: Counter = Counter()
+        for (y, _), ks in members.items():
+            if y == label:
+                found = set().union(*(segments(words_of(texts[k])) for k in ks))
+                out.update(found if known is None else found & known.keys())
+        return out
+
+    toxic = Counter({s: c for s, c in count(1, None).items() if c >= least})
+    ordinary = count(0, toxic)
     telling = Counter()
+    share = n[1] / max(n[0] + n[1], 1)
     for s, c in toxic.items():
-        o, share = ordinary[s], n[1] / max(n[0] + n[1], 1)
+        o = ordinary[s]
         g = 2 * c * math.log(c / ((c + o) * share)) + (2 * o * math.log(o / ((c + o) * (1 - share))) if o else 0)
         if g >= gain and c / n[1] >= ratio * (o + 0.5) / max(n[0], 1):
             telling[s] = c
-    return telling, ordinary
+    return telling
 
 
 def train_dictionary(samples: list[bytes], size: int, whole: list[bytes] = ()) -> bytes:
@@ -150,9 +172,9 @@ class Model:
 
 
 def _dictionaries(texts: list[str], labels: np.ndarray, seed: int) -> tuple[bytes, bytes]:
-    telling, _ = telling_segments(texts, labels)
+    telling = telling_segments(texts, labels)
     if not telling:
-        telling, _ = telling_segments(texts, labels, least=1, ratio=3.0, gain=0.0)  # few labels
+        telling = telling_segments(texts, labels, least=1, ratio=3.0, gain=0.0)  # few labels
     rnd = random.Random(seed)
     toxic = [s for s, c in sorted(telling.items()) for _ in range(c)]
     rnd.shuffle(toxic)
