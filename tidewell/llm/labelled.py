@@ -8,15 +8,16 @@ from pyspark.sql import functions as F
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, usable: Column, max_rows: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, label and text of at most max_rows labelled rows, those of least hash of the id.
+    """id, label and text of the documents of at most max_rows labelled ids, those of least hash of the id.
 
     usable is a condition on the column id. Rows without id or label are left out; of several labels of
-    an id the largest holds. The chosen ids, max_rows at most, are broadcast; texts are not shuffled.
+    an id the largest holds. The chosen ids, max_rows at most, are broadcast; texts are not shuffled. As
+    ids may repeat among the documents, whoever gathers the sample limits it to max_rows once more.
     """
     known = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("label")).filter(F.col("id").isNotNull() & F.col("label").isNotNull() & usable)
     chosen = known.groupBy("id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("id"), "id").limit(max_rows)
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(chosen), "id").limit(max_rows)
+    return texts.join(F.broadcast(chosen), "id")
 
 
 def fold(column: str, n: int) -> Column:

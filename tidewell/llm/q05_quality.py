@@ -14,7 +14,7 @@ FOLDS, HELD_OUT, MAX_ROWS = 4, 2, 20_000
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     sample = labelled_sample(docs, read_table(spark, sf_dir, "labels"), "quality", fold("id", FOLDS) != HELD_OUT, MAX_ROWS)
-    rows = measure(sample, "id", "text", ("label",)).toArrow().sort_by("id")
+    rows = measure(sample, "id", "text", ("label",)).limit(MAX_ROWS).toArrow().sort_by("id")
     x = np.array(rows["features"].to_pylist(), float).reshape(-1, len(FEATURES))
     trees = fit(x, np.array(rows["label"].to_pylist(), float))
     scored = score_documents(docs, trees)
