@@ -1,6 +1,8 @@
 import random
 import re
 
+import pytest
+
 from tidewell.llm import decontamination as dc
 
 
@@ -26,7 +28,11 @@ def brute(docs, items):
     return sorted(out, key=repr)
 
 
-def test_matches_brute_force(spark):
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_matches_brute_force(spark, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(dc, "BROADCAST_ROWS", -1)
+        monkeypatch.setattr(dc, "BROADCAST_ALIGNED", -1)
     rnd = random.Random(2)
     vocab = ["the", "of", "Élan", "a1", "x", "yy", "zz", "Q", "w9"]
     say = lambda n: " ".join(rnd.choice(vocab) for _ in range(n))
