@@ -32,7 +32,6 @@ def brute(docs, items):
 def test_matches_brute_force(spark, monkeypatch, broadcast):
     if not broadcast:
         monkeypatch.setattr(dc, "BROADCAST_ROWS", -1)
-        monkeypatch.setattr(dc, "BROADCAST_ALIGNED", -1)
     rnd = random.Random(2)
     vocab = ["the", "of", "Élan", "a1", "x", "yy", "zz", "Q", "w9"]
     say = lambda n: " ".join(rnd.choice(vocab) for _ in range(n))

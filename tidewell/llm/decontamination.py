@@ -24,9 +24,8 @@ from .common import let, settle
 
 NO_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Tables of so many rows at most are broadcast; larger ones are joined by a shuffle. The rows are narrow,
-#: but for the aligned documents, which hold the words of their items.
-BROADCAST_ROWS, BROADCAST_ALIGNED = 100_000, 10_000
+#: Narrow tables (keys and numbers) of so many rows at most are broadcast; larger ones are joined by a shuffle.
+BROADCAST_ROWS = 100_000
 
 
 def lower_ascii(word: Column) -> Column:
@@ -39,8 +38,8 @@ def raw_words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), NO_WORD), lambda w: w != "")
 
 
-def _small(df: DataFrame, rows: int, most: int | None = None) -> DataFrame:
-    return F.broadcast(df) if rows <= (BROADCAST_ROWS if most is None else most) else df
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
 def documents_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -115,9 +114,12 @@ def exact_matches(docs: DataFrame, index: DataFrame, tokens: DataFrame, id_col:
     items = tokens.groupBy("item", F.col("item_id").cast("string").alias("item_id")).agg(by_place.alias("item_words"))
     found = alignments(index, tokens, window).join(items, "item")
     per_doc = settle(found.groupBy("id", "h").agg(F.collect_list(F.struct("item_id", "item_words", "shift")).alias("found")), "aligned")
-    aligned = _small(per_doc.withColumnRenamed("id", "__id").withColumnRenamed("h", "__h"), per_doc.count(), BROADCAST_ALIGNED)
+    aligned = per_doc.withColumnRenamed("id", "__id").withColumnRenamed("h", "__h")
+    same = lambda a, b: a["id"].eqNullSafe(b["__id"]) & (a["h"] == b["__h"])
     texts = documents_of(docs, id_col, text_col)
-    joined = texts.join(aligned, texts["id"].eqNullSafe(aligned["__id"]) & (texts["h"] == aligned["__h"]))
+    keys = _small(aligned.select("__id", "__h"), aligned.count())
+    few = texts.join(keys, same(texts, keys), "left_semi")  # the other texts are never shuffled with the items' words
+    joined = few.join(aligned, same(few, aligned))
     words = F.transform(raw_words(F.col("text")), lower_ascii)
     checked = let(words, lambda w: F.transform(F.col("found"), lambda x: F.struct(x["item_id"].alias("item_id"), _hits(w, x["item_words"], x["shift"], window).alias("places"))))
     hits = joined.select("id", "h", F.filter(checked, lambda x: F.size(x["places"]) > 0).alias("hits")).filter(F.size("hits") > 0)
