@@ -1,6 +1,6 @@
 """The corpus pipeline: stages that each work on all the documents their predecessor kept.
 
-Quality rules, SimHash near-dedup, benchmark decontamination, personal data, BPE coding. Every stage but
+Quality rules, near-dedup by shingles of five words, benchmark decontamination, personal data, BPE coding. Every stage but
 the last returns the columns of its documents; the last adds n_tokens, ids and decoded.
 
 Defined results for odd input: null texts are rejected by the quality rules; rows without an id are
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidewell.llm.bpe import encode_documents
 from tidewell.llm.common import read_table, settle
 from tidewell.llm.decontamination import drop_contaminated
+from tidewell.llm.near_copies import node_of, representatives
 from tidewell.llm.pii import redact
 from tidewell.llm.q06_bpe import vocabulary
 from tidewell.llm.quality_rules import clean_documents
@@ -28,7 +29,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, that of the least id.
+    """One document of each group of operator 1 (three words, two bits) stays, that of the least id; no stage of run().
 
     A row stays if its id and text are those of the group's representative; of rows alike in both, one.
     """
@@ -40,6 +41,14 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return named.dropDuplicates(["doc_id"]).unionByName(nameless)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies (five words, similarity of 0.8 or more) stays, that of the least id."""
+    kept = representatives(docs).select(F.col("id").alias("__id"), F.col("node").alias("__node"))
+    named = docs.join(kept, (docs["doc_id"] == kept["__id"]) & (node_of("text") == kept["__node"]), "left_semi")
+    nameless = docs.filter("doc_id IS NULL").dropDuplicates(["text"])
+    return named.dropDuplicates(["doc_id"]).unionByName(nameless)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents in which a window of a benchmark item occurs."""
     return drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
@@ -59,7 +68,7 @@ def bpe_coding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality rules", quality_rules),
-    ("SimHash near-dedup", simhash_dedup),
+    ("near-dedup", near_dedup),
     ("benchmark decontamination", benchmark_decontamination),
     ("PII", personal_data),
     ("BPE encoding and decoding", bpe_coding),
