@@ -39,3 +39,15 @@ def test_tables_articles(spark):
 
 def test_empty_table(spark):
     assert html_text.main_text(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def test_text_beside_the_largest_container(spark):
+    """A headline and lead outside of the body's container, and sibling containers, stay; page by page."""
+    rows = [(k, f"http://e.org/{k}", f"<body><article><h1>Head {k}</h1><p>Lead {k}</p><div class=entry><p>{f'Body {k} ' * 20}</p></div></article></body>") for k in range(5)]
+    rows += [(10 + k, f"http://f.org/{k}", f"<body><div class=one><p>{f'first {k} ' * 6}</p></div><div class=two><p>{f'other {k} ' * 4}</p></div></body>") for k in range(5)]
+    rows += [(20 + k, f"http://g.org/{k}", f"<body><article><p>{f'text {k} ' * (200 if k else 1)}</p></article><div class=rest><p>{f'rest {k} ' * 9}</p></div></body>") for k in range(5)]
+    got = {r["id"]: r["text"] for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in range(5):
+        assert got[k] == f"Head {k}\n\nLead {k}\n\n" + (f"Body {k} " * 20).strip()
+        assert got[10 + k] == (f"first {k} " * 6).strip() + "\n\n" + (f"other {k} " * 4).strip()
+        assert ("rest" in got[20 + k]) == (k == 0) and f"text {k}" in got[20 + k]

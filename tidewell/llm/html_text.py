@@ -4,8 +4,10 @@ Pages are parsed into tokens: opened containers, known by their path, and blocks
 of a host each token has an occurrence vector, the number of times that it stands in every page. Tokens
 with equal vectors form an equivalence class. Classes of two or more tokens that stand in half of the
 host's pages are valid; nested by the paths of their containers they are the host's template. The slot
-for the article is the deepest container of the template, once a page, that holds most of the text. What
-stands in that slot remains, except containers that are no article by their element or their names.
+for the article is the template's topmost article or main element, if it stands once a page; nothing below
+it is chosen, nor any other container, so no text beside a body container is lost. On each page on which
+the slot holds half of what is not template, what stands in it remains; on others all does. Containers that
+are no article by their element or their names never remain.
 Blocks outside of an article or main element that repeat over half of the host's pages belong to the
 template as well.
 
@@ -157,14 +159,9 @@ def deduce(parsed: DataFrame, share: float = 0.5) -> DataFrame:
     classes = frequent.groupBy("host", "pages", "total", "x", "s").agg(F.count("*").alias("tokens"), F.sum(F.col("block").isNull().cast("int")).alias("open"))
     template = frequent.join(classes.filter("tokens >= 2"), ["host", "pages", "total", "x", "s"])
     fixed = frequent.filter("block IS NOT NULL AND pages >= 3").groupBy("host").agg(F.collect_set("block").alias("fixed"))
-    once = template.filter("block IS NULL AND pages = total").select("host", "path")
-    held = parsed.select("host", F.explode(F.filter("blocks", lambda b: ~b["out"])).alias("b")).groupBy("host", "b.path").agg(F.sum(F.char_length("b.text")).alias("chars"))
-    held = settle(held, "html-held")
-    total = held.groupBy("host").agg(F.sum("chars").alias("all_chars"))
-    above = F.transform(F.sequence(F.lit(2), F.size(F.split("path", "/"))), lambda k: F.array_join(F.slice(F.split("path", "/"), 1, k), "/"))
-    within = held.filter("path <> ''").select("host", "chars", F.explode(above).alias("path")).groupBy("host", "path").agg(F.sum("chars").alias("chars"))
-    fitting = within.join(once, ["host", "path"]).join(total, "host").filter(F.col("chars") >= share * F.col("all_chars"))
-    best = fitting.groupBy("host").agg(F.max_by("path", F.struct(F.size(F.split("path", "/")), "chars", "path")).alias("slot"))
+    top = r"^(?:/(?!(?:article|main)(?:[./]|$))[^/]+)*/(?:article|main)(?:\.[^/]*)?$"
+    once = template.filter("block IS NULL AND pages = total").filter(F.col("path").rlike(top))
+    best = once.groupBy("host").agg(F.max_by("path", F.struct("pages", "path")).alias("slot"))
     return sizes.select("host").join(best, "host", "left").join(fixed, "host", "left")
 
 
@@ -177,7 +174,9 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     inside = lambda b: (b["path"] == F.col("slot")) | b["path"].startswith(F.concat("slot", F.lit("/")))
     article = lambda b: b["path"].rlike(r"/(?:article|main)\b")
     new = lambda b: article(b) | F.col("fixed").isNull() | ~F.array_contains("fixed", F.xxhash64(b["path"], b["text"]))
-    left = F.filter("blocks", lambda b: ~b["out"])
-    in_slot = F.filter(left, lambda b: F.coalesce(inside(b), F.lit(False)))
-    kept = F.filter(F.when(F.size(in_slot) > 0, in_slot).otherwise(left), lambda b: F.coalesce(new(b), F.lit(True)))
+    left = F.filter(F.filter("blocks", lambda b: ~b["out"]), lambda b: F.coalesce(new(b), F.lit(True)))
+    in_slot = F.filter("left", lambda b: F.coalesce(inside(b), F.lit(False)))
+    chars = lambda c: F.aggregate(c, F.lit(0).cast("bigint"), lambda n, b: n + F.char_length(b["text"]))
+    named = named.withColumn("left", left).withColumn("in_slot", in_slot)
+    kept = F.when((F.size("in_slot") > 0) & (2 * chars("in_slot") >= chars("left")), F.col("in_slot")).otherwise(F.col("left"))
     return named.select("id", "url", F.array_join(F.transform(kept, lambda b: b["text"]), "\n\n").alias("text"))
