@@ -51,3 +51,11 @@ def test_text_beside_the_largest_container(spark):
         assert got[k] == f"Head {k}\n\nLead {k}\n\n" + (f"Body {k} " * 20).strip()
         assert got[10 + k] == (f"first {k} " * 6).strip() + "\n\n" + (f"other {k} " * 4).strip()
         assert ("rest" in got[20 + k]) == (k == 0) and f"text {k}" in got[20 + k]
+
+
+def test_copies_are_no_template(spark):
+    """A page that is given three times, or mirrored under other urls, keeps its text."""
+    plain = "<body><div><p>A story.</p><p>Its end.</p></div></body>"
+    rows = [(1, "http://h.org/1", plain)] * 3 + [(k, f"http://i.org/{k}", plain if k < 7 else f"<body><p>Other {k}</p></body>") for k in range(2, 10)]
+    got = html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(got) == 11 and all(r["text"] == ("A story.\n\nIts end." if r["id"] < 7 else f"Other {r['id']}") for r in got)

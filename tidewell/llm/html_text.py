@@ -11,6 +11,8 @@ are no article by their element or their names never remain.
 Blocks outside of an article or main element that repeat over half of the host's pages belong to the
 template as well.
 
+Pages of a host with equal blocks count once as evidence, so copies don't make their text a template.
+
 Vectors are never gathered: they are compared by sums and exclusive ors of hashes of page and count,
 which are partial sums before any shuffle. So a host with a third of all pages is no hot group.
 
@@ -136,25 +138,17 @@ def parse(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
 
 def deduce(parsed: DataFrame, share: float = 0.5) -> DataFrame:
     """host, slot (the path of the article's container) and fixed (hashes of the repeated blocks) from the parsed pages."""
-    key = F.xxhash64("id", "url")
-    tokens = parsed.select(
-        "host",
-        key.alias("page"),
-        F.explode(
-            F.concat(
-                F.transform("paths", lambda p: F.struct(p["path"].alias("path"), F.lit(None).cast("bigint").alias("block"), p["n"].alias("n"))),
-                F.transform(
-                    F.array_distinct(F.transform(F.filter("blocks", lambda b: ~b["out"]), lambda b: F.struct(b["path"].alias("path"), F.xxhash64(b["path"], b["text"]).alias("block")))),
-                    lambda b: F.struct(b["path"].alias("path"), b["block"].alias("block"), F.lit(1).alias("n")),
-                ),
-            )
-        ).alias("t"),
-    )
+    blocks = F.transform(F.filter("blocks", lambda b: ~b["out"]), lambda b: F.struct(b["path"].alias("path"), F.xxhash64(b["path"], b["text"]).alias("block"), F.lit(1).alias("n")))
+    content = F.xxhash64(F.transform("blocks", lambda b: F.struct(b["path"], b["text"])))
+    paths = F.transform("paths", lambda p: F.struct(p["path"].alias("path"), F.lit(None).cast("bigint").alias("block"), p["n"].alias("n")))
+    once_each = parsed.select("host", content.alias("page"), F.concat(paths, F.array_distinct(blocks)).alias("tokens")).groupBy("host", "page").agg(F.first("tokens").alias("tokens"))
+    once_each = settle(once_each, "html-contents")
+    tokens = once_each.select("host", "page", F.explode("tokens").alias("t"))
     mark = F.xxhash64("page", "t.n")
     vectors = tokens.groupBy("host", "t.path", "t.block").agg(
         F.count("*").alias("pages"), F.sum("t.n").alias("total"), F.bit_xor(mark).alias("x"), F.sum(mark.bitwiseAND(F.lit((1 << 32) - 1))).alias("s")
     )
-    sizes = parsed.groupBy("host").agg(F.count("*").alias("host_pages"))
+    sizes = once_each.groupBy("host").agg(F.count("*").alias("host_pages"))
     frequent = settle(vectors.join(sizes, "host").filter((F.col("pages") >= 2) & (F.col("pages") >= share * F.col("host_pages"))), "html-tokens")
     classes = frequent.groupBy("host", "pages", "total", "x", "s").agg(F.count("*").alias("tokens"), F.sum(F.col("block").isNull().cast("int")).alias("open"))
     template = frequent.join(classes.filter("tokens >= 2"), ["host", "pages", "total", "x", "s"])
