@@ -10,7 +10,7 @@ from tidewell.llm.q10_quality_rules import SQL as RULES_SQL
 
 from .test_decontamination import words as bench_words
 from .test_pii import base
-from .test_simhash import brute
+from .test_near_copies import brute
 
 SF = "/root/testdata/sf0.001"
 
@@ -26,8 +26,7 @@ def test_stages_against_brute_force(spark):
     assert {r["doc_id"] for r in one.collect()} == want and one.columns == docs.columns
 
     two = cp.simhash_dedup(spark, one, SF).cache()
-    groups = brute([(r["doc_id"], r["text"]) for r in one.collect()])
-    assert sorted(r["doc_id"] for r in two.collect()) == sorted({g for _, _, g in groups}) and two.columns == docs.columns
+    assert sorted(r["doc_id"] for r in two.collect()) == brute([(r["doc_id"], r["text"]) for r in one.collect()]) and two.columns == docs.columns
 
     three = cp.benchmark_decontamination(spark, two, SF).cache()
     windows = set()
@@ -60,8 +59,27 @@ def test_odd_tables(spark):
     good = "This is a sentence of several plain words that says little, but it ends well and stays whole, as it should do here."
     rows += [(3, good, "z"), (3, good, "z"), (4, good, "z"), (None, good + " Otherwise it differs in many words at its very end.", "q")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string")
-    for name, stage in cp.STAGES[:-1]:
+    for name, stage in cp.STAGES:
+        more = ["ids", "decoded"] if stage is cp.bpe_coding else []
         assert stage(spark, docs.limit(0), SF).collect() == [], name
-        assert stage(spark, docs, SF).columns == docs.columns, name
+        got = stage(spark, docs, SF)
+        assert sorted(got.columns) == sorted([*docs.columns, *more]) and len(got.collect()) <= docs.count(), name
     left = cp.simhash_dedup(spark, cp.quality_rules(spark, docs, SF), SF).collect()
     assert sorted((str(r["doc_id"]), r["n_tokens"]) for r in left) == [("3", "z"), ("None", "q")]
+
+
+def test_rows_of_one_id_in_every_order(spark):
+    """A row stays if its id and text are its group's representative's, whatever the order of the rows."""
+    import itertools
+
+    a, b = ("The first text has quite other words. " * 4, "Here is another story that shares nothing with it at all. " * 4)
+    for rows in itertools.permutations([(1, b), (1, a), (0, b), (1, a)]):
+        df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, __node string")
+        got = cp.simhash_dedup(spark, df.coalesce(1), SF).collect()
+        assert sorted((r["doc_id"], r["text"]) for r in got) == [(0, b), (1, a)]
+
+
+def test_coding_replaces_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "a b", "old", 7), (2, None, "old", 8)], "doc_id long, text string, decoded string, k int")
+    got = {r["doc_id"]: r for r in cp.bpe_coding(spark, df, SF).collect()}
+    assert got[1]["decoded"] == "a b" and got[2]["decoded"] == "" and got[2]["n_tokens"] == 0 and got[1]["k"] == 7

@@ -9,8 +9,10 @@ found in the text first, as that library does. Nothing is trained.
 
 Defined results for odd input: a null text counts as the empty text, which has no ids and decodes to the
 empty text; texts of any length are encoded whole; ties between equal pairs fall to the left one;
-repeated rows give repeated rows; an empty table gives an empty table; only the id and the text column
-are read, so further columns and their names don't matter.
+repeated rows give repeated rows; an empty table gives an empty table; ``encode_documents`` reads the id and
+the text column alone, ``add_codes`` carries all columns and replaces those that have a new one's name.
+
+The memory of words already merged is bounded by ``KEPT_WORDS`` and only saves time: what it forgets is merged anew.
 """
 
 from __future__ import annotations
@@ -23,10 +25,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 NEVER = np.int64(1 << 40)
-CHUNK_CHARS = 1 << 20
-KEPT_WORDS = 400_000
+CHUNK_CHARS = 1 << 19
+KEPT_WORDS = 100_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -172,17 +175,30 @@ def coder(path: str, pattern: str) -> BytePairCoder:
     return BytePairCoder(path, pattern)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str]]]:
-    """The id column and the texts, about CHUNK_CHARS at a time, never less than one text."""
+def _chunks(batches: Iterator[pa.RecordBatch], text: int = 1) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """The rows and their texts, about CHUNK_CHARS at a time, never less than one text."""
+    import pyarrow.compute as pc
+
     for batch in batches:
-        ids, texts = batch.column(0), batch.column(1)
-        begin, chars = 0, 0
-        size = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-        for k in range(len(texts)):
-            chars += size[k]
-            if chars >= CHUNK_CHARS or k == len(texts) - 1:
-                yield ids.slice(begin, k + 1 - begin), [x or "" for x in texts.slice(begin, k + 1 - begin).to_pylist()]
-                begin, chars = k + 1, 0
+        texts = batch.column(text)
+        ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        begin = 0
+        while begin < len(texts):
+            before = ends[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends, before + CHUNK_CHARS, "right")))
+            part = batch.slice(begin, end - begin)
+            yield part, [x or "" for x in part.column(text).to_pylist()]
+            begin = end
+
+
+def _coded(c: BytePairCoder, texts: list[str], ids: bool, decode: bool) -> list[pa.Array]:
+    found = c.encode(texts)
+    cols = [pa.array([len(x) for x in found], pa.int64())]
+    if ids:
+        cols.append(pa.array([x.astype("<u4").tobytes() for x in found], pa.binary()))
+    if decode:
+        cols.append(pa.array([c.decode(x).decode("utf-8", "replace") for x in found], pa.string()))
+    return cols
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = False, ids: bool = True) -> DataFrame:
@@ -190,22 +206,38 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
     kinds = ["n_tokens long"] + ["ids binary"] * ids + ["decoded string"] * decode
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.compute  # noqa: F401
-
         c = coder(path, pattern)
-        for keys, texts in _chunks(batches):
-            found = c.encode(texts)
-            cols = [keys, pa.array([len(x) for x in found], pa.int64())]
-            if ids:
-                cols.append(pa.array([x.astype("<u4").tobytes() for x in found], pa.binary()))
-            if decode:
-                cols.append(pa.array([c.decode(x).decode("utf-8", "replace") for x in found], pa.string()))
-            yield pa.RecordBatch.from_arrays(cols, names=["id", *[k.split()[0] for k in kinds]])
+        for rows, texts in _chunks(batches):
+            yield pa.RecordBatch.from_arrays([rows.column(0), *_coded(c, texts, ids, decode)], names=["id", *[k.split()[0] for k in kinds]])
 
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return rows.mapInArrow(of, f"id {rows.schema['id'].dataType.simpleString()}, {', '.join(kinds)}")
 
 
+CODES = {"n_tokens": "long", "ids": "binary", "decoded": "string"}
+
+
+def add_codes(docs: DataFrame, path: str, pattern: str, text_col: str = "text") -> DataFrame:
+    """docs with n_tokens, ids and decoded (see encode_documents) in place of columns of these names; each text goes to the task once.
+
+    Columns stay flat: a nested copy of the row would hold every text a second time.
+    """
+    kept = [c for c in docs.columns if c not in CODES]
+    text = F.col(f"`{text_col}`").cast("string")
+    rows = docs.select(*[(text.alias(c) if c == text_col else F.col(f"`{c}`")) for c in kept], *([] if text_col in kept else [text.alias(text_col)]))
+    at = rows.columns.index(text_col)
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = coder(path, pattern)
+        for part, texts in _chunks(batches, at):
+            yield pa.RecordBatch.from_arrays([*part.columns[: len(kept)], *_coded(c, texts, True, True)], names=[*kept, *CODES])
+
+    schema = T.StructType([f for f in rows.schema if f.name in kept])
+    for name, kind in CODES.items():
+        schema = schema.add(name, kind)
+    return rows.mapInArrow(of, schema)
+
+
 def decode_documents(encoded: DataFrame, path: str, pattern: str, id_col: str = "id", ids_col: str = "ids") -> DataFrame:
     """id and text for rows of packed ids (see encode_documents); null ids give the empty text."""
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -18,12 +19,15 @@ _own_dir: str | None = None
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir of the session.
 
-    Only where that setting is absent (tests, a laptop) is a temporary folder made.
+    Where that setting is absent a temporary folder is made, but only if the master is local (tests, a
+    laptop); on a cluster each machine would have another one, so that is an error.
     """
     global _own_dir
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if _own_dir is None:
         _own_dir = "file://" + tempfile.mkdtemp(prefix="tidewell-")
     return _own_dir
@@ -48,6 +52,21 @@ def discard(df: DataFrame | None) -> None:
         where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def join_unique(left: DataFrame, right: DataFrame, key: str, heavy: int = 1_000_000) -> DataFrame:
+    """left joined on key with right, which has a column c, how many rows of left have the key, and each key once.
+
+    Keys of more than ``heavy`` rows, at most rows / heavy of them, are broadcast, so that none is a hot
+    partition; the others are shuffled. The column c is gone.
+    """
+    hot = right.filter(F.col("c") > heavy).drop("c")
+    rest = right.filter(F.col("c") <= heavy).drop("c")
+    if hot.isEmpty():
+        return left.join(rest, key)
+    hot = settle(hot, "hot-keys")
+    few = F.broadcast(hot.select(key))
+    return left.join(F.broadcast(hot), key).unionByName(left.join(few, key, "left_anti").join(rest, key))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

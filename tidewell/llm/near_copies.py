@@ -1,11 +1,13 @@
 """Groups of near copies: documents that share most of their shingles of five words.
 
 Two documents link if the Jaccard similarity of their sets of shingles is ``similarity`` or more; a group is
-what links connect. Minima of ``BANDS * ROWS`` hash functions over a set, dealt into bands, propose pairs: a
+what links connect. Operator 1 (simhash.py) goes first, over shingles of five words: texts of one fingerprint,
+and of fingerprints that it links, are verified by their whole sets, and what that connects is paired no more.
+Pairs of similarity 0.8 differ in more bits than a pigeonhole over 64 can find, so more are looked for: minima of ``BANDS * ROWS`` hash functions over a set, dealt into bands, propose pairs: a
 pair of similarity 0.8 shares none of the 40 bands of 6 with a chance of 6 in a million, a closer one with
 less. Each proposed pair is verified by its whole sets, so no wrong pair links.
 
-Equal texts are one node and are never paired. In buckets of over ``bucket`` nodes all are compared with the
+Equal texts are one node and are never paired, nor are texts that are already connected. In buckets of over ``bucket`` nodes all are compared with the
 least node first. Then only members that this did not join with the least one's group are paired with the
 bucket's others, as what is connected already needs no pair; so large groups lose no link.
 
@@ -24,8 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle
-from .simhash import components
+from .common import join_unique, settle
+from .simhash import components, fingerprints
+from .simhash import links as fingerprint_links
 
 BANDS, ROWS = 40, 6
 #: Odd factors and summands of the hash functions.
@@ -86,18 +89,31 @@ def verified(pairs: DataFrame, rows: DataFrame, similarity: float, shingle: int)
     return settle(both.select("a", "b", "s", "t").mapInArrow(of, "a long, b long"), "copies-links")
 
 
+def by_fingerprint(rows: DataFrame, shingle: int, limit: int = 2) -> DataFrame:
+    """Pairs a, b of nodes that operator 1 connects: with one fingerprint, or with fingerprints that it links."""
+    fps = settle(fingerprints(rows, "node", "text", shingle).distinct(), "copies-fps")
+    lead = settle(fps.groupBy("fp").agg(F.min("id").alias("a"), F.count("*").alias("c")), "copies-leads")
+    same = join_unique(fps, lead.filter("c > 1"), "fp").filter("a <> id").select("a", F.col("id").alias("b"))
+    near = fingerprint_links(lead.select("fp"), limit).withColumnRenamed("a", "x").withColumnRenamed("b", "y")
+    near = near.join(lead.select(F.col("fp").alias("x"), "a"), "x").join(lead.select(F.col("fp").alias("y"), F.col("a").alias("b")), "y")
+    return settle(same.union(near.select("a", "b")), "copies-near")
+
+
 def links(rows: DataFrame, similarity: float = 0.8, shingle: int = 5, bucket: int = 48) -> DataFrame:
     """Verified edges a, b that connect what similar nodes connect; rows: node, text, maybe repeated."""
     fits = lambda x, y: F.least(x, y) >= F.lit(similarity) * F.greatest(x, y)
-    keys = settle(sketches(rows, shingle), "copies-sketches").select("node", "n", F.explode("keys").alias("key"))
-    crowded = settle(keys.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct("node", "n")).alias("least")).filter("c > 1"), "copies-buckets")
-    members = settle(keys.join(crowded, "key"), "copies-members")
+    close = verified(by_fingerprint(rows, shingle), rows, similarity, shingle)
+    first = components(close).select("node", F.col("root").alias("first"))
+    sketched = settle(sketches(rows, shingle).join(first, "node", "left").withColumn("first", F.coalesce("first", "node")), "copies-sketches")
+    keys = sketched.select("node", "n", "first", F.explode("keys").alias("key"))
+    crowded = settle(keys.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct("node", "n", "first")).alias("least"), F.max("first").alias("most"), F.min("first").alias("fewest")).filter("c > 1 AND most <> fewest").drop("most", "fewest"), "copies-buckets")
+    members = settle(join_unique(keys, crowded.withColumn("of", F.col("c")), "key").withColumnRenamed("of", "c"), "copies-members")
     few = members.filter(F.col("c") <= bucket)
-    near = few.select("key", F.col("node").alias("a"), F.col("n").alias("na")).join(few.select("key", F.col("node").alias("b"), F.col("n").alias("nb")), "key").filter("a < b").filter(fits("na", "nb"))
+    near = few.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("first").alias("fa")).join(few.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("first").alias("fb")), "key").filter("a < b AND fa <> fb").filter(fits("na", "nb"))
     many = members.filter(F.col("c") > bucket)
-    star = many.filter("least.node < node").filter(fits("n", "least.n")).select(F.col("least.node").alias("a"), F.col("node").alias("b"))
+    star = many.filter("least.node < node AND least.first <> first").filter(fits("n", "least.n")).select(F.col("least.node").alias("a"), F.col("node").alias("b"))
     pairs = settle(near.select("a", "b").union(star).distinct(), "copies-pairs")
-    edges = verified(pairs, rows, similarity, shingle)
+    edges = settle(close.union(verified(pairs, rows, similarity, shingle)), "copies-edges")
     if many.isEmpty():
         return edges
     roots = components(edges).select("node", "root")

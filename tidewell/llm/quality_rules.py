@@ -116,8 +116,11 @@ def repeat_words(words: Column, window: int) -> Column:
     return let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: let(windows(h), count))
 
 
-def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: LineRules = LineRules()) -> DataFrame:
-    """One row per input row: the base counts, base_failed, kept and the figures behind them."""
+def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: LineRules = LineRules(), cleaned: bool = False) -> DataFrame:
+    """One row per input row: the base counts, base_failed, kept and the figures behind them.
+
+    With cleaned, also clean: the text without the lines that fail (see clean_text). Lines are judged once.
+    """
     chars = lambda words: F.char_length(F.array_join(words, "")).cast("bigint")
     total = lambda xs: F.aggregate(xs, F.lit(0).cast("bigint"), lambda a, x: a + x)
 
@@ -132,11 +135,13 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rul
                 let(texts, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("bigint")).alias("n_dup_lines"),
                 repeat_words(w, rules.repeat_window).alias("n_repeat_words"),
                 total(F.transform(F.filter(lines, lambda x: x["fails"]), lambda x: chars(x["words"]))).alias("lost_chars"),
+                *([F.array_join(F.transform(F.filter(lines, lambda x: ~x["fails"]), lambda x: x["line"]), "\n").alias("clean")] if cleaned else []),
             ),
         )
 
     lines = F.transform(F.split(F.coalesce(F.col("__text"), F.lit("")), "\n"), lambda x: _line(x, rules))
-    flat = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).select("__id", let(lines, figures).alias("f")).select("__id", "f.*")
+    # Unnested by explode, as a filter would else be pushed below and judge all lines a second time.
+    flat = docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("__text")).select("__id", F.explode(F.array(let(lines, figures))).alias("f")).select("__id", "f.*")
     failed = (F.col("n_words") < rules.min_words) | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words"))
     return (
         flat.withColumn("base_failed", failed)
@@ -148,6 +153,5 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rul
 def clean_documents(docs: DataFrame, text_col: str = "text", rules: LineRules = LineRules(), rewrite: bool = True) -> DataFrame:
     """The documents that the rules keep, all columns of theirs, with failing lines removed if rewrite."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    judged = measure(docs.select(row.alias("__row"), F.col(f"`{text_col}`").alias("__t")), "__row", "__t", rules)
-    kept = judged.filter("kept").select("__row.*")
-    return kept.withColumn(text_col, clean_text(F.col(text_col), rules)) if rewrite else kept
+    judged = measure(docs.select(row.alias("__row"), F.col(f"`{text_col}`").alias("__t")), "__row", "__t", rules, rewrite)
+    return judged.filter("kept").select(*[F.col("clean").alias(c) if rewrite and c == text_col else F.col(f"__row.`{c}`") for c in docs.columns])

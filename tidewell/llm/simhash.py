@@ -29,9 +29,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, settle
+from .common import discard, join_unique, settle
 
 BITS = 64
+#: Buckets of more fingerprints are found by a broadcast of their keys, so that none is a hot partition.
+HOT_BUCKET = 1_000_000
 
 
 def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
@@ -187,7 +189,13 @@ def links(fps: DataFrame, limit: int = 2, bucket: int = 48) -> DataFrame:
     masks = [m for group, t in plan(n, both, limit) for m in masks_of(group, t)]
     keys = fps.select("fp", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("v")) for k, m in enumerate(masks)])).alias("key")).select("fp", "key.k", "key.v")
     crowded = settle(keys.groupBy("k", "v").agg(F.count("*").alias("c")).filter("c > 1"), "simhash-buckets")
-    members = settle(keys.join(crowded, ["k", "v"]), "simhash-members")
+    hot = crowded.filter(F.col("c") > HOT_BUCKET).select("k", "v")  # at most keys / HOT_BUCKET of them
+    if bucket < HOT_BUCKET and not hot.isEmpty():
+        hot = F.broadcast(settle(hot, "simhash-hot"))
+        apart = keys.join(hot, ["k", "v"], "left_semi").withColumn("c", F.lit(HOT_BUCKET + 1).cast("bigint"))
+        members = settle(apart.unionByName(keys.join(hot, ["k", "v"], "left_anti").join(crowded, ["k", "v"])), "simhash-members")
+    else:
+        members = settle(keys.join(crowded, ["k", "v"]), "simhash-members")
     few = members.filter(F.col("c") <= bucket).select("k", "v", "fp")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= limit
     pairs = few.withColumnRenamed("fp", "a").join(few.withColumnRenamed("fp", "b"), ["k", "v"]).filter("a < b").filter(near).select("a", "b")
@@ -238,11 +246,11 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = 2, shingle: int = 3, seed: int = 42) -> DataFrame:
     """id, fp and component (the least id reachable over links) for every row of docs."""
     marked = settle(fingerprints(docs, id_col, text_col, shingle, seed), "simhash-fps")
-    nodes = settle(marked.groupBy("fp").agg(F.min("id").alias("rep")), "simhash-nodes")
+    nodes = settle(marked.groupBy("fp").agg(F.min("id").alias("rep"), F.count("*").alias("c")), "simhash-nodes")
     linked = components(links(nodes.select("fp"), limit))
     rooted = nodes.join(linked.select(F.col("node").alias("fp"), "root"), "fp")
     least = rooted.groupBy("root").agg(F.min("rep").alias("component"))
     part = settle(rooted.join(least, "root").select("fp", "component"), "simhash-parts")
-    named = nodes.join(part, "fp", "left").select("fp", F.coalesce("component", "rep").alias("component"))
+    named = nodes.join(part, "fp", "left").select("fp", "c", F.coalesce("component", "rep").alias("component"))
     named = settle(named, "simhash-named")
-    return marked.join(named, "fp").select("id", "fp", "component")
+    return join_unique(marked, named, "fp").select("id", "fp", "component")
