@@ -1,11 +1,11 @@
 """The corpus pipeline: stages that each work on all the documents their predecessor kept.
 
 Quality rules, near-dedup by shingles of five words, benchmark decontamination, personal data, BPE coding. Every stage but
-the last returns the columns of its documents; the last adds n_tokens, ids and decoded.
+the last returns the columns of its documents; the last adds n_tokens, ids and decoded, in place of columns of these names.
 
 Defined results for odd input: null texts are rejected by the quality rules; rows without an id are
-deduplicated by equal texts alone; of rows with one id one stays; repeated rows leave one; empty
-tables give empty tables.
+deduplicated by equal texts alone; rows with one id and unlike texts are documents of their own; repeated rows
+leave one; empty tables give empty tables.
 """
 
 from __future__ import annotations
@@ -13,14 +13,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.bpe import encode_documents
+from tidewell.llm.bpe import add_codes
 from tidewell.llm.common import read_table, settle
 from tidewell.llm.decontamination import drop_contaminated
 from tidewell.llm.near_copies import node_of, representatives
 from tidewell.llm.pii import redact
 from tidewell.llm.q06_bpe import vocabulary
 from tidewell.llm.quality_rules import clean_documents
-from tidewell.llm.simhash import near_duplicates
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,24 +28,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of operator 1 (three words, two bits) stays, that of the least id; no stage of run().
+    """One document of each group of near copies (five words, similarity of 0.8 or more) stays, that of the least id.
 
-    A row stays if its id and text are those of the group's representative; of rows alike in both, one.
+    Operator 1 links by fingerprints of five words, near_copies.py adds the links beyond its bits; both are
+    verified. A row stays if its id and text are those of its group's representative; of rows alike in both, one.
     """
-    found = near_duplicates(docs.select("doc_id", "text"))
-    groups = found.groupBy("component").agg(F.min(F.struct("id", "fp")).alias("kept"))
-    kept = settle(groups.select(F.col("kept.id").alias("__id")).filter("__id IS NOT NULL"), "kept-ids")
-    named = docs.join(kept, docs["doc_id"] == kept["__id"], "left_semi")
-    nameless = docs.filter("doc_id IS NULL").dropDuplicates(["text"])
-    return named.dropDuplicates(["doc_id"]).unionByName(nameless)
-
-
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five words, similarity of 0.8 or more) stays, that of the least id."""
-    kept = representatives(docs).select(F.col("id").alias("__id"), F.col("node").alias("__node"))
-    named = docs.join(kept, (docs["doc_id"] == kept["__id"]) & (node_of("text") == kept["__node"]), "left_semi")
-    nameless = docs.filter("doc_id IS NULL").dropDuplicates(["text"])
-    return named.dropDuplicates(["doc_id"]).unionByName(nameless)
+    kept = representatives(docs).select(F.col("id").alias("__id"), F.col("node").alias("__kept"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    keyed = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("__id"), node_of("text").alias("__kept"), row)
+    named = keyed.join(kept, ["__id", "__kept"], "left_semi").dropDuplicates(["__id", "__kept"]).select("row.*")
+    return named.unionByName(docs.filter("doc_id IS NULL").dropDuplicates(["text"]))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,14 +52,12 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def bpe_coding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds n_tokens, the packed ids and the text that they decode to."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    coded = encode_documents(docs.select(row.alias("__row"), F.col("text").alias("__text")), *vocabulary(), "__row", "__text", decode=True)
-    return coded.select("id.*", "n_tokens", "ids", "decoded")
+    return add_codes(docs, *vocabulary())
 
 
 STAGES = [
     ("quality rules", quality_rules),
-    ("near-dedup", near_dedup),
+    ("SimHash near-dedup", simhash_dedup),
     ("benchmark decontamination", benchmark_decontamination),
     ("PII", personal_data),
     ("BPE encoding and decoding", bpe_coding),
