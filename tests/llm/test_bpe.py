@@ -62,3 +62,31 @@ def test_length_table(spark):
     for r in quantiles(table, [0.1, 0.5, 1.0]).collect():
         assert r["n_tokens"] == sorted(xs)[int(np.ceil(r["share"] * len(xs))) - 1]
     assert length_table(spark.createDataFrame([], "n_tokens long")).collect() == []
+
+
+def test_queries(spark, library, tmp_path):
+    from tidewell.llm.q06_bpe import op6_bpe, op7_token_counts
+
+    xs = [*texts()[:40], None, "", "same", "same"]
+    spark.createDataFrame([(k, x) for k, x in enumerate(xs)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    want = [library.encode(x or "", add_special_tokens=False).ids for x in xs]
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    for r in op6_bpe(spark, str(tmp_path)).collect():
+        ids = want[r["doc_id"]]
+        assert r["n_tokens"] == len(ids) and r["ids_sha256"] == sha(np.array(ids, "<u4").tobytes())
+        assert r["decoded_sha256"] == sha(library.decode(ids, skip_special_tokens=False).encode())
+    table = {r["n_tokens"]: r for r in op7_token_counts(spark, str(tmp_path)).collect()}
+    sizes = [len(x) for x in want]
+    assert set(table) == set(sizes)
+    for n, r in table.items():
+        assert r["n_docs"] == sizes.count(n) and r["truncated_total"] == sum(min(n, x) for x in sizes) and r["total_tokens"] == sum(sizes)
+
+
+def test_forgetting_words_changes_nothing(library, monkeypatch):
+    from tidewell.llm import bpe
+
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 20)
+    c = bpe.BytePairCoder(*vocabulary())
+    for k in range(0, 400, 10):
+        for x, ids in zip(texts()[k : k + 10], c.encode(texts()[k : k + 10]), strict=True):
+            assert ids.tolist() == library.encode(x, add_special_tokens=False).ids

@@ -43,10 +43,49 @@ def test_round_trip(spark, budget, history):
     formatted.unpersist()
 
 
-def test_budget_holds(spark):
-    df = spark.createDataFrame([(1, k, "assistant" if k % 2 else "user", "w " * 10) for k in range(20)], "conv_id long, turn long, role string, text string")
-    got = chat.windows(chat.conversations(df), 30, 0).collect()
-    assert [(r["first"], r["last"]) for r in sorted(got, key=lambda r: r["window"])] == [(k, min(k + 2, 20)) for k in range(1, 21, 3)]
+def measure(text):
+    import regex
+
+    return len(regex.findall(r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]", text))
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_budget_holds(spark, seed):
+    """Random budgets and histories: a window exceeds its budget only with a turn that fits beside no system turn, and then holds no history."""
+    rnd = random.Random(seed)
+    rows = []
+    for c in range(25):
+        n = rnd.randrange(1, 25)
+        rows += [(c, k, "system" if k == 0 and c % 3 == 0 else "assistant" if k % 2 else "user", "w " * rnd.choice([0, 1, 5, 10, 30, 90])) for k in range(n)]
+    budget, history = rnd.choice([20, 35, 60, 120, 400]), rnd.randrange(5)
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    size = {(c, k + 1): measure(f"<|{r}|>{t}<|end|>") for c, k, r, t in rows}
+    role = {(c, k + 1): r for c, k, r, _ in rows}
+    several = 0
+    for w in chat.windows(chat.conversations(df), budget, history).collect():
+        c, first, last = w["id"], w["first"], w["last"]
+        system = role[c, 1] == "system" and first > 1
+        assert w["tokens"] == measure(w["text"])
+        shown = w["text"].count("<|end|>") - (last - first + 1)
+        h = shown - system
+        assert 0 <= h <= history and first - h >= 1 + (role[c, 1] == "system" and first > 1)
+        if w["tokens"] > budget:
+            assert first == last and h == 0
+        else:  # neither another turn nor, within half of the room, more history would fit
+            room = budget - system * size[c, 1]
+            nxt = size.get((c, last + 1))
+            assert nxt is None or w["tokens"] + nxt > budget
+            more = first - h - 1
+            if h < history and more > (role[c, 1] == "system"):
+                old = sum(size[c, k] for k in range(more, first))
+                assert old > room // 2 or old + size[c, first] > room
+        several += w["window"] > 0
+    assert several
+
+
+def test_null_ids_are_conversations_of_their_own(spark):
+    df = spark.createDataFrame([(None, 0, "user", "a"), (None, 0, "user", "a"), (1, 0, "user", "b")], "conv_id long, turn long, role string, text string")
+    assert sorted((str(r["id"]), len(r["turns"])) for r in chat.conversations(df).collect()) == [("1", 1), ("None", 1), ("None", 1)]
 
 
 def test_query(spark, tmp_path):

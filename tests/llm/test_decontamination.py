@@ -59,11 +59,69 @@ def test_empty_tables(spark):
     bench = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
     assert dc.contamination(none, bench).collect() == []
     one = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
-    assert [tuple(r)[2:] for r in dc.contamination(one, bench.limit(0)).collect()] == [(3, 0, [])]
+    assert [tuple(r)[2:] for r in dc.contamination(one, bench.limit(0)).collect()] == [(3, 0, [], 0)]
+
+
+def brute_near(docs, items, terms=3, span=20):
+    """Distinct items per row a stretch of which holds the rarest terms of the item."""
+    texts = [words(t) for _, t in docs]
+    df = {}
+    for w in texts:
+        for x in w:
+            df[x] = df.get(x, 0) + 1
+    out = []
+    for w in texts:
+        near = set()
+        for k, t in items:
+            rare = sorted({(df.get(x, 0), x) for x in words(t)})[:terms]
+            if rare and rare[0][0] and k is not None:
+                want = {x for _, x in rare}
+                if any(want <= set(w[p : p + span]) for p in range(len(w))):
+                    near.add(k)
+        out.append(len(near))
+    return out
+
+
+def test_proximity_of_the_query(spark):
+    rnd = random.Random(6)
+    vocab = [f"v{k}" for k in range(60)] + ["the", "of"]
+    say = lambda n: " ".join(rnd.choice(vocab) for _ in range(n))
+    items = [(k, say(rnd.choice([0, 1, 2, 5, 12]))) for k in range(20)] + [(50, "v1 nowhere"), (51, "v1 v2")]
+    docs = [(k, say(rnd.randrange(90))) for k in range(60)] + [(90, None), (91, "v1 v2"), (91, "v2 " + "x " * 18 + "v1"), (92, "v2 " + "x " * 19 + "v1")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = dc.contamination(df, spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = sorted(zip([d[0] for d in docs], brute_near(docs, items), strict=True))
+    assert sorted((r["id"], r["n_near"]) for r in got) == want and any(n for _, n in want)
+
+
+def test_terms_beyond_the_broadcast(spark, monkeypatch):
+    """Shuffled terms, dealt in parts, give the same postings."""
+    df = spark.createDataFrame([(k, "a b the the " * 3) for k in range(9)], "doc_id long, text string")
+    terms = spark.createDataFrame([("the",), ("b",)], "term string")
+    rows = lambda: sorted(map(tuple, dc.build_index(df, terms).collect()))
+    counts = lambda: sorted(map(tuple, dc.count_terms(df, terms).collect()))
+    one, n = rows(), counts()
+    monkeypatch.setattr(dc, "BROADCAST_TERMS", -1)
+    assert rows() == one and counts() == n == [("b", 27), ("the", 54)]
 
 
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "alpha x x beta y gamma"), (2, "alpha " + "x " * 40 + "beta gamma"), (3, "gamma beta alpha")], "doc_id long, text string")
     tokens = dc.item_tokens(spark.createDataFrame([(7, "alpha beta gamma")], "item_id long, text string"), "item_id", "text")
-    got = dc.proximity_matches(dc.build_index(docs), tokens, terms=3, span=6).collect()
+    rare = dc.rare_of_items(tokens, dc.count_terms(docs, tokens), 3)
+    got = dc.proximity_matches(dc.build_index(docs), rare, span=6).collect()
     assert sorted((r["id"], r["first"], r["last"]) for r in got) == [(1, 0, 5), (3, 0, 2)]
+
+
+def test_query_equals_its_sql(spark):
+    import duckdb
+
+    from tidewell.llm.q04_decontamination import SQL, op4_decontamination
+
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    df = op4_decontamination(spark, sf)
+    cols = sorted(df.columns)
+    assert sorted(map(tuple, df.select(cols).collect())) == sorted(con.sql(f"SELECT {', '.join(cols)} FROM ({SQL})").fetchall())

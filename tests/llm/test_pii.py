@@ -55,3 +55,71 @@ def test_reliabilities():
     code = lambda v: sum(x * 3 ** (pii.LABELERS - 1 - j) for j, x in enumerate(v))
     chance = pii.estimate({code([2, 2, 2, 1, 1, 1]): 50, code([0, 0, 1, 1, 1, 1]): 50, code([2, 2, 1, 1, 1, 1]): 20, code([0, 0, 1, 0, 1, 1]): 20})
     assert chance[code([2, 2, 1, 1, 1, 1])] > 0.9 > 0.1 > chance[code([0, 0, 1, 1, 1, 1])]
+
+
+def test_long_runs_go_whole(spark):
+    """No length ends a span early: long tokens, long local parts, many parts of a domain."""
+    token = "Ab3" * 100
+    texts = [f'key = "{token}" x', f"write to {'a' * 100}(at) one (dot) two (dot) three.four (dot) five (dot) org now", *[f'key = "{"Zq7" * (8 + k)}" x' for k in range(20)], *[f"mail: b{k} [at] c{k} [dot] com" for k in range(20)]]
+    got = {r["doc_id"]: r["text"] for r in pii.redact(spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")).collect()}
+    assert got[0] == 'key = "[SECRET]" x' and got[1] == "write to [EMAIL] now"
+
+
+def planted(rnd):
+    """A text with personal data of a further kind, and its kind and span."""
+    d = lambda n: "".join(rnd.choice("0123456789") for _ in range(n))
+    name = f"{rnd.choice(pii.GIVEN)} {rnd.choice(['Smith', 'Müller', 'Duponta', 'Garcia', 'Okafor'])}"
+    kind, before, what, after = rnd.choice(
+        [
+            ("email", "You can write to ", f"x{d(3)} (at) host{d(2)} (dot) org", " about it."),
+            ("phone", "Please call tel: ", f"({rnd.randrange(200, 999)}) 555-{d(4)}", " today."),
+            ("account", "Pay to IBAN ", f"DE{d(2)} {d(4)} {d(4)} {d(4)} {d(4)} {d(2)}", " soon."),
+            ("secret", "token = ", "".join(rnd.choice("abcdefGHIJKL0123456789") for _ in range(40)), " ends."),
+            ("person", "The form is signed by ", name, ", as it seems."),
+            ("person", "Yesterday ", f"Dr. {name}", " told us."),
+            ("address", f"{name} lives at ", f"{d(2).lstrip('0') or '7'} {rnd.choice(['Baker', 'High', 'Long Hill'])} Street", ", London."),
+            ("birth", "The patient was born on ", f"{rnd.randrange(1, 29)}.{rnd.randrange(1, 13)}.19{d(2)}", " there."),
+            ("id", "Her passport number ", f"{d(9)}", " was lost."),
+        ]
+    )
+    text = before + what + after
+    return text, kind, len(before), len(before) + len(what)
+
+
+def test_recall_and_precision_of_added_spans(spark):
+    rnd = random.Random(12)
+    want, texts = {}, []
+    for k in range(900):
+        if k % 3 == 0:
+            text, kind, a, b = planted(rnd)
+            want[k] = (kind, a, b)
+        else:
+            text = rnd.choice([f"In chapter {k} of version 2.{k} there were {k * 977} people on 12.03.20{k % 100:02d}.", "Nothing to see here at all.", f"Order no {10**7 + k} left the Alice Springs depot in 1999."])
+        texts.append(text)
+    rows = pii.find(spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")).collect()
+    spans = {r["id"]: {tuple(s) for s in r["added"]} for r in rows}
+    by_kind = {}
+    for k, w in want.items():
+        by_kind.setdefault(w[0], []).append(w in spans[k])
+    recall = {kind: sum(x) / len(x) for kind, x in by_kind.items()}
+    assert min(recall.values()) >= 0.9, recall
+    wrong = [(texts[k], s) for k, s in spans.items() if k not in want and s]
+    assert len(wrong) <= 0.02 * len(texts), wrong[:5]
+
+
+def test_query(spark, tmp_path):
+    import hashlib
+
+    from tidewell.llm.q02_pii import op2_pii
+
+    rnd = random.Random(2)
+    rows = [(k, planted(rnd)[0] + f" a{k}@b.org 1.2.3.{k} +49 30 123456{k}") for k in range(60)] + [(100, None), (101, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    for r in op2_pii(spark, str(tmp_path)).collect():
+        spans = base(dict(rows)[r["doc_id"]])
+        assert [r[f"n_{k}"] for k in PATTERNS] == [sum(s[0] == k for s in spans) for k in PATTERNS]
+        said = ",".join(":".join(map(str, s)) for s in spans)
+        assert r["base_sha256"] == hashlib.sha256(said.encode()).hexdigest()
+        parts = [x.split(":") for x in r["spans"].split(",") if x]
+        assert {tuple(x) for x in parts} >= {tuple(map(str, s)) for s in spans}
+        assert parts == sorted(parts, key=lambda x: (pii.KINDS.index(x[0]), int(x[1])))

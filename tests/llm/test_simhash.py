@@ -87,3 +87,26 @@ def test_empty_table(spark):
 def test_long_chain(spark):
     chain = spark.range(200).selectExpr("id AS a", "id + 1 AS b")
     assert simhash.components(chain).select("root").distinct().count() == 1
+
+
+def test_query(spark, tmp_path):
+    from tidewell.llm.q01_simhash import op1_simhash
+
+    rows = [(3, "a b c d"), (2, "A  b C d"), (5, None), (4, "\t"), (9, "quite other words here"), (3, "a b c d")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted((r["doc_id"], int(r["fingerprint"], 16), r["component_id"]) for r in op1_simhash(spark, str(tmp_path)).collect())
+    assert got == brute(rows)
+
+
+def test_hot_fingerprints_are_joined_alike(spark, monkeypatch):
+    """Keys and buckets beyond the bound of hot ones take the broadcast and give the same groups."""
+    from tidewell.llm import common
+
+    rows = [(k, f"same words in all of them {k % 3}") for k in range(40)] + [(100 + k, f"unlike {k} all others {k * 7}") for k in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows)
+    monkeypatch.setattr(simhash, "HOT_BUCKET", 2)
+    inner = common.join_unique
+    monkeypatch.setattr(simhash, "join_unique", lambda a, b, key: inner(a, b, key, 3))
+    got = sorted((r["id"], r["fp"] % (1 << 64), r["component"]) for r in simhash.near_duplicates(df).collect())
+    assert got == want

@@ -5,6 +5,11 @@ escaped reversibly. Prefix sums of the turns' tokens choose spans of whole turns
 window retains the system turn, repeats some turns before its span as history, and its loss mask covers
 the assistant turns of the span alone, so a repeated target never counts twice.
 
+All that a window holds is charged: markers, system turn, history and span. Tokens are a native measure, the
+words and single marks of the formatted turns, markers included; as every marker begins and ends with a
+mark, the measure of a window is the sum of its turns'. History takes at most half of what the system turn
+leaves, and is shortened, oldest turn first, where the first turn of the span needs the room.
+
 Layout of a window: for each turn ``<|role|>`` + escaped text + ``<|end|>``. Escaping puts ``<\\`` for
 every ``<`` that is followed by backslashes (none or more) and then by ``|``, which adds one backslash; reading takes one away. So no
 escaped text holds ``<|``, and the control strings stand alone.
@@ -13,10 +18,11 @@ The chunks of a conversation are the windows' targets: by construction every tur
 window, the one in whose span it lies.
 
 Defined results for odd input: a null text is the empty text; a null role is the role ``none``; a null
-turn sorts first; repeated turns keep all their rows, ordered by role and text; a turn of more tokens
-than the budget is a span of its own, whole; a system turn stands in every window but is the target of none but the
-first; rows of a null conversation id form one conversation; an empty table gives an empty table; further
-columns are not read.
+turn sorts first; repeated turns keep all their rows, ordered by role and text; a turn that doesn't fit
+beside the system turn is a span of its own, whole, without history, and such a window alone exceeds the budget; a
+system turn stands in every window but is the target of none but the first; every row of a null conversation id
+is a conversation of its own, as nothing says what it belongs to; an empty table gives an empty table;
+further columns are not read.
 """
 
 from __future__ import annotations
@@ -43,50 +49,72 @@ def escape_role(role: Column) -> Column:
 
 
 def turn_tokens(text: Column) -> Column:
-    """Words and marks: the measure of a turn where no counts are given."""
+    """Words and single marks: the measure of the budget."""
     return F.size(F.regexp_extract_all(text, F.lit(r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]"), F.lit(0)))
 
 
+def formatted_turn(role: Column, text: Column) -> Column:
+    return F.concat(F.lit(OPEN), escape_role(role), F.lit(CLOSE), escape(text), F.lit(END))
+
+
 def conversations(rows: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """id and turns: an array of role, text, tokens in order, a row per conversation.
+    """id and turns: an array of role, text, tokens (those of the formatted turn) in order, a row per conversation.
 
     A conversation is one document; its turns are gathered in one row as a text's words are.
     """
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     role = F.coalesce(F.col(f"`{role_col}`").cast("string"), F.lit("none"))
     flat = rows.select(F.col(f"`{id_col}`").alias("id"), F.struct(F.col(f"`{turn_col}`").alias("turn"), role.alias("role"), text.alias("text")).alias("t"))
-    turns = F.transform(F.sort_array(F.collect_list("t")), lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"), turn_tokens(t["text"]).alias("tokens")))
-    return flat.groupBy("id").agg(turns.alias("turns"))
+    ordered = flat.filter("id IS NOT NULL").groupBy("id").agg(F.sort_array(F.collect_list("t")).alias("ts"))
+    ordered = ordered.union(flat.filter("id IS NULL").select("id", F.array("t")))
+    return ordered.select("id", F.transform("ts", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"), turn_tokens(formatted_turn(t["role"], t["text"])).alias("tokens"))).alias("turns"))
 
 
-def windows(convs: DataFrame, budget: int = 1024, history: int = 2) -> DataFrame:
-    """id, window (its number), text (formatted), mask (array of begin, end in code points of text), first and last (the span of turns).
+def _spans(turns: Column, budget: int, history: int) -> Column:
+    """Array of first, last and begin of each span and its history: turns first to last, after turns begin to first - 1.
 
-    Running sums of the turns' tokens choose the spans: a span ends before the turn with which its sum
-    would exceed the room that the budget leaves beside the system turn; the sum then begins anew.
+    One fold over the turns holds their running sum and the tokens of the last few; it appends only where a span
+    begins. A span goes on while the running sum is within its limit.
     """
 
-    def spans(turns: Column, system: Column) -> Column:
-        room = F.greatest(F.lit(budget) - F.coalesce(system["tokens"], F.lit(0)), F.lit(1))
-        sums = F.aggregate(
-            turns,
-            F.struct(F.lit(0).alias("used"), F.lit(-1).alias("span"), F.expr("cast(array() as array<int>)").alias("of")),
-            lambda acc, t: let(
-                (acc["span"] < 0) | (acc["used"] + t["tokens"] > room),
-                lambda new: F.struct(
-                    F.when(new, t["tokens"]).otherwise(acc["used"] + t["tokens"]).alias("used"),
-                    (acc["span"] + new.cast("int")).alias("span"),
-                    F.concat(acc["of"], F.array(acc["span"] + new.cast("int"))).alias("of"),
+    def of(x: Column) -> Column:  # x: turns and system (whether the first turn is one)
+        def fits(last: Column, room: Column, tokens: Column) -> Column:  # how many turns of history, and their tokens
+            most = F.least(F.floor(room / 2), room - tokens)
+            return F.aggregate(
+                last,
+                F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("tokens"), F.lit(True).alias("on")),
+                lambda h, k: F.when(h["on"] & (h["tokens"] + k <= most), F.struct((h["n"] + 1).alias("n"), (h["tokens"] + k).alias("tokens"), F.lit(True).alias("on"))).otherwise(
+                    F.struct(h["n"].alias("n"), h["tokens"].alias("tokens"), F.lit(False).alias("on"))
                 ),
-            ),
-            lambda acc: acc["of"],
-        )
-        bounds = lambda of: F.transform(F.array_distinct(of), lambda k: F.struct(F.array_position(of, k).cast("int").alias("first"), (F.array_position(of, k) + F.size(F.filter(of, lambda x: x == k)) - 1).cast("int").alias("last")))
-        return let(sums, bounds)
+            )
+
+        def step(acc: Column, t: Column) -> Column:
+            room = F.lit(budget).cast("long") - F.when(x["system"] & (acc["i"] > 1), F.get(x["turns"], 0)["tokens"]).otherwise(0)
+            total = acc["sum"] + t["tokens"]
+            begun = lambda h: F.struct((acc["sum"] - h["tokens"] + room).alias("limit"), F.concat(acc["all"], F.array(F.struct(acc["i"].alias("first"), h["n"].alias("kept")))).alias("all"))
+            same = F.struct(acc["limit"].alias("limit"), acc["all"].alias("all"))
+            recent = F.slice(F.concat(F.array(t["tokens"].cast("long")), acc["last"]), 1, history) if history else acc["last"]
+            return let(
+                F.when(total <= acc["limit"], same).otherwise(let(fits(acc["last"], room, t["tokens"]), begun)),
+                lambda now: F.struct(
+                    (acc["i"] + 1).alias("i"), total.alias("sum"), now["limit"].alias("limit"), F.when(x["system"] & (acc["i"] == 1), acc["last"]).otherwise(recent).alias("last"), now["all"].alias("all")
+                ),
+            )
+
+        none = F.expr("cast(array() as array<struct<first:int,kept:int>>)")
+        start = F.struct(F.lit(1).alias("i"), F.lit(0).cast("long").alias("sum"), F.lit(-1).cast("long").alias("limit"), F.expr("cast(array() as array<bigint>)").alias("last"), none.alias("all"))
+        folded = F.aggregate(x["turns"], start, step, lambda acc: acc["all"])
+        end = lambda all_, k: F.coalesce(F.get(all_, k + 1)["first"] - 1, F.size(x["turns"]))
+        return let(folded, lambda all_: F.transform(all_, lambda s, k: F.struct(s["first"].alias("first"), end(all_, k).alias("last"), (s["first"] - s["kept"]).alias("begin"))))
 
-    has_system = F.element_at(F.col("turns"), 1)["role"] == "system"
-    system = F.when(has_system, F.element_at(F.col("turns"), 1))
-    cut = convs.select("id", "turns", system.alias("system")).select("id", "turns", "system", F.posexplode(spans(F.col("turns"), F.col("system"))).alias("window", "s"))
+    return let(F.struct(turns.alias("turns"), F.coalesce(F.get(turns, 0)["role"] == "system", F.lit(False)).alias("system")), of)
+
+
+def windows(convs: DataFrame, budget: int = 1024, history: int = 2) -> DataFrame:
+    """id, window (its number), text (formatted), mask (array of begin, end in code points of text), first and last (the span of turns), tokens.
+
+    A span ends before the turn with which its window would exceed the budget.
+    """
 
     def laid(turn: Column, target: Column) -> Column:
         head = F.concat(F.lit(OPEN), escape_role(turn["role"]), F.lit(CLOSE))
@@ -96,23 +124,22 @@ def windows(convs: DataFrame, budget: int = 1024, history: int = 2) -> DataFrame
             F.char_length(head).alias("before"),
             F.char_length(body).alias("loss"),
             (target & (turn["role"] == "assistant")).alias("target"),
+            turn["tokens"].alias("tokens"),
         )
 
-    first, last = F.col("s.first"), F.col("s.last")
-    begin = F.greatest(F.lit(1), first - history)
-    shown = F.transform(F.slice("turns", begin, last - begin + 1), lambda t, i: laid(t, i + begin >= first))
-    again = F.when(F.col("system").isNotNull() & (begin > 1), F.array(laid(F.col("system"), F.lit(False)))).otherwise(F.slice(shown, 1, 0))
-    parts = cut.select("id", "window", first.alias("first"), last.alias("last"), F.concat(again, shown).alias("parts"))
-    mask = F.aggregate(
-        "parts",
-        F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<begin:int,end:int>>)").alias("mask")),
-        lambda acc, p: F.struct(
-            (acc["at"] + F.char_length(p["text"])).alias("at"),
-            F.when(p["target"], F.concat(acc["mask"], F.array(F.struct((acc["at"] + p["before"]).alias("begin"), (acc["at"] + p["before"] + p["loss"]).alias("end"))))).otherwise(acc["mask"]).alias("mask"),
-        ),
-        lambda acc: acc["mask"],
-    )
-    return parts.select("id", "window", F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("text"), mask.alias("mask"), "first", "last")
+    def window(turns: Column, s: Column, k: Column) -> Column:
+        system = F.get(turns, 0)
+        shown = F.transform(F.slice(turns, s["begin"], s["last"] - s["begin"] + 1), lambda t, i: laid(t, i + s["begin"] >= s["first"]))
+        again = F.when((system["role"] == "system") & (s["begin"] > 1), F.array(laid(system, F.lit(False)))).otherwise(F.slice(shown, 1, 0))
+        return F.struct(k.alias("window"), s["first"].alias("first"), s["last"].alias("last"), F.concat(again, shown).alias("parts"))
+
+    all_windows = let(F.col("turns"), lambda turns: let(_spans(turns, budget, history), lambda spans: F.transform(spans, lambda s, k: window(turns, s, k))))
+    parts = convs.select("id", F.explode(all_windows).alias("w")).select("id", "w.*")
+    length = lambda ps: F.aggregate(ps, F.lit(0), lambda n, p: n + F.char_length(p["text"]))
+    ahead = F.transform("parts", lambda p, i: F.struct(p.alias("p"), length(F.slice("parts", 1, i)).alias("at")))
+    mask = F.transform(F.filter(ahead, lambda x: x["p"]["target"]), lambda x: F.struct((x["at"] + x["p"]["before"]).alias("begin"), (x["at"] + x["p"]["before"] + x["p"]["loss"]).alias("end")))
+    tokens = F.aggregate("parts", F.lit(0).cast("long"), lambda n, p: n + p["tokens"])
+    return parts.select("id", "window", F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("text"), mask.alias("mask"), "first", "last", tokens.alias("tokens"))
 
 
 def read_turns(text: Column) -> Column:

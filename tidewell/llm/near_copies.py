@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import join_unique, settle
-from .simhash import components, fingerprints
+from .simhash import components, of_hashes
 from .simhash import links as fingerprint_links
 
 BANDS, ROWS = 40, 6
@@ -35,8 +35,8 @@ BANDS, ROWS = 40, 6
 FACTORS, SUMMANDS = np.random.default_rng(42).integers(0, 1 << 63, (2, BANDS * ROWS), np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def shingle_set(text: str | None, shingle: int = 5, seed: int = 42) -> np.ndarray:
-    """The sorted distinct XXH64 of the text's shingles, one at least."""
+def shingle_hashes(text: str | None, shingle: int = 5, seed: int = 42) -> np.ndarray:
+    """The XXH64 of the text's shingles, repeats included, one at least."""
     import xxhash
 
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
@@ -45,7 +45,12 @@ def shingle_set(text: str | None, shingle: int = 5, seed: int = 42) -> np.ndarra
         return np.array([xxhash.xxh64_intdigest(line, seed)], np.uint64)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = [0, *(ends[:-shingle] + 1).tolist()]
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(line[s:e], seed) for s, e in zip(starts, ends[shingle - 1 :].tolist(), strict=True)), np.uint64, len(starts)))
+    return np.fromiter((xxhash.xxh64_intdigest(line[s:e], seed) for s, e in zip(starts, ends[shingle - 1 :].tolist(), strict=True)), np.uint64, len(starts))
+
+
+def shingle_set(text: str | None, shingle: int = 5, seed: int = 42) -> np.ndarray:
+    """Sorted and distinct."""
+    return np.unique(shingle_hashes(text, shingle, seed))
 
 
 def bands(found: np.ndarray) -> list[int]:
@@ -60,14 +65,23 @@ def bands(found: np.ndarray) -> list[int]:
 
 
 def sketches(rows: DataFrame, shingle: int) -> DataFrame:
-    """node, n (shingles) and keys (of the bands) for each node of the rows node, text."""
+    """node, fp (operator 1's fingerprint; blank texts have zero), n (shingles) and keys (of the bands) for each node of the rows node, text."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(x.as_py(), shingle) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int32()), pa.array([bands(s) for s in sets], pa.list_(pa.int64()))], names=["node", "n", "keys"])
+            fps, sizes, keys = [], [], []
+            for x in batch.column(1):
+                text = x.as_py()
+                hashes = shingle_hashes(text, shingle)
+                found = np.unique(hashes)
+                fps.append(of_hashes(hashes) if text and not text.isspace() else 0)
+                sizes.append(len(found))
+                keys.append(bands(found))
+            cols = [batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(cols, names=["node", "fp", "n", "keys"])
 
-    return rows.select("node", "text").mapInArrow(of, "node long, n int, keys array<long>").groupBy("node").agg(F.first("n").alias("n"), F.first("keys").alias("keys"))
+    found = rows.select("node", "text").mapInArrow(of, "node long, fp long, n int, keys array<long>")
+    return found.groupBy("node").agg(F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("keys").alias("keys"))
 
 
 def verified(pairs: DataFrame, rows: DataFrame, similarity: float, shingle: int) -> DataFrame:
@@ -89,11 +103,11 @@ def verified(pairs: DataFrame, rows: DataFrame, similarity: float, shingle: int)
     return settle(both.select("a", "b", "s", "t").mapInArrow(of, "a long, b long"), "copies-links")
 
 
-def by_fingerprint(rows: DataFrame, shingle: int, limit: int = 2) -> DataFrame:
+def by_fingerprint(sketched: DataFrame, limit: int = 2) -> DataFrame:
     """Pairs a, b of nodes that operator 1 connects: with one fingerprint, or with fingerprints that it links."""
-    fps = settle(fingerprints(rows, "node", "text", shingle).distinct(), "copies-fps")
-    lead = settle(fps.groupBy("fp").agg(F.min("id").alias("a"), F.count("*").alias("c")), "copies-leads")
-    same = join_unique(fps, lead.filter("c > 1"), "fp").filter("a <> id").select("a", F.col("id").alias("b"))
+    fps = sketched.select("node", "fp")
+    lead = settle(fps.groupBy("fp").agg(F.min("node").alias("a"), F.count("*").alias("c")), "copies-leads")
+    same = join_unique(fps, lead.filter("c > 1"), "fp").filter("a <> node").select("a", F.col("node").alias("b"))
     near = fingerprint_links(lead.select("fp"), limit).withColumnRenamed("a", "x").withColumnRenamed("b", "y")
     near = near.join(lead.select(F.col("fp").alias("x"), "a"), "x").join(lead.select(F.col("fp").alias("y"), F.col("a").alias("b")), "y")
     return settle(same.union(near.select("a", "b")), "copies-near")
@@ -102,9 +116,11 @@ def by_fingerprint(rows: DataFrame, shingle: int, limit: int = 2) -> DataFrame:
 def links(rows: DataFrame, similarity: float = 0.8, shingle: int = 5, bucket: int = 48) -> DataFrame:
     """Verified edges a, b that connect what similar nodes connect; rows: node, text, maybe repeated."""
     fits = lambda x, y: F.least(x, y) >= F.lit(similarity) * F.greatest(x, y)
-    close = verified(by_fingerprint(rows, shingle), rows, similarity, shingle)
-    first = components(close).select("node", F.col("root").alias("first"))
-    sketched = settle(sketches(rows, shingle).join(first, "node", "left").withColumn("first", F.coalesce("first", "node")), "copies-sketches")
+    whole = settle(sketches(rows, shingle), "copies-sketches")
+    close = verified(by_fingerprint(whole), rows, similarity, shingle)
+    # A node is known by the least that it is directly connected with: nodes of one such name are connected.
+    first = close.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("first"))
+    sketched = whole.drop("fp").join(first, "node", "left").withColumn("first", F.coalesce("first", "node"))
     keys = sketched.select("node", "n", "first", F.explode("keys").alias("key"))
     crowded = settle(keys.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct("node", "n", "first")).alias("least"), F.max("first").alias("most"), F.min("first").alias("fewest")).filter("c > 1 AND most <> fewest").drop("most", "fewest"), "copies-buckets")
     members = settle(join_unique(keys, crowded.withColumn("of", F.col("c")), "key").withColumnRenamed("of", "c"), "copies-members")

@@ -1,13 +1,15 @@
 """Personal data by weak supervision (DataFrame functions only).
 
-Base spans come from fixed patterns and always count. Further candidate spans come from a wide pattern.
-Regex, gazetteer and context labelers vote on every candidate (for, against, abstain). Expectation
-maximisation over the counts of vote patterns estimates how reliable each labeler is, and so how likely
-each pattern means personal data. These soft labels train a naive Bayes classifier over features of the
-spans (kind, length, digits, neighbours, context), which decides about the spans to add.
+Base spans come from fixed patterns and always count. Further candidate spans come from wide patterns:
+obfuscated addresses, unmarked phones, account numbers, secrets, persons, postal addresses, dates of birth and
+numbers of documents. Regex, gazetteer and context labelers vote on every candidate (for, against, abstain).
+For each kind, expectation maximisation over the counts of vote patterns estimates how reliable each labeler is,
+and so how likely each pattern means personal data. These soft labels train a naive Bayes classifier over
+features of the spans (length, digits, neighbours, context; each by kind), which decides about the spans to add.
+Persons, dates and bare numbers need context: a title, or words of identity or contact close by.
 
 The counts cover all documents. The driver sees vote patterns and feature values only: 3 ** 6 patterns at
-most, times a few dozen values of features. Spans stay with their document's row, so nothing is shuffled
+most, times eight kinds and a few dozen values of features. Spans stay with their document's row, so nothing is shuffled
 but those counts.
 
 Positions are code points, ends exclusive. They are the running lengths of the pieces between matches.
@@ -36,21 +38,56 @@ BASE = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-KINDS = [*BASE, "secret", "account"]
-#: What further personal data may look like: a candidate is a match of one of these.
+KINDS = [*BASE, "secret", "account", "person", "address", "birth", "id"]
+# Given names that are common in the languages of the texts, and that are no places or words.
+GIVEN = (
+    "Adam Alice Amanda Amelie Ana Andrea Andreas Andrew Angela Anna Anne Antoine Antonio Barbara Beatriz Benjamin Bernd Birgit Brian Camille Carlos Carmen Carol Caroline Catherine Christian Christine "
+    "Christoph Claire Claudia Cristina Daniel David Deborah Diego Dieter Dominique Donald Dorothy Edward Elena Elizabeth Emily Emma Eric Ernst Eva Fernando Florian Francisco Franz Gary George Gerhard "
+    "Guillaume Hannah Hans Heike Heinz Helen Helga Ingrid Isabel Isabelle Jacques James Jan Jane Janet Javier Jean Jennifer Jessica Johann John Jonathan Jorge Jose Joseph Joshua Juan Julia Julie Julien "
+    "Karen Karin Karl Katharina Kathrin Kevin Klaus Laura Laurent Linda Lisa Louise Lucas Lucia Luis Lukas Manuel Marc Marco Margaret Maria Marie Mark Markus Marta Martin Martina Mary Matthew Matthias "
+    "Melissa Michael Michel Michelle Miguel Monika Nancy Nathalie Nicolas Nicole Nicholas Olivier Oscar Pablo Patricia Patrick Paul Pedro Peter Petra Philippe Pierre Rachel Rafael Raquel Rebecca Renate "
+    "Richard Robert Ruth Sabine Samuel Sandra Sara Sarah Sergio Sharon Simon Sophie Stefan Stephanie Stephen Steven Susan Susanne Sylvie Teresa Thierry Thomas Ursula Uwe Valerie Veronique William Wolfgang Yves"
+).split()
+# Cities that stand after postal addresses, institutions and providers of mail.
+PLACES = "London Paris Berlin Madrid Hamburg Munich Lyon Marseille Barcelona Sevilla Valencia Vienna Zurich Brussels Dublin Manchester Birmingham Edinburgh Boston Chicago Seattle Houston Dallas Denver Springfield Cologne Frankfurt Toulouse Bordeaux Lisbon Rome Milan"
+INSTITUTIONS = "bank|clinic|hospital|insurance|university|school|college|sparkasse|universidad|universit[eé]|h[oô]pital|embassy|ministry|police|court"
+PROVIDERS = "gmail|outlook|yahoo|hotmail|proton|icloud|aol|gmx|web\\.de|orange|example|mail"
+STREET = "Street|St|Road|Rd|Avenue|Ave|Lane|Drive|Court|Square|Boulevard|Blvd|Way|Terrace|Crescent"
+UPPER_WORD = r"\p{Lu}[\p{L}'-]*+"
+#: What further personal data may look like: a candidate is a match of one of these. Runs are open-ended and possessive.
 WIDE = {
-    "email": r"[A-Za-z0-9._%+-]{1,64}\s?[\[(]\s?(?:at|AT)\s?[\])]\s?[A-Za-z0-9-]{1,63}(?:\s?(?:\.|[\[(]\s?(?:dot|DOT)\s?[\])])\s?[A-Za-z0-9-]{1,63}){1,4}",
+    "email": rf"(?<![{LOCAL}])[{LOCAL}]++\s?[\[(]\s?(?:at|AT)\s?[\])]\s?[A-Za-z0-9-]++(?:(?:\.|\s?[\[(]\s?(?:dot|DOT)\s?[\])]\s?)[A-Za-z0-9-]++)++",
+    "account": r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])|[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])",
+    "birth": r"(?:[0-9]{1,2}[./-][0-9]{1,2}[./-](?:19|20)[0-9]{2}|(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2})(?![0-9])",
     "phone": r"\(?[0-9]{2,4}\)?[\x20.-][0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9])",
-    "account": r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}|[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])",
-    "secret": r"[A-Za-z0-9_/+-]{20,200}",
+    "address": rf"[0-9]{{1,5}}[A-Za-z]?\x20(?:{UPPER_WORD}\x20){{1,6}}?(?:{STREET})\b|(?:rue|calle)\x20(?:(?:de|du|la|los|las|des)\x20)*+{UPPER_WORD}(?:\x20{UPPER_WORD})*+,?\x20[0-9]{{1,5}}|\p{{Lu}}\p{{L}}*(?:stra(?:ß|ss)e|weg|platz|allee)\x20[0-9]{{1,4}}[a-z]?\b",
+    "id": r"[A-Z]{0,2}[0-9]{6,12}(?![A-Za-z0-9_/+-])",
+    "secret": r"[A-Za-z0-9_/+-]{20,}+",
+    "person": rf"(?:(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Sr|Sra)\.?\x20)?(?:{'|'.join(GIVEN)})\x20(?:\p{{Lu}}\.\x20)?\p{{Lu}}\p{{L}}++(?:-\p{{Lu}}\p{{L}}++)?",
 }
-WIDE_ANY = "(?<![A-Za-z0-9])(?:" + "|".join(f"(?:{WIDE[k]})" for k in ("email", "account", "phone", "secret")) + ")"
-STRICT = r"^(?:\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}|[0-9]{3}-[0-9]{2}-[0-9]{4}|[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}|[0-9a-f]{32,}|(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])[A-Za-z0-9_/+-]{24,}|.*[\[(]\s?(?:at|AT)\s?[\])].*)$"
-GAZETTEER = r"(?i)gmail|outlook|yahoo|hotmail|proton|example|mail|\.(?:com|org|net|edu|gov|de|fr|es|it|uk)\b|^(?:ghp|gho|sk|pk|xox[bp]|akia|aiza)[_-]?|^(?:DE|FR|ES|IT|GB|NL)[0-9]{2}"
-BEFORE = r"(?i)\b(?:phone|tel|telephone|mobile|fax|call|contact|mail|e-mail|email|write to|reach|token|key|secret|password|passwd|pwd|bearer|ssn|iban|account|passport|card)\b\W{0,12}$"
+WIDE_ANY = r"(?<![\p{L}\p{N}])(?:" + "|".join(f"(?:{WIDE[k]})" for k in WIDE) + ")"
+STRICT = r"^(?:\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}|[0-9]{3}-[0-9]{2}-[0-9]{4}|[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?|[0-9a-f]{32,}+|(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])[A-Za-z0-9_/+-]{24,}+|.*[\[(]\s?(?:at|AT)\s?[\])].*|(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Sr|Sra)\.?\x20.*)$"
+GAZETTEER = rf"(?i)\b(?:{PROVIDERS})\b|\.(?:com|org|net|edu|gov|de|fr|es|it|uk)\b|^(?:ghp|gho|sk|pk|xox[bp]|akia|aiza)[_-]?|^(?:DE|FR|ES|IT|GB|NL)[0-9]{{2}}"
+GAZETTEER_NEAR = rf"\b(?:{PLACES.replace(' ', '|')})\b|(?i)\b(?:{INSTITUTIONS})\b"
+BEFORE = r"(?i)\b(?:phone|tel|telephone|mobile|fax|call|contact|mail|e-mail|email|write to|reach|token|key|secret|password|passwd|pwd|bearer|ssn|iban|account|passport|card|identity|licen[cs]e|id|name is|named|signed|patient|resident|lives? (?:at|in)|living at|address|born|birth|dob|né|née|geboren|nacid[oa]|wohnhaft|adresse|name)\b(?:\W{0,12}|\W{1,3}(?:is|on|no|number|at|am|le|el|in|by)\W{1,3})$"
+#: What says of a date or number itself what it is.
+NAMED = r"(?i)\b(?:born|birth|dob|birthday|né|née|geboren|nacid[oa]|passport|identity|licen[cs]e|ssn|personalausweis|dni)\b(?:\W{0,12}|\W{1,3}(?:is|on|no|number|at|am|le|el)\W{1,3})$"
+AFTER = r"(?i)^\W{0,4}(?:(?:who )?lives?|living|residing|born|birth|dob|né|née|geboren|nacid[oa]|wohnhaft|phone|tel|mobile|e-?mail|passport|address|adresse|aged|ssn|account)\b"
 AGAINST = r"(?i)\b(?:version|page|pages|chapter|isbn|issn|doi|figure|table|section|article|line|no|order|year|commit|sha1|md5|checksum)\b\W{0,6}$"
 DUMMY = r"^(.)\1+$|^(?:0123456789|1234567890|123-45-6789)$|(?:xxxx|0000000)"
 LABELERS = 6
+#: Kinds that mean nothing without context.
+NEEDY = ("person", "birth", "id")
+
+
+def _running(steps: Column, block: int = 256) -> Column:
+    """The sum of the numbers before each one, in two levels, so that long arrays cost no square of their length."""
+    grow = lambda xs: F.aggregate(
+        xs, F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<int>)").alias("all")), lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.concat(acc["all"], F.array(acc["at"])).alias("all"))
+    )
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / block).cast("int")), lambda b: grow(F.slice(steps, b * block + 1, block)))
+    placed = lambda inner: let(grow(F.transform(inner, lambda x: x["at"]))["all"], lambda outer: F.flatten(F.transform(inner, lambda x, b: F.transform(x["all"], lambda v: v + F.get(outer, b)))))
+    return let(blocks, placed)
 
 
 def _spans(text: Column, regex: str, ok, more=lambda match, before, after: {}) -> Column:
@@ -58,23 +95,15 @@ def _spans(text: Column, regex: str, ok, more=lambda match, before, after: {}) -
 
     def walk(found: Column) -> Column:
         def with_pieces(pieces: Column) -> Column:
-            def one(match: Column, at: Column, i: Column) -> Column:
-                start = at + F.char_length(F.get(pieces, i))
-                fields = more(match, F.get(pieces, i), F.get(pieces, i + 1))
-                return F.struct(start.alias("start"), (start + F.char_length(match)).alias("end"), *[v.alias(k) for k, v in fields.items()])
-
-            ends = lambda acc, i: acc["at"] + F.char_length(F.get(pieces, i)) + F.char_length(F.get(found, i))
-            kind = F.array(one(F.lit(""), F.lit(0), F.lit(0)))
-            empty = F.slice(kind, 1, 0)
-            return F.aggregate(
-                F.sequence(F.lit(0), F.size(found) - 1),
-                F.struct(F.lit(0).alias("at"), empty.alias("all")),
-                lambda acc, i: F.struct(
-                    ends(acc, i).alias("at"),
-                    F.when(ok(F.get(found, i)), F.concat(acc["all"], F.array(one(F.get(found, i), acc["at"], i)))).otherwise(acc["all"]).alias("all"),
-                ),
-                lambda acc: acc["all"],
-            )
+            def with_places(at: Column) -> Column:
+                def one(i: Column) -> Column:
+                    match, start = F.get(found, i), F.get(at, i) + F.char_length(F.get(pieces, i))
+                    fields = more(match, F.get(pieces, i), F.get(pieces, i + 1))
+                    return F.struct(start.alias("start"), (start + F.char_length(match)).alias("end"), *[v.alias(k) for k, v in fields.items()])
+
+                return F.transform(F.filter(F.sequence(F.lit(0), F.size(found) - 1), lambda i: ok(F.get(found, i))), one)
+
+            return let(_running(F.transform(found, lambda m, i: F.char_length(m) + F.char_length(F.get(pieces, i)))), with_places)
 
         return F.when(F.size(found) > 0, let(F.split(text, regex, -1), with_pieces))
 
@@ -125,38 +154,52 @@ def _vote(yes: Column, no: Column | None = None) -> Column:
 
 def _judge(match: Column, before: Column, after: Column) -> dict[str, Column]:
     """The votes of the labelers as one number of base 3, and the features of a candidate."""
-    tail, head = F.right(before, F.lit(32)), F.substr(after, F.lit(1), F.lit(1))
+    tail, next_ = F.right(before, F.lit(40)), F.substr(after, F.lit(1), F.lit(40))
+    head = F.substr(after, F.lit(1), F.lit(1))
     n, digits = F.char_length(match), F.char_length(_digits(match))
-    kind = F.when(match.rlike(f"^(?:{WIDE['email']})$"), "email").when(match.rlike(f"^(?:{WIDE['account']})$"), "account").when(match.rlike(r"^\(?[0-9]{2,4}\)?[\x20.-]"), "phone").otherwise("secret")
-    mixed = match.rlike("[0-9]") & match.rlike("[A-Za-z]")
-    votes = [
-        _vote(match.rlike(STRICT), ~match.rlike("[0-9]")),
-        _vote(mixed & (digits * 5 > n) | (digits >= 9), digits == 0),
-        _vote(match.rlike(GAZETTEER)),
-        _vote(tail.rlike(BEFORE), tail.rlike(AGAINST)),
-        _vote(head.rlike(r"^[\x20\t\n.,;:!?)\"'\]]?$") & (digits > 0), head.rlike(r"^[\p{L}\p{N}_@#*$%&]")),
-        _vote(F.lit(False), match.rlike(DUMMY)),
-    ]
-    code = votes[0]
-    for v in votes[1:]:
-        code = code * 3 + v
-    return {
-        "kind": kind,
-        "code": code,
-        "size": F.least(F.floor(n / 8), F.lit(8)).cast("int"),
-        "digits": F.floor(10 * digits / F.greatest(n, F.lit(1))).cast("int"),
-        "context": F.when(tail.rlike(BEFORE), 2).when(tail.rlike(AGAINST), 0).otherwise(1),
-        "neighbour": F.when(head == "", 0).when(head.rlike(r"^\s"), 1).when(head.rlike(r"^[\p{L}\p{N}]"), 2).otherwise(3),
-    }
-
-
-FEATURES = ["kind", "size", "digits", "context", "neighbour"]
+    kind = F.lit(None).cast("string")
+    for name in reversed(WIDE):
+        kind = F.when(match.rlike(f"^(?:{WIDE[name]})$"), name).otherwise(kind)
+    kind = F.coalesce(kind, F.lit("secret"))
+
+    def figures(k: Column) -> Column:
+        needy = k.isin(*NEEDY)
+        place = k.isin("person", "address")
+        near = tail.rlike(BEFORE) | (place & next_.rlike(AFTER))
+        mixed = match.rlike("[0-9]") & match.rlike("[A-Za-z]")
+        titled = (k == "person") & match.rlike(STRICT)
+        ends = head.rlike(r"^[\x20\t\n.,;:!?)\"'\]]?$") & ((digits > 0) | (k == "email"))
+        votes = [
+            F.when((k == "person") & ~titled, 1).otherwise(_vote(match.rlike(STRICT) | (k == "address") | (k.isin("birth", "id") & tail.rlike(NAMED)), needy | ~match.rlike("[0-9]"))),
+            F.when(place | k.isin("birth", "email"), 1).otherwise(_vote(mixed & (digits * 5 > n) | (digits >= 9), digits == 0)),
+            _vote((k == "person") | match.rlike(GAZETTEER) | (~k.isin("secret", "phone") & (next_.rlike(GAZETTEER_NEAR) | tail.rlike(GAZETTEER_NEAR)))),
+            _vote(near, (needy & ~titled) | tail.rlike(AGAINST)),
+            F.when(place, _vote(next_.rlike(AFTER), (k == "person") & ~near & ~titled)).otherwise(_vote(ends, head.rlike(r"^[\p{L}\p{N}_@#*$%&]"))),
+            _vote(F.lit(False), match.rlike(DUMMY)),
+        ]
+        code = votes[0]
+        for v in votes[1:]:
+            code = code * 3 + v
+        return F.struct(
+            code.alias("code"),
+            F.least(F.floor(n / 8), F.lit(8)).cast("int").alias("size"),
+            F.floor(10 * digits / F.greatest(n, F.lit(1))).cast("int").alias("digits"),
+            F.when(near | titled, 2).when(tail.rlike(AGAINST), 0).otherwise(1).alias("context"),
+            F.when(head == "", 0).when(head.rlike(r"^\s"), 1).when(head.rlike(r"^[\p{L}\p{N}]"), 2).otherwise(3).alias("neighbour"),
+        )
+
+    return {"kind": kind, "f": let(kind, figures)}
+
+
+FEATURES = ["size", "digits", "context", "neighbour"]
+#: No candidate is without a digit, a bracketed at, or a given name.
+SIGN = r"[0-9]|[\[(]\s?(?:at|AT)\s?[\])]|(?:" + "|".join(GIVEN) + r")\x20\p{Lu}"
 
 
 def candidates(text: Column) -> Column:
-    """Array of the matches of the wide patterns that hold a digit or a bracketed at."""
-    found = _spans(text, WIDE_ANY, lambda m: m.rlike(r"[0-9]|[\[(]\s?(?:at|AT)"), _judge)
-    return F.when(text.rlike(r"[0-9]|[\[(]\s?(?:at|AT)\s?[\])]"), found)
+    """Array of the matches of the wide patterns that hold a digit, a bracketed at, or a name."""
+    found = _spans(text, WIDE_ANY, lambda m: m.rlike(r"[0-9]|[\[(]\s?(?:at|AT)|\x20\p{Lu}"), _judge)
+    return F.when(text.rlike(SIGN), found)
 
 
 def estimate(patterns: dict[int, int], rounds: int = 50) -> dict[int, float]:
@@ -186,32 +229,38 @@ def estimate(patterns: dict[int, int], rounds: int = 50) -> dict[int, float]:
 
 
 def train(found: DataFrame) -> Column | None:
-    """A function of a candidate struct, as the weights of a naive Bayes classifier: log odds as a Column builder."""
+    """A function of a candidate struct, as the weights of a naive Bayes classifier of its kind: log odds as a Column builder."""
     each = found.select(F.explode("more").alias("s"))
-    rows = each.select(F.explode(F.array(*[F.struct(F.lit(f).alias("f"), F.col(f"s.{f}").cast("string").alias("v"), F.col("s.code").alias("code")) for f in FEATURES])).alias("x"))
-    counts = rows.groupBy("x.f", "x.v", "x.code").agg(F.count("*").alias("n")).collect()
-    patterns: dict[int, int] = {}
+    values = F.array(*[F.struct(F.lit(f).alias("f"), F.col(f"s.f.{f}").cast("string").alias("v")) for f in FEATURES])
+    rows = each.select("s.kind", "s.f.code", F.explode(values).alias("x"))
+    counts = rows.groupBy("kind", "code", "x.f", "x.v").agg(F.count("*").alias("n")).collect()
+    patterns: dict[str, dict[int, int]] = {}
     for r in counts:
         if r["f"] == FEATURES[0]:
-            patterns[r["code"]] = patterns.get(r["code"], 0) + r["n"]
+            own = patterns.setdefault(r["kind"], {})
+            own[r["code"]] = own.get(r["code"], 0) + r["n"]
     if not patterns:
         return None
-    chance = estimate(patterns)
+    chance = {kind: estimate(own) for kind, own in patterns.items()}
     sums: dict[tuple[str, str], list[float]] = {}
     for r in counts:
-        cell = sums.setdefault((r["f"], r["v"]), [1.0, 1.0])
-        cell[1] += r["n"] * chance[r["code"]]
-        cell[0] += r["n"] * (1 - chance[r["code"]])
-    yes = 1 + sum(n * chance[p] for p, n in patterns.items())
-    no = 1 + sum(n * (1 - chance[p]) for p, n in patterns.items())
-    weights = {k: math.log(a[1] / yes) - math.log(a[0] / no) for k, a in sums.items()}
+        cell = sums.setdefault((r["kind"], f"{r['f']}|{r['kind']}|{r['v']}"), [0.0, 0.0])
+        cell[1] += r["n"] * chance[r["kind"]][r["code"]]
+        cell[0] += r["n"] * (1 - chance[r["kind"]][r["code"]])
+    total = {kind: [sum(n * abs(y - 1 + chance[kind][p]) for p, n in own.items()) for y in (0, 1)] for kind, own in patterns.items()}
+    weights = {}
+    for (kind, name), cell in sums.items():
+        no, yes = total[kind]
+        share = sum(cell) / (no + yes)  # a value's share smooths its chance in either class, so that rare values weigh little
+        weights[name] = math.log((cell[1] + share) / (yes + 1)) - math.log((cell[0] + share) / (no + 1))
+    table = lambda entries: F.create_map(*[F.lit(x) for pair in sorted(entries.items()) for x in pair])
+    prior = table({kind: math.log((t[1] + 1) / (t[0] + 1)) for kind, t in total.items()})
+    known = table(weights)
 
     def odds(span: Column) -> Column:
-        out = F.lit(math.log(yes / no))
+        out = F.coalesce(F.element_at(prior, span["kind"]), F.lit(0.0))
         for f in FEATURES:
-            known = [(v, w) for (g, v), w in sorted(weights.items()) if g == f]
-            table = F.create_map(*[F.lit(x) for pair in known for x in pair])
-            out = out + F.coalesce(F.element_at(table, span[f].cast("string")), F.lit(0.0))
+            out = out + F.coalesce(F.element_at(known, F.concat_ws("|", F.lit(f), span["kind"], span["f"][f].cast("string"))), F.lit(0.0))
         return out
 
     return odds

@@ -8,13 +8,15 @@ from .common import read_table
 
 #: The conversation that the contract adds.
 EXTRA = "</s>[INST] ok [/INST]"
+#: Tokens of a window and turns of history; at this budget most conversations have several windows.
+BUDGET, HISTORY = 256, 2
 
 
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = F.array(*[F.struct(F.lit(k).alias("turn"), F.lit(r).alias("role"), F.lit(EXTRA).alias("text")) for k, r in enumerate(("user", "assistant"))])
     extra = spark.range(1).select(F.lit(-7).cast("bigint").alias("conv_id"), F.explode(said).alias("t")).select("conv_id", F.col("t.turn").cast("bigint").alias("turn"), "t.role", "t.text")
-    back = read_back(windows(conversations(rows.unionByName(extra))))
+    back = read_back(windows(conversations(rows.unionByName(extra)), BUDGET, HISTORY))
     turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return back.select(
         F.col("id").alias("conv_id"),

@@ -50,6 +50,11 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
     starts = [0, *(ends[:-shingle] + 1).tolist()]
     digest = xxhash.xxh64_intdigest
     hashes = np.fromiter((digest(line[s:e], seed) for s, e in zip(starts, ends[shingle - 1 :].tolist(), strict=True)), np.uint64, len(starts))
+    return of_hashes(hashes)
+
+
+def of_hashes(hashes: np.ndarray) -> int:
+    """The fingerprint of the hashes of shingles."""
     ones = np.zeros(BITS, np.int64)
     for k in range(0, len(hashes), 1 << 15):
         ones += np.unpackbits(hashes[k : k + (1 << 15)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int32)

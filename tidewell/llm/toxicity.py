@@ -5,11 +5,14 @@ a frame that both dictionaries know. Its distance is its compressed length with
 less that with the toxic one. A document is scored by how many of its windows pass thresholds, by a
 logistic calibration on labelled documents that the dictionaries have not seen.
 
-The toxic dictionary learns from those beginnings of words in toxic documents that are far more frequent
-there than in ordinary ones (a likelihood ratio over families of near copies, each counted once); the rest of
-toxic documents is ordinary text and would only blur the distance.
+Both dictionaries are trained by zstandard on windows alone: the ordinary one on those of ordinary documents,
+the toxic one on those windows of toxic documents that begin like few windows of ordinary ones (a likelihood
+ratio over families of near copies, each counted once); the rest of toxic documents is ordinary text and would
+only blur the distance.
 
-The model is fitted on at most ``max_rows`` labelled rows (8,000 by default), which the driver reads.
+The model is fitted on at most ``max_rows`` labelled rows (8,000 by default), which the driver reads, those of
+``MAX_CHARS`` characters at most, so that the driver's share is bounded in bytes too; scoring reads whole texts.
+The ordinary dictionary is trained on at most ``MAX_WINDOWS`` of their windows, drawn evenly.
 
 Defined results for odd input: null, empty and blank texts have no windows and get the score of a text
 without a toxic window; texts are scored whole, whatever their length; repeated rows get equal scores;
@@ -34,8 +37,10 @@ from .labelled import best_cut, logistic, probability
 
 FRAME = b"~0~1~2~3~4~5~6~7~8~9"
 LEVEL = 9
+K = 32  # length of the segments that the training picks
 THRESHOLDS = (2, 3, 4, 5, 6)
 KEPT_WORDS = 300_000
+MAX_CHARS, MAX_WINDOWS = 20_000, 300_000
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -102,18 +107,18 @@ def telling_segments(texts: list[str], labels: np.ndarray, least: int = 5, ratio
     return telling
 
 
-def train_dictionary(samples: list[bytes], size: int, whole: list[bytes] = ()) -> bytes:
-    """A trained zstandard dictionary, then the segments whole, then the frame.
+def train_dictionary(windows: list[bytes], size: int) -> bytes:
+    """A zstandard dictionary trained on the windows, then the frame.
 
-    Matches nearer to the end are cheaper. Where there is too little to train on, it is plain content.
+    Where there is too little to train on, it is plain content.
     """
     import zstandard
 
     try:
-        body = zstandard.train_dictionary(size, samples, k=24, d=6, level=LEVEL).as_bytes()
+        body = zstandard.train_dictionary(size, windows, k=K, d=6, level=LEVEL).as_bytes()
     except zstandard.ZstdError:
-        body = b"".join(dict.fromkeys(samples))[:size]
-    return body + b"".join(whole) + FRAME
+        body = b"".join(dict.fromkeys(windows))[:size]
+    return body + FRAME
 
 
 class Distance:
@@ -176,23 +181,20 @@ def _dictionaries(texts: list[str], labels: np.ndarray, seed: int) -> tuple[byte
     if not telling:
         telling = telling_segments(texts, labels, least=1, ratio=3.0, gain=0.0)  # few labels
     rnd = random.Random(seed)
-    toxic = [s for s, c in sorted(telling.items()) for _ in range(c)]
+    seen: dict[int, set[bytes]] = {}
+    for k, f in enumerate(families(texts)):
+        if labels[k]:
+            seen.setdefault(f, set()).update(words_of(texts[k]))
+    toxic = [b" " + w + b" " for _, words in sorted(seen.items()) for w in sorted(words) if not telling.keys().isdisjoint(segments([w]))]
+    usual = [b" " + w + b" " for k in range(len(texts)) if not labels[k] for w in sorted(set(words_of(texts[k])))]
     rnd.shuffle(toxic)
-    plain = [k for k in range(len(texts)) if not labels[k]]
-    rnd.shuffle(plain)
-    usual: list[bytes] = []
-    for k in plain:
-        usual += [s for s in sorted(segments(words_of(texts[k]))) if s not in telling]
-        if len(usual) >= 300_000:
-            break
-    longest = [s for s in telling if not any(s != t and t.startswith(s) and 2 * telling[t] >= telling[s] for t in telling)]
-    longest = sorted(longest, key=lambda s: (-telling[s], s))[:400]
-    return train_dictionary(toxic, 4096, longest[::-1]), train_dictionary(usual, 65536)
+    rnd.shuffle(usual)
+    return train_dictionary(toxic, 4096), train_dictionary(usual[:MAX_WINDOWS], 65536)
 
 
 def fit(sample: DataFrame, seed: int = 7) -> Model:
     """The model of a sample (id, label, text), a third of which calibrates what the rest has trained."""
-    rows = sample.select("id", "label", "text").toArrow().sort_by([("id", "ascending"), ("text", "ascending")])
+    rows = sample.filter(F.char_length("text") <= MAX_CHARS).select("id", "label", "text").toArrow().sort_by([("id", "ascending"), ("text", "ascending")])
     texts, labels, ids = rows["text"].to_pylist(), np.array(rows["label"].to_pylist(), float), rows["id"].to_pylist()
     if len(set(labels.tolist())) < 2:
         model = Model(b"", b"")
