@@ -72,3 +72,22 @@ def test_list_runs(spark):
     df = spark.createDataFrame([("e", "p", k, t) for k, t in enumerate(text)], "entity string, page string, n int, t string")
     got = im.list_runs(df, "entity", F.col("t") == "Partners", F.col("t").startswith("U "))
     assert [r["t"] for r in got.orderBy("n").collect()] == ["U one", "U two", "U three"]
+
+
+def test_own_domain_refuses_siblings(spark):
+    cases = [("a@uni.edu", "www.uni.edu", True), ("a@lab.uni.edu", "uni.edu", True), ("a@uni.edu", "lab.uni.edu", True), ("a@x.uni.edu", "y.uni.edu", False), ("a@edu", "uni.edu", False)]
+    df = spark.createDataFrame([(i, e, h) for i, (e, h, _) in enumerate(cases)], "i int, e string, h string")
+    got = {r[0]: r[1] for r in df.select("i", c.own_email_domain(F.col("e"), F.col("h"))).collect()}
+    assert [got[i] for i in range(len(cases))] == [w for *_, w in cases]
+
+
+def test_marked_addresses_go_first(spark):
+    from tidewell.functions.text import emails_in
+
+    assert one(spark, emails_in(A), a="x@y.com or <info@z.org>.") == ["info@z.org"]
+    assert one(spark, emails_in(A), a="a@b.comTel c@d.org, a@b.com") == ["a@b.com", "c@d.org"]
+
+
+def test_role_classes_are_whole(spark):
+    for text, role in [("English teacher", "language_or_project_teacher"), ("EU projects coordinator", "language_or_project_teacher"), ("Gérant", "principal_or_director"), ("jefe de relaciones", "international_relations_head"), ("Secretaria", "secretary_or_admin")]:
+        assert one(spark, c.role_of(A), a=text) == role

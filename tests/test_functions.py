@@ -45,7 +45,7 @@ def test_quotes(spark, quote, text, want):
 @pytest.mark.parametrize(
     ("row", "want"),
     [
-        ((False, 1.0, True), "none"), ((True, None, True), "needs_arrival_date"), ((True, 3.9, True), "qualified"), ((True, 4.0, True), "engagement_appointment"),
+        ((False, 1.0, True), "none"), ((True, None, True), "needs_arrival_date"), ((True, 3.9, True), "qualified_appointment"), ((True, 4.0, True), "engagement_appointment"),
         ((True, 6.1, True), "follow_up_appointment"), ((True, 3.0, False), "needs_review"), ((True, 6.0, False), "engagement"), ((True, 7.0, False), "follow_up"),
     ],
 )

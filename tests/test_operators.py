@@ -25,7 +25,7 @@ def test_summary_with_open_logout(spark):
 
 def test_duplicate_groups_are_not_transitive(spark):
     rows = spark.createDataFrame([(1, "p", "x"), (2, "p", "y"), (3, "q", "y"), (4, "", None), (5, None, "")], "id long, phone string, name string")
-    assert {r["id"]: r["groups"] for r in matching.duplicate_groups(rows, "id", ["phone", "name"]).collect()} == {1: [1], 2: [1, 2], 3: [2]}
+    assert {r["id"]: r["groups"] for r in matching.duplicate_groups(rows, "id", ["phone", "name"]).collect()} == {1: ["1.1"], 2: ["1.1", "2.1"], 3: ["2.1"]}
 
 
 def test_number_is_used_up_only_when_taken(spark):
@@ -86,4 +86,52 @@ def test_quiet_time_and_idle():
     s, r = monitors.presence_step(s, 1000.0, False, True, 900, 3600)
     assert r is None
     assert monitors.presence_step(s, 4500.0, False, True, 900, 3600)[1] == "offline during shift"
-    assert monitors.presence_step(s, 5000.0, None, True, 900, 3600) == (s, None)
+    s, r = monitors.presence_step(s, 5000.0, None, True, 900, 3600)
+    assert (s, r) == ((None, 900.0, 900.0), None)
+    assert monitors.presence_step(s, 9000.0, True, True, 900, 3600)[1] is None  # after an unanswered poll, online is not idle
+
+
+def test_groups_with_one_least_row_are_two(spark):
+    rows = spark.createDataFrame([(1, "a", "x"), (2, "a", ""), (3, "", "x")], "id long, phone string, name string")
+    got = {r["id"]: set(r["groups"]) for r in matching.duplicate_groups(rows, "id", ["phone", "name"]).collect()}
+    assert got[1] == {"1.1", "1.2"} == got[2] | got[3] and not got[2] & got[3]
+
+
+def test_pause_wins_over_progress(spark):
+    from pyspark.sql import functions as F
+
+    from tidewell.operators import scheduling
+
+    cases = [((0, False, "quota"), "done"), ((3, True, "quota"), "waiting daily"), ((3, True, "busy"), "waiting busy"), ((3, True, None), "running"), ((3, False, None), "waiting retry"), ((3, None, None), "waiting retry")]
+    df = spark.createDataFrame([(i, *c) for i, (c, _) in enumerate(cases)], "i int, p int, g boolean, r string")
+    got = {r[0]: r[1] for r in df.select("i", scheduling.wait_state(F.col("p"), F.col("g"), F.col("r"))).collect()}
+    assert [got[i] for i in range(len(cases))] == [want for _, want in cases]
+
+
+def test_parts_follow_the_order(spark):
+    from tidewell.operators import importing
+
+    rows = spark.range(5000).selectExpr("(id * 7919) % 5000 * 3 AS k")
+    got = sorted((r["k"], r["part"]) for r in importing.parts(rows, "k").collect())
+    assert [p for _, p in got] == [i // 1000 + 1 for i in range(5000)]
+    assert {r["part"] for r in importing.parts(rows.limit(1200), "k").collect()} == {1}
+
+
+def test_numbers_once_per_shard(spark):
+    from tidewell.operators import scheduling
+
+    rows = [("a", 1, 1, "n1"), ("a", 1, 2, "n2"), ("a", 1, 3, "n3"), ("a", 1, 4, "n4"), ("a", 2, 1, "n4"), ("a", 2, 2, "n1"), ("b", 1, 1, "n1"), ("b", 1, 2, None)]
+    got = scheduling.numbers_once(spark.createDataFrame(rows, "s string, lead int, o int, n string"), "s", "lead", "o", "n").collect()
+    assert sorted(tuple(r) for r in got) == [("a", 1, 1, "n1"), ("a", 1, 2, "n2"), ("a", 1, 3, "n3"), ("a", 2, 1, "n4"), ("b", 1, 1, "n1")]
+
+
+def test_links_of_any_anchor(spark):
+    from pyspark.sql import functions as F
+
+    from tidewell.functions import pages
+
+    html = '<A class=x HREF="/a?b=1&amp;c">One <b>two</b></A> <a href=\'c.html\'>C</a><a href=../d>D</a><a href="https://e.org/">E</a><a href="/a?b=1&amp;c">again</a><a href="#top">no</a><a href="mailto:x@y.org">m</a><a href=//f.org>F</a>'
+    got = spark.range(1).select(pages.links(F.lit(html), F.lit("http://h.org/p/q.html?z#w")).alias("l")).first()["l"]
+    assert [tuple(x) for x in got] == [("One two", "http://h.org/a?b=1&c"), ("C", "http://h.org/p/c.html"), ("D", "http://h.org/p/../d"), ("E", "https://e.org/"), ("F", "http://f.org")]
+    text = spark.range(1).select(pages.page_text(F.lit("<nav>menu</nav><p>Write <a href='mailto:a@b.org?subject=x'>us</a><script>x</script></p><table><tr><td>1</td><td>2</td></tr></table>"))).first()[0]
+    assert text == "Write us <a@b.org>\n1 | 2 |"

@@ -28,6 +28,11 @@ DIAL = {
 }
 # Words that stand for no country.
 NO_COUNTRY = ("unknown", "n/a", "na", "none", "-", "various", "multiple", "not stated", "not specified")
+# Endings of domains, longest first where one begins another.
+ENDINGS = (
+    "info com org net edu gov int biz cat eus gal eu io ac co uk de fr es it pt nl be at ch pl cz sk hu si hr ro bg gr cy mt ie dk se no fi ee "
+    "lv lt lu is tr rs ua ru mk al ba me xk ad li us ca"
+).split()
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 
 
@@ -41,9 +46,9 @@ def attempt_categories(text: Column) -> Column:
 def outcome_label(interested: Column, months: Column, booked: Column) -> Column:
     """The label of a call by facts: interest, months until arrival, a booked meeting."""
     return (
-        F.when(~interested, "none")
+        F.when(~F.coalesce(interested, F.lit(False)), "none")
         .when(months.isNull(), "needs_arrival_date")
-        .when(booked & (months < 4), "qualified")
+        .when(booked & (months < 4), "qualified_appointment")
         .when(~booked & (months < 4), "needs_review")
         .when(months <= 6, F.when(booked, "engagement_appointment").otherwise("engagement"))
         .otherwise(F.when(booked, "follow_up_appointment").otherwise("follow_up"))
@@ -67,9 +72,17 @@ def day_month(text: Column) -> Column:
     return F.when(day == "", "").otherwise(F.concat(F.lpad(day, 2, "0"), F.lit("/"), F.lpad(month, 2, "0")))
 
 
+def repaired_email(x: Column) -> Column:
+    """An address that other text was glued to: cut behind a known ending that a capital follows; marks at its end go."""
+    bare = F.regexp_replace(x, "[.,;:]+$", "")
+    return F.regexp_replace(bare, rf"^([^@]*@(?:[^.]+\.)*?[^.]+\.(?:{'|'.join(ENDINGS)}))(?=[A-Z]).*$", "$1")
+
+
 def emails_in(text: Column) -> Column:
-    """Distinct addresses in order."""
-    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"({EMAIL})"), F.lit(1)))
+    """Distinct addresses in order: marked ones (<address>) alone if there are any, else all, repaired."""
+    marked = F.transform(F.regexp_extract_all(text, F.lit(r"<([^<>\s@]+@[^<>\s]+)>"), F.lit(1)), lambda x: F.regexp_replace(x, "[.,;:]+$", ""))
+    found = F.transform(F.regexp_extract_all(text, F.lit(f"({EMAIL})"), F.lit(1)), repaired_email)
+    return F.array_distinct(F.when(F.size(marked) > 0, marked).otherwise(found))
 
 
 def first_phone(text: Column) -> Column:

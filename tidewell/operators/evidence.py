@@ -20,14 +20,18 @@ def numbered_lines(pages: DataFrame, entity: str, page: str, score: str, text: s
     """entity, page, n, line: pages by falling score, each line of an entity once (whatever its case), numbered through.
 
     A line that repeats is kept where it comes first. Repeats are found by a minimum per line, not by
-    gathering; only the running number sorts the lines of an entity.
+    gathering; the numbers are the lines of the pages before, which are sums over pages, and the place in the page.
     """
     lines = pages.select(entity, page, score, F.posexplode(clean_lines(F.col(text))).alias("pos", "line"))
     place = F.struct((-F.col(score)).alias("s"), F.col(page).alias("p"), F.col("pos").alias("o"))
     first = lines.groupBy(entity, F.lower("line").alias("k")).agg(F.min_by(F.struct(page, "pos", "line", score), place).alias("l"))
     kept = first.select(entity, "l.*")
-    order = Window.partitionBy(entity).orderBy(F.col(score).desc(), page, "pos")
-    return kept.select(entity, page, score, "pos", "line", F.row_number().over(order).alias("n"))
+    pages_before = Window.partitionBy(entity).orderBy(F.col(score).desc(), page).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = kept.groupBy(entity, page, score).agg(F.count("*").alias("__c"))
+    ahead = sizes.select(entity, F.col(page).alias("__page"), F.col(score).alias("__score"), F.coalesce(F.sum("__c").over(pages_before), F.lit(0)).alias("__o"))
+    place = F.row_number().over(Window.partitionBy(entity, page, score).orderBy("pos"))
+    placed = kept.withColumn("__i", place).join(ahead.withColumnRenamed(entity, "__entity"), F.col(entity).eqNullSafe(F.col("__entity")) & F.col(page).eqNullSafe(F.col("__page")) & F.col(score).eqNullSafe(F.col("__score")))
+    return placed.select(entity, page, score, "pos", "line", (F.col("__o") + F.col("__i")).alias("n"))
 
 
 def within_budget(lines: DataFrame, entity: str, page: str, score: str, budget: int = 90_000, least: int = 4_000) -> DataFrame:

@@ -45,15 +45,17 @@ def blank_header(cells: Column) -> Column:
     return 5 * long >= 3 * F.size(cells)
 
 
-def parts(rows: DataFrame, ident: str, size: int = 1000, limit: int = 1200) -> DataFrame:
-    """rows with part: sheets of over limit rows in parts of size, by the order of ident.
+def parts(rows: DataFrame, ident: str, size: int = 1000, limit: int = 1200, ranges: int = 200) -> DataFrame:
+    """rows with part: sheets of over limit rows in parts of size, by the order of a numeric ident.
 
-    Positions come from counts per range partition, so no single task sorts the whole sheet.
+    The rows are dealt into ranges by bounds that are fixed once; places come from counts per range, so no
+    single task sorts the whole sheet, and a repeated task numbers its rows alike.
     """
-    ranged = rows.repartitionByRange(ident).withColumn("__p", F.spark_partition_id())
+    bounds = sorted(set(rows.approxQuantile(ident, [k / ranges for k in range(1, ranges)], 0.001)))
+    ranged = rows.withColumn("__p", F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col(ident))) if bounds else F.lit(0))
     counts = ranged.groupBy("__p").agg(F.count("*").alias("__c"))
     before = F.coalesce(F.sum("__c").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = counts.select("__p", before.alias("__o"), F.sum("__c").over(Window.partitionBy()).alias("__all"))
+    offsets = counts.select("__p", before.alias("__o"), F.sum("__c").over(Window.partitionBy()).alias("__all"))  # a row for each range
     at = F.col("__o") + F.row_number().over(Window.partitionBy("__p").orderBy(ident)) - 1
     return ranged.join(F.broadcast(offsets), "__p").withColumn("part", F.when(F.col("__all") > limit, F.floor(at / size) + 1).otherwise(1)).drop("__p", "__o", "__all")
 

@@ -9,15 +9,18 @@ from pyspark.sql import functions as F
 def duplicate_groups(rows: DataFrame, ident: str, keys: list[str]) -> DataFrame:
     """Groups of two or more rows that share a value of one of the keys; not transitive.
 
-    Columns ident and groups: the sorted ids of the row's groups. A group's id is the least row id in it;
-    groups of different keys with the same members are one. Members are compared by count and two hashes,
+    Columns ident and groups: the sorted names of the row's groups. A group is named by its least row and its
+    number among the groups with that least row, a few at most, as a row has few keys. Groups of different keys
+    with the same members are one. Members are compared by their count and the sum of 60 bits of their MD5,
     so no group is gathered.
     """
     long = rows.select(ident, F.explode(F.array_compact(F.array(*[F.when(F.coalesce(F.col(k).cast("string"), F.lit("")) != "", F.concat(F.lit(f"{k}:"), F.col(k).cast("string"))) for k in keys]))).alias("key")).distinct()
-    mark = F.xxhash64(ident)
-    groups = long.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(mark).alias("x"), F.sum(mark.bitwiseAND(F.lit((1 << 32) - 1))).alias("s"), F.min(ident).alias("group")).filter("n > 1")
-    member = long.join(groups, "key").select(ident, "group", "n", "x", "s").distinct()
-    return member.groupBy(ident).agg(F.sort_array(F.collect_list("group")).alias("groups"))
+    mark = F.conv(F.substring(F.md5(F.encode(F.col(ident).cast("string"), "UTF-8")), 1, 15), 16, 10).cast("decimal(38,0)")
+    groups = long.groupBy("key").agg(F.count("*").alias("n"), F.sum(mark).alias("s"), F.min(ident).alias("least")).filter("n > 1")
+    named = groups.select("least", "n", "s").distinct().withColumn("k", F.row_number().over(Window.partitionBy("least").orderBy("n", "s")))
+    name = F.concat_ws(".", F.col("least").cast("string"), F.col("k").cast("string"))
+    member = long.join(groups, "key").select(ident, "least", "n", "s").distinct().join(named, ["least", "n", "s"])
+    return member.groupBy(ident).agg(F.transform(F.sort_array(F.collect_list(F.struct("least", "k", name.alias("name")))), lambda g: g["name"]).alias("groups"))
 
 
 def first_of_key(rows: DataFrame, ident: str, key: Column) -> DataFrame:
@@ -52,14 +55,17 @@ def unique_containment(names: DataFrame, register: DataFrame, block: str) -> Dat
     """Names whose tokens all stand in the tokens of a register entry of the same block, where just one group fits.
 
     names: name_id, tokens, block. register: entry_id, grp, tokens, block. Entries are found through the
-    rarest token of a name in its block, so only entries that share it are compared.
+    rarest token of a name in its block, so only entries that share it are compared; the arrays of tokens are
+    fetched for those alone.
     """
-    tokens = register.select(block, "entry_id", "grp", F.col("tokens").alias("all"), F.explode(F.array_distinct("tokens")).alias("t"))
+    tokens = register.select(block, "entry_id", F.explode(F.array_distinct("tokens")).alias("t"))
     common = tokens.groupBy(block, "t").agg(F.count("*").alias("n"))
-    each = names.select("name_id", block, F.col("tokens").alias("want"), F.explode(F.array_distinct("tokens")).alias("t"))
+    each = names.select("name_id", block, F.explode(F.array_distinct("tokens")).alias("t"))
     rare = each.join(common, [block, "t"], "left").fillna(0, ["n"])
-    rare = rare.withColumn("r", F.row_number().over(Window.partitionBy("name_id").orderBy("n", "t"))).filter("r = 1")
-    fit = rare.join(tokens, [block, "t"]).filter(F.size(F.array_except("want", "all")) == 0)
+    rare = rare.groupBy("name_id", block).agg(F.min(F.struct("n", "t")).alias("r")).select("name_id", block, "r.n", "r.t").filter("n > 0")
+    proposed = rare.join(tokens, [block, "t"]).select("name_id", "entry_id", block)
+    fit = proposed.join(names.select("name_id", block, F.col("tokens").alias("want")), ["name_id", block]).join(register.select(block, "entry_id", "grp", F.col("tokens").alias("all")), [block, "entry_id"])
+    fit = fit.filter(F.size(F.array_except("want", "all")) == 0)
     return fit.groupBy("name_id").agg(F.min("grp").alias("grp"), F.count_distinct("grp").alias("k")).filter("k = 1").drop("k")
 
 

@@ -40,4 +40,4 @@ def round_robin(cands: DataFrame, group: str, kind: str, score: str, ident: str,
     """The first k of a group in turns over its kinds: each kind's best, then each kind's second best, and so on."""
     turn = F.row_number().over(Window.partitionBy(group, kind).orderBy(F.col(score).desc(), ident))
     place = F.row_number().over(Window.partitionBy(group).orderBy("turn", kind))
-    return cands.withColumn("turn", turn).withColumn("place", place).filter(F.col("place") <= k)
+    return cands.withColumn("turn", turn).filter(F.col("turn") <= k).withColumn("place", place).filter(F.col("place") <= k)

@@ -24,7 +24,15 @@ def spending_cap(total: Column, spent: Column, floor: float = 0.5, reserve: floa
 
 
 def wait_state(pending: Column, progressed: Column, reason: Column) -> Column:
-    return F.when(pending == 0, "done").when(progressed, "running").when(reason == "quota", "waiting daily").when(reason == "busy", "waiting busy").otherwise("waiting retry")
+    """What a batch reports with rows left: a pause (quota, busy) wins over progress, and no progress waits to retry."""
+    return F.when(pending == 0, "done").when(reason == "quota", "waiting daily").when(reason == "busy", "waiting busy").when(~F.coalesce(progressed, F.lit(False)), "waiting retry").otherwise("running")
+
+
+def resume_time(state: Column, now: Column, until: Column, was_waiting: Column, progressed: Column) -> Column:
+    """When a waiting batch is due: the pause's end, though half an hour on if it waited before in vain; at least a quarter of an hour for the others."""
+    later = lambda minutes: now + F.expr(f"INTERVAL {minutes} MINUTES")
+    again = F.coalesce(was_waiting, F.lit(False)) & ~F.coalesce(progressed, F.lit(False))
+    return F.when(state == "waiting daily", F.when(again, later(30)).otherwise(until)).when(state == "waiting busy", F.greatest(until, later(15))).when(state == "waiting retry", later(15))
 
 
 def stale(minutes: Column, restarts: Column, limit: int = 60, most: int = 3) -> Column:
@@ -43,18 +51,20 @@ def numbers_once(leads: DataFrame, shard: str, lead: str, order: str, number: st
     """Give every number to the first lead that can take it: each lead has per_lead at most.
 
     A number beyond a lead's cap is not used up; a later lead may still take it. That needs an ordered
-    fold, which runs per shard (a key that numbers don't cross, such as a country), in batches of rows
-    that Spark sorts; the state is the set of numbers taken, not the rows.
+    fold, which runs per shard (a key that numbers don't cross, such as a country): rows are dealt out by
+    shard and sorted by Spark, which spills; a task reads them in batches and holds the numbers taken of one shard.
     """
+    picked = leads.select(shard, lead, order, number)
 
-    def fold(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        taken: set = set()
-        now, held = None, 0
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        where, who, held, taken = None, None, 0, set()
         for rows in batches:
             keep = []
-            for who, what in zip(rows[lead], rows[number], strict=True):
-                if who != now:
-                    now, held = who, 0
+            for s, k, what in zip(rows[shard], rows[lead], rows[number], strict=True):
+                if s != where:
+                    where, who, taken = s, None, set()
+                if k != who:
+                    who, held = k, 0
                 good = what is not None and what not in taken and held < per_lead
                 if good:
                     taken.add(what)
@@ -62,9 +72,4 @@ def numbers_once(leads: DataFrame, shard: str, lead: str, order: str, number: st
                 keep.append(good)
             yield rows[keep]
 
-    picked = leads.select(shard, lead, order, number)
-
-    def all_rows(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.concat([pdf.iloc[:0], *fold((), iter([pdf.sort_values([lead, order, number])]))])
-
-    return picked.groupBy(shard).applyInPandas(all_rows, picked.schema)
+    return picked.repartition(shard).sortWithinPartitions(shard, lead, order, number).mapInPandas(fold, picked.schema)

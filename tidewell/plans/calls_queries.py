@@ -84,9 +84,9 @@ FROM j
 
 
 def new_gap_alerts(spark: SparkSession, d: str) -> DataFrame:
-    """Gap alerts not told before; what was seen are the events of even id."""
+    """Gap alerts not told before; those told are the ones that ended with a purchase or a click."""
     found = calls.call_gaps(_events(spark, d), GAP_MINUTES, **NAMES)
-    seen = _events(spark, d).filter("event_id % 2 = 0").select("event_id")
+    seen = _events(spark, d).filter(F.col("event_type").isin("purchase", "click")).select("event_id")
     return calls.unseen(found, seen, "event_id").select("event_id", "user_id")
 
 
@@ -100,7 +100,7 @@ def outcome_labels(spark: SparkSession, d: str) -> DataFrame:
 
 OUTCOME_SQL = """
 WITH f AS (SELECT o_orderstatus <> 'F' AS i, CASE WHEN o_orderkey % 7 <> 0 THEN month(o_orderdate)::DOUBLE END AS m, o_orderpriority[1] IN ('1', '2') AS b FROM orders)
-SELECT CASE WHEN NOT i THEN 'none' WHEN m IS NULL THEN 'needs_arrival_date' WHEN b AND m < 4 THEN 'qualified' WHEN b AND m <= 6 THEN 'engagement_appointment'
+SELECT CASE WHEN NOT coalesce(i, false) THEN 'none' WHEN m IS NULL THEN 'needs_arrival_date' WHEN b AND m < 4 THEN 'qualified_appointment' WHEN b AND m <= 6 THEN 'engagement_appointment'
             WHEN b THEN 'follow_up_appointment' WHEN m < 4 THEN 'needs_review' WHEN m <= 6 THEN 'engagement' ELSE 'follow_up' END AS outcome, count(*) AS n
 FROM f GROUP BY 1
 """
@@ -135,13 +135,13 @@ FROM (SELECT conv_id, string_agg(concat_ws(': ', role, text), chr(10) ORDER BY t
 
 def campaign_state(spark: SparkSession, d: str) -> DataFrame:
     """The state of every customer after all orders, read as calls."""
-    rows = table(spark, d, "orders").select("o_custkey", "o_orderkey", F.when(F.col("o_orderstatus") == "F", "none").otherwise("qualified").alias("outcome"), (F.col("o_totalprice") > 50_000).alias("answered"))
+    rows = table(spark, d, "orders").select("o_custkey", "o_orderkey", F.when(F.col("o_orderstatus") == "F", "none").otherwise("qualified_appointment").alias("outcome"), (F.col("o_totalprice") > 50_000).alias("answered"))
     return calls.after_calls(rows, "o_custkey", "o_orderkey", "outcome", "answered")
 
 
 STATE_SQL = """
 WITH l AS (SELECT o_custkey, count(*) AS attempts_total, max(o_orderkey) AS k FROM orders GROUP BY 1)
-SELECT l.o_custkey, attempts_total, CASE WHEN o_orderstatus = 'F' THEN 'none' ELSE 'qualified' END AS last_outcome,
+SELECT l.o_custkey, attempts_total, CASE WHEN o_orderstatus = 'F' THEN 'none' ELSE 'qualified_appointment' END AS last_outcome,
        CASE WHEN o_totalprice > 50000 AND o_orderstatus <> 'F' THEN 'done' WHEN o_totalprice <= 50000 THEN 'pending' ELSE 'calling' END AS status
 FROM l JOIN orders o ON o.o_orderkey = l.k
 """
@@ -165,23 +165,14 @@ SELECT o_custkey, today, contacts FROM p JOIN t USING (o_custkey) WHERE s <> 'F'
 """
 
 
-def presence_alerts(spark: SparkSession, d: str) -> DataFrame:
-    """Alerts of the presence fold over all events read as polls (see the streaming monitors)."""
-    from tidewell.streaming.monitors import presence_alerts_batch
-
-    polls = _events(spark, d).select(F.col("user_id").alias("extension"), F.col("ts").cast("timestamp").alias("at"), (F.col("event_type") != "error").alias("online"))
-    return presence_alerts_batch(polls, SHIFT).select("extension", F.unix_micros("at").alias("at_us"), "reason")
-
-
 QUERIES = {
     "daily_summary": (daily_summary, SUMMARY_SQL),
     "call_gaps": (call_gaps, GAPS_SQL + f"SELECT event_id, user_id, round_even(gap, 2) AS gap_seconds FROM x WHERE gap > {GAP_MINUTES * 60}"),
-    "new_gap_alerts": (new_gap_alerts, GAPS_SQL + f"SELECT event_id, user_id FROM x WHERE gap > {GAP_MINUTES * 60} AND event_id NOT IN (SELECT event_id FROM events WHERE event_id % 2 = 0)"),
+    "new_gap_alerts": (new_gap_alerts, GAPS_SQL + f"SELECT event_id, user_id FROM x WHERE gap > {GAP_MINUTES * 60} AND event_id NOT IN (SELECT event_id FROM events WHERE event_type IN ('purchase', 'click'))"),
     "logout_sessions": (logout_sessions, f"WITH {LOGOUT_CTE} SELECT user_id AS extension, day, epoch_us(ts) AS out_us, epoch_us(back) AS back_us FROM out"),
     "outcome_labels": (outcome_labels, OUTCOME_SQL),
     "attempt_categories": (attempt_categories, _attempt_sql()),
     "transcripts": (transcripts, TRANSCRIPT_SQL),
     "campaign_state": (campaign_state, STATE_SQL),
     "eligible_customers": (eligible_customers, ELIGIBLE_SQL),
-    "presence_alerts": (presence_alerts, None),
 }

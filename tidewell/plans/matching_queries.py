@@ -51,7 +51,9 @@ def contacts_in_text(spark: SparkSession, d: str) -> DataFrame:
 
 
 CONTACTS_SQL = rf"""
-WITH m AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{tx.EMAIL}') AS e, regexp_extract(coalesce(text, ''), '\b(\d{{1,2}})/(\d{{1,2}})\b', ['d', 'm']) AS g FROM documents),
+WITH f AS (SELECT doc_id, text, list_transform(regexp_extract_all(coalesce(text, ''), '<([^<>\s@]+@[^<>\s]+)>', 1), lambda x: regexp_replace(x, '[.,;:]+$', '')) AS marked,
+                  list_transform(regexp_extract_all(coalesce(text, ''), '{tx.EMAIL}'), lambda x: regexp_replace(regexp_replace(x, '[.,;:]+$', ''), '^([^@]*@(?:[^.]+\.)*?[^.]+\.(?:{"|".join(tx.ENDINGS)}))[A-Z].*$', '')) AS plain FROM documents),
+m AS (SELECT doc_id, CASE WHEN len(marked) > 0 THEN marked ELSE plain END AS e, regexp_extract(coalesce(text, ''), '\b(\d{{1,2}})/(\d{{1,2}})\b', ['d', 'm']) AS g FROM f),
 x AS (SELECT doc_id, list_filter(e, lambda v, i: list_position(e, v) = i) AS e, g FROM m)
 SELECT doc_id, array_to_string(e, ';') AS emails, CASE WHEN len(e) > 0 THEN sha256('e:' || lower(e[1]))[1:16] END AS email_hash,
        CASE WHEN g.d = '' THEN '' ELSE lpad(g.d, 2, '0') || '/' || lpad(g.m, 2, '0') END AS day_month FROM x
@@ -76,15 +78,16 @@ def duplicate_groups(spark: SparkSession, d: str) -> DataFrame:
     t = F.coalesce("text", F.lit(""))
     rows = table(spark, d, "documents").select("doc_id", md5(keys.ascii_key(t)).alias("whole"), md5(F.concat_ws("|", "source", keys.ascii_key(F.get(F.split(t, "\n"), 0)))).alias("head"))
     out = matching.duplicate_groups(rows, "doc_id", ["whole", "head"])
-    return out.select("doc_id", F.array_join(F.transform("groups", lambda g: g.cast("string")), " ").alias("groups"))
+    return out.select("doc_id", F.array_join("groups", " ").alias("groups"))
 
 
 GROUPS_SQL = """
 WITH r AS (SELECT doc_id, md5(regexp_replace(lower(coalesce(text, '')), '[^a-z0-9]', '', 'g')) AS w,
                   md5(concat_ws('|', source, regexp_replace(lower(string_split(coalesce(text, ''), chr(10))[1]), '[^a-z0-9]', '', 'g'))) AS h FROM documents),
 k AS (SELECT DISTINCT doc_id, 'w' || w AS k FROM r UNION SELECT doc_id, 'h' || h FROM r),
-g AS (SELECT DISTINCT list_sort(list(doc_id)) AS m FROM k GROUP BY k HAVING count(*) > 1)
-SELECT doc_id, array_to_string(list_sort(list(m[1])), ' ') AS groups FROM (SELECT unnest(m) AS doc_id, m FROM g) GROUP BY 1
+g AS (SELECT DISTINCT list_sort(list(doc_id)) AS m, sum(('0x' || md5(doc_id::VARCHAR)[1:15])::BIGINT::HUGEINT) AS s FROM k GROUP BY k HAVING count(*) > 1),
+n AS (SELECT m, m[1] AS least, row_number() OVER (PARTITION BY m[1] ORDER BY len(m), s) AS k FROM g)
+SELECT doc_id, string_agg(least::VARCHAR || '.' || k, ' ' ORDER BY least, k) AS groups FROM (SELECT unnest(m) AS doc_id, least, k FROM n) GROUP BY 1
 """
 
 
@@ -119,34 +122,36 @@ SELECT coalesce(a, b, c) AS row_id, CASE WHEN a IS NOT NULL THEN 1 WHEN b IS NOT
 
 
 def register_match(spark: SparkSession, d: str) -> DataFrame:
-    """Benchmark items whose first words all stand in the words of one source's documents of a language, and of no other's."""
+    """Benchmark items whose words of six or more letters all stand in a document of one source of a language, and of no other's."""
     words = lambda t: F.array_distinct(F.filter(F.split(keys.folded_words(F.coalesce(t, F.lit(""))), " "), lambda w: F.char_length(w) >= 6))
-    names = table(spark, d, "benchmark").select(F.col("item_id").alias("name_id"), F.slice(words(F.col("text")), 1, 2).alias("tokens"), F.explode(F.array(*map(F.lit, ("en", "fr", "de", "es")))).alias("lang"))
+    lang = F.coalesce("lang", F.lit(""))
+    langs = table(spark, d, "documents").select(lang.alias("lang")).distinct()  # a few
+    names = table(spark, d, "benchmark").select(F.col("item_id").alias("name_id"), words(F.col("text")).alias("tokens")).crossJoin(F.broadcast(langs))
     names = names.filter(F.size("tokens") > 0).withColumn("name_id", F.concat_ws("-", "name_id", "lang"))
-    register = table(spark, d, "documents").select(F.col("doc_id").alias("entry_id"), F.col("source").alias("grp"), "lang", words(F.col("text")).alias("tokens"))
+    register = table(spark, d, "documents").select(F.col("doc_id").alias("entry_id"), F.col("source").alias("grp"), lang.alias("lang"), words(F.col("text")).alias("tokens"))
     return matching.unique_containment(names, register, "lang")
 
 
 REGISTER_SQL = r"""
 WITH n AS (SELECT item_id || '-' || lang AS name_id, lang, list_filter(string_split(trim(regexp_replace(strip_accents(lower(coalesce(text, ''))), '[^a-z0-9]+', ' ', 'g')), ' '), lambda w: length(w) >= 6) AS w
-           FROM benchmark, (SELECT unnest(['en', 'fr', 'de', 'es']) AS lang)),
-m AS (SELECT name_id, lang, list_filter(w, lambda v, i: list_position(w, v) = i)[1:2] AS want FROM n),
-d AS (SELECT doc_id, source, lang, string_split(trim(regexp_replace(strip_accents(lower(coalesce(text, ''))), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM documents)
+           FROM benchmark, (SELECT DISTINCT coalesce(lang, '') AS lang FROM documents)),
+m AS (SELECT name_id, lang, list_filter(w, lambda v, i: list_position(w, v) = i) AS want FROM n),
+d AS (SELECT doc_id, source, coalesce(lang, '') AS lang, string_split(trim(regexp_replace(strip_accents(lower(coalesce(text, ''))), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM documents)
 SELECT name_id, min(source) AS grp FROM m JOIN d ON m.lang = d.lang AND list_has_all(d.w, m.want) WHERE len(want) > 0 GROUP BY 1 HAVING count(DISTINCT source) = 1
 """
 
 
 def run_comparison(spark: SparkSession, d: str) -> DataFrame:
-    """Labels of both kinds side by side, as two runs over the documents."""
+    """Quality as the labels have it and as the length of a document suggests, side by side as two runs."""
     la = table(spark, d, "labels")
-    a = la.filter("doc_id % 3 <> 0").select("doc_id", F.col("quality").alias("v"))
-    b = la.filter("doc_id % 5 <> 0").select("doc_id", (1 - F.col("toxic")).alias("v"))
+    a = la.select("doc_id", F.col("quality").alias("v"))
+    b = table(spark, d, "documents").select("doc_id", (F.col("n_chars") > 1000).cast("int").alias("v"))
     return matching.compare_runs(a, b, "doc_id", "v").groupBy("verdict").agg(F.count("*").alias("n"))
 
 
 COMPARE_SQL = """
 SELECT CASE WHEN b.v IS NULL THEN 'only a' WHEN a.v IS NULL THEN 'only b' WHEN a.v = b.v THEN 'same' ELSE 'different' END AS verdict, count(*) AS n
-FROM (SELECT doc_id, quality AS v FROM labels WHERE doc_id % 3 <> 0) a FULL JOIN (SELECT doc_id, 1 - toxic AS v FROM labels WHERE doc_id % 5 <> 0) b ON a.doc_id = b.doc_id GROUP BY 1
+FROM (SELECT doc_id, quality AS v FROM labels) a FULL JOIN (SELECT doc_id, (n_chars > 1000)::INT AS v FROM documents) b ON a.doc_id = b.doc_id GROUP BY 1
 """
 
 
@@ -206,21 +211,22 @@ SELECT coalesce(o.o_custkey, n.o_custkey) AS o_custkey, coalesce(n.c, o.c) AS co
 
 def partner_scopes(spark: SparkSession, d: str) -> DataFrame:
     """Scopes of the pairs of supplier's and customer's nations over all lines."""
-    n = table(spark, d, "nation").select("n_nationkey", "n_name")
+    n = table(spark, d, "nation").select("n_nationkey", keys.comparable(F.col("n_name")).alias("n_name"))
     s = table(spark, d, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").alias("l_suppkey"), F.col("n_name").alias("theirs"))
     c = table(spark, d, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("c_custkey").alias("o_custkey"), F.col("n_name").alias("ours"))
     li = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_suppkey", "l_returnflag")
     full = li.join(s, "l_suppkey").join(table(spark, d, "orders").select("o_orderkey", "o_custkey"), "o_orderkey").join(c, "o_custkey")
     kind = F.when(F.col("l_returnflag") == "R", "network").otherwise("school")
     theirs = F.when(F.col("l_returnflag") == "A", F.col("theirs")).when(F.col("l_suppkey") % 2 == 0, "N/A").otherwise(F.col("theirs"))
-    return full.groupBy(tx.partner_scope(kind, theirs, F.col("ours")).alias("scope")).agg(F.count("*").alias("n"))
+    pairs = full.groupBy(kind.alias("kind"), theirs.alias("theirs"), "ours").agg(F.count("*").alias("n"))  # a few hundred, before anything is judged
+    return pairs.groupBy(tx.partner_scope(F.col("kind"), F.col("theirs"), F.col("ours")).alias("scope")).agg(F.sum("n").alias("n"))
 
 
 SCOPE_SQL = """
 WITH f AS (SELECT l_returnflag = 'R' AS net, CASE WHEN l_returnflag <> 'A' AND l_suppkey % 2 = 0 THEN '' ELSE lower(ns.n_name) END AS t, lower(nc.n_name) AS o
     FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ns ON ns.n_nationkey = s_nationkey JOIN orders ON o_orderkey = l_orderkey
     JOIN customer ON c_custkey = o_custkey JOIN nation nc ON nc.n_nationkey = c_nationkey)
-SELECT CASE WHEN t = '' THEN CASE WHEN net THEN 'International' ELSE 'Unknown' END WHEN t = o THEN 'National' ELSE 'International' END AS scope, count(*) AS n FROM f GROUP BY 1
+SELECT CASE WHEN t = '' THEN CASE WHEN net THEN 'International' ELSE 'Unknown' END WHEN t = o THEN 'National' ELSE 'International' END AS scope, count(*)::BIGINT AS n FROM f GROUP BY 1
 """
 
 

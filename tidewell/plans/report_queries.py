@@ -170,12 +170,12 @@ SELECT lane, item_id, place FROM r WHERE spent <= 2000000
 def dead_sites(spark: SparkSession, d: str) -> DataFrame:
     """Users with errors on three or more days since their last purchase."""
     e = table(spark, d, "events").filter(F.col("event_type").isin("error", "purchase")).select("user_id", F.to_date("ts").alias("day"), (F.col("event_type") == "purchase").alias("ok"))
-    return scheduling.dead_sites(e, "user_id", "day", "ok", 1)
+    return scheduling.dead_sites(e, "user_id", "day", "ok", 3)
 
 
 DEAD_SQL = """
 WITH e AS (SELECT user_id, ts::DATE AS day, event_type = 'purchase' AS ok FROM events WHERE event_type IN ('error', 'purchase')), l AS (SELECT user_id, max(CASE WHEN ok THEN day END) AS last FROM e GROUP BY 1)
-SELECT user_id, count(DISTINCT day) AS days FROM e JOIN l USING (user_id) WHERE NOT ok AND (last IS NULL OR day > last) GROUP BY 1
+SELECT user_id, count(DISTINCT day) AS days FROM e JOIN l USING (user_id) WHERE NOT ok AND (last IS NULL OR day > last) GROUP BY 1 HAVING count(DISTINCT day) >= 3
 """
 
 
@@ -200,7 +200,7 @@ def wait_states(spark: SparkSession, d: str) -> DataFrame:
 
 
 WAIT_SQL = """
-SELECT CASE WHEN o_orderstatus = 'F' THEN 'done' WHEN o_orderstatus = 'P' THEN 'running' WHEN o_orderpriority[1] = '1' THEN 'waiting daily' WHEN o_orderpriority[1] = '2' THEN 'waiting busy' ELSE 'waiting retry' END AS state,
+SELECT CASE WHEN o_orderstatus = 'F' THEN 'done' WHEN o_orderpriority[1] = '1' THEN 'waiting daily' WHEN o_orderpriority[1] = '2' THEN 'waiting busy' WHEN o_orderstatus = 'P' THEN 'running' ELSE 'waiting retry' END AS state,
        CASE WHEN o_orderkey % 100 <= 60 THEN 'running' WHEN o_custkey % 5 < 3 THEN 'restart' ELSE 'failed' END AS age, count(*) AS n FROM orders GROUP BY 1, 2
 """
 
@@ -231,12 +231,6 @@ def page_hosts(spark: SparkSession, d: str) -> DataFrame:
     return p.groupBy(keys.registrable_domain(F.col("host")).alias("domain")).agg(F.count("*").alias("pages"), F.count_distinct("host").alias("hosts"))
 
 
-def page_links(spark: SparkSession, d: str) -> DataFrame:
-    """Links of all whole pages: how many, and how many labels differ from their targets."""
-    found = F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit('<a href="/([^"]*)">'), F.lit(1))
-    return table(spark, d, "pages").select("page_id", F.size(found).cast("bigint").alias("links"), md5(F.array_join(F.array_distinct(found), "\n")).alias("targets_md5"))
-
-
 def ranked_contacts(spark: SparkSession, d: str) -> DataFrame:
     """Three suppliers a nation by balance band, then key, with a confidence of their rank."""
     w = Window.partitionBy("s_nationkey").orderBy(F.when(F.col("s_acctbal") > 5000, 0).when(F.col("s_acctbal") > 0, 1).otherwise(2), "s_suppkey")
@@ -276,7 +270,6 @@ QUERIES = {
     "cell_kinds": (cell_kinds, CELL_SQL),
     "attempts_long": (attempts_long, "SELECT sheet_column, count(*) AS n, sum(value::DECIMAL(18,2))::DOUBLE AS total FROM (UNPIVOT (SELECT l_quantity, l_discount, l_tax FROM lineitem) ON l_quantity, l_discount, l_tax INTO NAME sheet_column VALUE value) GROUP BY 1"),
     "page_hosts": (page_hosts, None),
-    "page_links": (page_links, "WITH l AS (SELECT page_id, regexp_extract_all(coalesce(html, ''), '<a href=\"/([^\"]*)\">', 1) AS f FROM pages) SELECT page_id, len(f)::BIGINT AS links, md5(array_to_string(list_filter(f, lambda v, i: list_position(f, v) = i), chr(10))) AS targets_md5 FROM l"),
     "ranked_contacts": (ranked_contacts, "WITH r AS (SELECT s_nationkey, s_suppkey, row_number() OVER (PARTITION BY s_nationkey ORDER BY CASE WHEN s_acctbal > 5000 THEN 0 WHEN s_acctbal > 0 THEN 1 ELSE 2 END, s_suppkey) AS rank FROM supplier) SELECT s_nationkey, s_suppkey, rank, round_even(least(0.95, greatest(0.3, 1.0 - 0.25 * rank))::DOUBLE, 2) AS confidence FROM r WHERE rank <= 3"),
     "order_parts_missing": (order_parts_missing, "SELECT p_size, count(*) AS n FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 45) GROUP BY 1"),
 }

@@ -20,11 +20,12 @@ def presence_step(state: tuple, at: float, online: bool | None, in_shift: bool,
     """One poll of an extension: the next state, and the reason of an alert if one is due.
 
     Offline in the shift alerts; online alerts if the last online poll lies idle seconds back. An alert
-    within quiet seconds of the last one is not told. Polls without an answer change nothing.
+    within quiet seconds of the last one is not told. A poll without an answer alerts of nothing, but the next
+    online one then doesn't follow an online poll, so it can't be idle.
     """
     last, online_at, alert_at = state
     if online is None:
-        return state, None
+        return (None, online_at, alert_at), None
     reason = None
     if in_shift and not online:
         reason = "offline during shift"
@@ -58,12 +59,22 @@ def presence_alerts(polls: DataFrame, shift: tuple[str, str] = ("09:00", "18:00"
 
 
 def presence_alerts_batch(polls: DataFrame, shift: tuple[str, str] = ("09:00", "18:00"), idle: float = 900, quiet: float = 3600) -> DataFrame:
-    """The same over a finished table."""
-
-    def whole(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        return _fold(key, rows, (None, None, None), shift, idle, quiet)[1]
-
-    return polls.select("extension", "at", "online").groupBy("extension").applyInPandas(whole, ALERTS)
+    """The same over a finished table: Spark deals out and sorts the polls; a task folds them in batches and holds one state."""
+
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        who, state = None, (None, None, None)
+        for rows in batches:
+            out = []
+            for extension, at, online in rows.itertuples(index=False):
+                if extension != who:
+                    who, state = extension, (None, None, None)
+                inside = shift[0] <= at.strftime("%H:%M") <= shift[1]
+                state, reason = presence_step(state, at.timestamp(), None if pd.isna(online) else bool(online), inside, idle, quiet)
+                if reason:
+                    out.append((extension, at, reason))
+            yield pd.DataFrame(out, columns=["extension", "at", "reason"])
+
+    return polls.select("extension", "at", "online").repartition("extension").sortWithinPartitions("extension", "at").mapInPandas(whole, ALERTS)
 
 
 def gap_alert_stream(gaps: DataFrame, at: str = "start", key: str = "call_id", late: str = "1 day") -> DataFrame:
