@@ -8,8 +8,9 @@ pair of similarity 0.8 shares none of the 40 bands of 6 with a chance of 6 in a
 less. Each proposed pair is verified by its whole sets, so no wrong pair links.
 
 Equal texts are one node and are never paired, nor are texts that are already connected. In buckets of over ``bucket`` nodes all are compared with the
-least node first. Then only members that this did not join with the least one's group are paired with the
-bucket's others, as what is connected already needs no pair; so large groups lose no link.
+least node first. Members that this did not join with the least one's group are compared with a few others of the
+bucket (chosen by their hash), then with more, at last with all, each time only with what they aren't connected
+with yet; so large groups lose no link, and cost few pairs where they hang together.
 
 Defined results for odd input: words are split and folded as in simhash.py; texts of fewer words than a
 shingle have one shingle, all their words; null and blank texts are alike; rows without an id are not read;
@@ -31,6 +32,8 @@ from .simhash import components, of_hashes
 from .simhash import links as fingerprint_links
 
 BANDS, ROWS = 40, 6
+#: How many others of a large bucket its members are compared with, about, in turn; at last all.
+PIVOTS = (64, 1 << 62)
 #: Odd factors and summands of the hash functions.
 FACTORS, SUMMANDS = np.random.default_rng(42).integers(0, 1 << 63, (2, BANDS * ROWS), np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -132,14 +135,20 @@ def links(rows: DataFrame, similarity: float = 0.8, shingle: int = 5, bucket: in
     edges = settle(close.union(verified(pairs, rows, similarity, shingle)), "copies-edges")
     if many.isEmpty():
         return edges
-    roots = components(edges).select("node", "root")
-    rooted = many.select("key", "node", "n", F.col("least.node").alias("least")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rooted = rooted.join(roots.select(F.col("node").alias("least"), F.col("root").alias("led")), "least", "left").withColumn("led", F.coalesce("led", "least"))
-    rooted = settle(rooted, "copies-rooted")
-    apart = rooted.filter("root <> led").select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
-    rest = apart.join(rooted, "key").filter("rx <> root").filter(fits("n", "nx")).select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
-    rest = settle(rest.join(pairs, ["a", "b"], "left_anti"), "copies-rest")
-    return edges if rest.isEmpty() else edges.union(verified(rest, rows, similarity, shingle))
+    for pivots in PIVOTS:
+        roots = components(edges).select("node", "root")
+        rooted = many.select("key", "node", "n", "c", F.col("least.node").alias("least")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        rooted = rooted.join(roots.select(F.col("node").alias("least"), F.col("root").alias("led")), "least", "left").withColumn("led", F.coalesce("led", "least"))
+        rooted = settle(rooted, "copies-rooted")
+        apart = rooted.filter("root <> led").select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
+        if apart.isEmpty():
+            break
+        some = rooted.filter(F.pmod(F.xxhash64("node"), F.greatest(F.lit(1), F.floor(F.col("c") / pivots))) == 0)
+        rest = apart.join(some, "key").filter("rx <> root").filter(fits("n", "nx")).select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+        rest = settle(rest.join(pairs, ["a", "b"], "left_anti"), "copies-rest")
+        edges = settle(edges.union(verified(rest, rows, similarity, shingle)), "copies-edges")
+        pairs = settle(pairs.union(rest), "copies-pairs")
+    return edges
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, shingle: int = 5, bucket: int = 48) -> DataFrame:
