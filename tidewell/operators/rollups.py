@@ -41,3 +41,49 @@ def round_robin(cands: DataFrame, group: str, kind: str, score: str, ident: str,
     turn = F.row_number().over(Window.partitionBy(group, kind).orderBy(F.col(score).desc(), ident))
     place = F.row_number().over(Window.partitionBy(group).orderBy("turn", kind))
     return cands.withColumn("turn", turn).filter(F.col("turn") <= k).withColumn("place", place).filter(F.col("place") <= k)
+
+
+def coordinators(rows: DataFrame, by: str, amount: str, kind: str, at: str) -> DataFrame:
+    """Per coordinator the projects, their total, the kinds in order and the latest date."""
+    return rows.groupBy(by).agg(
+        F.count("*").alias("projects"), F.sum(F.col(amount).cast("decimal(18,2)")).cast("double").alias("total"),
+        F.array_join(F.sort_array(F.collect_set(kind)), ", ").alias("kinds"), F.date_format(F.max(at), "yyyy-MM-dd").alias("latest"),
+    )
+
+
+def spend_by_month(rows: DataFrame, at: str, amount: str) -> DataFrame:
+    """month, spent: exact sums in cents."""
+    return rows.groupBy(F.date_format(at, "yyyy-MM").alias("month")).agg(F.sum(F.col(amount).cast("decimal(18,2)")).cast("double").alias("spent"))
+
+
+def best_phone(rows: DataFrame, site: str, phone: str, trust: Column, at: str) -> DataFrame:
+    """Per site the number of most trust, then the most frequent, the earliest, the least."""
+    each = rows.groupBy(site, phone).agg(F.max(trust).alias("trust"), F.count("*").alias("n"), F.min(at).alias("first"))
+    return each.groupBy(site).agg(F.max_by(phone, F.struct("trust", "n", -F.unix_micros(F.col("first").cast("timestamp")), -F.col(phone))).alias(phone))
+
+
+def search_worklist(rows: DataFrame, by: str, needs: Column, ident: str) -> DataFrame:
+    """Per key whether any row needs a check, the first row and all rows."""
+    return rows.groupBy(by).agg(F.bool_or(needs).alias("needs"), F.min(ident).alias("first"), F.array_join(F.transform(F.array_sort(F.collect_list(ident)), lambda x: x.cast("string")), ";").alias("all_keys"))
+
+
+def attempts_long(rows: DataFrame, idents: list[str], columns: list[str]) -> DataFrame:
+    """A row for each of the columns of attempts: idents, sheet_column, value."""
+    return rows.select(*idents, *columns).unpivot(idents, columns, "sheet_column", "value")
+
+
+def ranked_contacts(rows: DataFrame, by: str, band: Column, ident: str, top: int = 3) -> DataFrame:
+    """The first few contacts of each key by band, then ident, with a confidence that falls with the rank."""
+    w = Window.partitionBy(by).orderBy(band, ident)
+    ranked = rows.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top)
+    return ranked.withColumn("confidence", F.bround(F.least(F.lit(0.95), F.greatest(F.lit(0.3), 1.0 - 0.25 * F.col("rank"))), 2))
+
+
+def missing_from(rows: DataFrame, other: DataFrame, key: str) -> DataFrame:
+    """rows whose key other doesn't have."""
+    return rows.join(other.select(key), key, "left_anti")
+
+
+def hash_shards(rows: DataFrame, value: Column, shards: int) -> DataFrame:
+    """rows with shard: the CRC-32 of the value, which stays the same on every run."""
+    return rows.withColumn("shard", F.crc32(value.cast("binary")) % shards)

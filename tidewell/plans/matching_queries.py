@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions import keys
 from tidewell.functions import text as tx
-from tidewell.operators import matching
+from tidewell.operators import matching, rollups
 from tidewell.sources.tables import table
 
 md5 = lambda c: F.md5(F.encode(c, "UTF-8"))
@@ -232,8 +232,8 @@ SELECT CASE WHEN t = '' THEN CASE WHEN net THEN 'International' ELSE 'Unknown' E
 
 def hash_shards(spark: SparkSession, d: str) -> DataFrame:
     """Customers by CRC-32 shard of their name; digests of the name's keys."""
-    c = table(spark, d, "customer")
-    return c.groupBy((F.crc32(F.col("c_name").cast("binary")) % 16).alias("shard")).agg(F.count("*").alias("n"), F.count_distinct(keys.phone_hash(F.col("c_name"))).alias("phones"))
+    c = rollups.hash_shards(table(spark, d, "customer"), F.col("c_name"), 16)
+    return c.groupBy("shard").agg(F.count("*").alias("n"), F.count_distinct(keys.phone_hash(F.col("c_name"))).alias("phones"))
 
 
 QUERIES = {

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions import keys
@@ -58,13 +58,27 @@ def near_lines(spark: SparkSession, d: str) -> DataFrame:
 
 
 def quote_checks(spark: SparkSession, d: str) -> DataFrame:
-    """Claims: the benchmark item of the number doc_id mod the number of items, quoted from the document; whole and with dots of omission."""
-    items = table(spark, d, "benchmark").select("item_id", F.col("text").alias("quote"))
-    count = items.agg(F.count("*").alias("k"))
-    docs = table(spark, d, "documents").select("doc_id", "text").crossJoin(F.broadcast(count)).withColumn("item_id", F.col("doc_id") % F.col("k"))
-    own = F.concat(F.substring("text", 3, 12), F.lit(" ... "), F.substring("text", 30, 9))
-    pairs = docs.join(items, "item_id")
-    return pairs.select("doc_id", evidence.claim_verified(F.col("text"), F.col("quote"), F.lit(True)).alias("whole"), tx.quote_in_text(own, F.col("text")).alias("own"), F.col("text").contains(F.col("quote")).alias("verbatim"))
+    """Two passages of every document as one quote with dots of omission, in their order and in the other, and the first alone from an official source."""
+    docs = table(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    first, later = F.substring("text", 3, 12), F.substring("text", 30, 9)
+    return docs.select(
+        "doc_id", tx.quote_in_text(F.concat(first, F.lit(" ... "), later), F.col("text")).alias("ordered"), tx.quote_in_text(F.concat(later, F.lit(" ... "), first), F.col("text")).alias("reversed"),
+        evidence.claim_verified(F.col("text"), first, F.lit(True)).alias("official"),
+    )
+
+
+def _comparable_sql(x: str) -> str:
+    marks, plain = "‘’“”–—\u00a0", "\'\'\"\"-- ".replace("'", "''")
+    return rf"trim(regexp_replace(replace(translate(strip_accents(lower({x})), '{marks}', '{plain}'), 'ß', 'ss'), '\s+', ' ', 'g'))"
+
+
+def _quote_sql() -> str:
+    both = lambda a, b: f"CASE WHEN {a} = '' AND {b} = '' THEN false WHEN {a} = '' THEN length({b}) >= 3 AND contains(h, {b}) WHEN {b} = '' THEN length({a}) >= 3 AND contains(h, {a}) ELSE contains(h, {a}) AND contains(h[instr(h, {a}) + length({a}) :], {b}) END"
+    return f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+c AS (SELECT doc_id, t, {_comparable_sql("t")} AS h, {_comparable_sql("t[3:14]")} AS a, {_comparable_sql("t[30:38]")} AS b FROM t)
+SELECT doc_id, {both("a", "b")} AS ordered, {both("b", "a")} AS reversed, t[3:14] <> '' AND length(a) >= 3 AND contains(h, a) AS official FROM c
+"""
 
 
 def contact_checks(spark: SparkSession, d: str) -> DataFrame:
@@ -76,6 +90,23 @@ def contact_checks(spark: SparkSession, d: str) -> DataFrame:
     return both.select("doc_id", F.array_join(problems, "; ").alias("problems"))
 
 
+def _contact_sql() -> str:
+    return rf"""
+WITH f AS (SELECT doc_id, source, coalesce(text, '') AS t, list_transform(regexp_extract_all(coalesce(text, ''), '<([^<>\s@]+@[^<>\s]+)>', 1), lambda x: regexp_replace(x, '[.,;:]+$', '')) AS marked,
+                  list_transform(regexp_extract_all(coalesce(text, ''), '{tx.EMAIL}'), lambda x: regexp_replace(regexp_replace(x, '[.,;:]+$', ''), '^([^@]*@(?:[^.]+\.)*?[^.]+\.(?:{"|".join(tx.ENDINGS)}))[A-Z].*$', '\1')) AS plain FROM documents),
+w AS (SELECT doc_id + 5 AS doc_id, source AS own, t[1:9] AS name, coalesce(CASE WHEN len(marked) > 0 THEN marked[1] ELSE plain[1] END, '') AS email FROM f),
+j AS (SELECT f.doc_id, f.t, f.source = own AS official, name, email, {_comparable_sql("name")} AS q FROM w JOIN f ON f.doc_id = w.doc_id)
+SELECT doc_id, array_to_string(list_filter([CASE WHEN length(q) < 3 OR NOT contains({_comparable_sql("t")}, q) THEN 'quote not on page' END, CASE WHEN NOT contains(lower(t), lower(name)) THEN 'name not on page' END,
+    CASE WHEN email <> '' AND NOT contains(lower(t), lower(trim(email))) THEN 'email not on page' END, CASE WHEN NOT official THEN 'source not on the institute''s own domain' END], lambda x: x IS NOT NULL), '; ') AS problems FROM j
+"""
+
+
+HOSTS_SQL = r"""
+WITH h AS (SELECT regexp_replace(regexp_replace(regexp_replace(lower(trim(url)), '^[a-z][a-z0-9+.-]*://', ''), '[/?#:].*$', ''), '^www\.', '') AS host FROM pages), l AS (SELECT host, string_split(host, '.') AS p FROM h)
+SELECT array_to_string(p[-least(len(p), CASE WHEN p[greatest(len(p) - 1, 1)] IN ('co','com','ac','edu','gov','org','net') AND length(p[-1]) = 2 THEN 3 ELSE 2 END) :], '.') AS domain, count(*) AS pages, count(DISTINCT host) AS hosts FROM l GROUP BY 1
+"""
+
+
 def dashboard(spark: SparkSession, d: str) -> DataFrame:
     """Orders in total, by day and by status with a vector of metrics."""
     o = table(spark, d, "orders")
@@ -98,10 +129,7 @@ def day_sections(spark: SparkSession, d: str) -> DataFrame:
 
 def coordinator_rollup(spark: SparkSession, d: str) -> DataFrame:
     """Per customer: orders, total, kinds of priority in order, latest date."""
-    return table(spark, d, "orders").groupBy("o_custkey").agg(
-        F.count("*").alias("projects"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total"),
-        F.array_join(F.sort_array(F.collect_set("o_orderpriority")), ", ").alias("kinds"), F.date_format(F.max("o_orderdate"), "yyyy-MM-dd").alias("latest"),
-    )
+    return rollups.coordinators(table(spark, d, "orders"), "o_custkey", "o_totalprice", "o_orderpriority", "o_orderdate")
 
 
 def best_hook(spark: SparkSession, d: str) -> DataFrame:
@@ -118,20 +146,18 @@ def confidence_histogram(spark: SparkSession, d: str) -> DataFrame:
 
 def spend_by_month(spark: SparkSession, d: str) -> DataFrame:
     """Spend of each month and what the next batch may spend under a total cap."""
-    o = table(spark, d, "orders").groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month")).agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("spent"))
+    o = rollups.spend_by_month(table(spark, d, "orders"), "o_orderdate", "o_totalprice")
     return o.select("month", F.bround("spent", 2).alias("spent"), F.bround(scheduling.spending_cap(F.lit(3_000_000.0), F.col("spent")), 2).alias("cap"))
 
 
 def best_phone(spark: SparkSession, d: str) -> DataFrame:
     """Per supplier the part with the best of trust (status), count and earliest date."""
-    li = table(spark, d, "lineitem").groupBy("l_suppkey", "l_partkey").agg(F.max(F.when(F.col("l_linestatus") == "F", 2).otherwise(1)).alias("trust"), F.count("*").alias("n"), F.min("l_shipdate").alias("first"))
-    return li.groupBy("l_suppkey").agg(F.max_by("l_partkey", F.struct("trust", "n", -F.unix_micros(F.col("first").cast("timestamp")), -F.col("l_partkey"))).alias("l_partkey"))
+    return rollups.best_phone(table(spark, d, "lineitem"), "l_suppkey", "l_partkey", F.when(F.col("l_linestatus") == "F", 2).otherwise(1), "l_shipdate")
 
 
 def search_worklist(spark: SparkSession, d: str) -> DataFrame:
     """Suppliers by nation: whether any needs a check, the first and the others."""
-    s = table(spark, d, "supplier")
-    return s.groupBy("s_nationkey").agg(F.bool_or(F.col("s_acctbal") < 0).alias("needs"), F.min("s_suppkey").alias("first"), F.array_join(F.transform(F.array_sort(F.collect_list("s_suppkey")), lambda x: x.cast("string")), ";").alias("all_keys"))
+    return rollups.search_worklist(table(spark, d, "supplier"), "s_nationkey", F.col("s_acctbal") < 0, "s_suppkey")
 
 
 def position_blocks(spark: SparkSession, d: str) -> DataFrame:
@@ -220,8 +246,7 @@ SELECT kind, count(*) AS n, count_if(kind = 'text' AND length(c) >= 8 AND 2 * le
 
 def attempts_long(spark: SparkSession, d: str) -> DataFrame:
     """Lines' quantities, discounts and taxes from columns to rows, by column."""
-    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
-    long = li.unpivot(["l_orderkey", "l_linenumber"], ["l_quantity", "l_discount", "l_tax"], "sheet_column", "value")
+    long = rollups.attempts_long(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_quantity", "l_discount", "l_tax"])
     return long.groupBy("sheet_column").agg(F.count("*").alias("n"), F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total"))
 
 
@@ -233,16 +258,15 @@ def page_hosts(spark: SparkSession, d: str) -> DataFrame:
 
 def ranked_contacts(spark: SparkSession, d: str) -> DataFrame:
     """Three suppliers a nation by balance band, then key, with a confidence of their rank."""
-    w = Window.partitionBy("s_nationkey").orderBy(F.when(F.col("s_acctbal") > 5000, 0).when(F.col("s_acctbal") > 0, 1).otherwise(2), "s_suppkey")
-    s = table(spark, d, "supplier").withColumn("rank", F.row_number().over(w)).filter("rank <= 3")
-    return s.select("s_nationkey", "s_suppkey", F.col("rank").cast("bigint").alias("rank"), F.bround(F.least(F.lit(0.95), F.greatest(F.lit(0.3), 1.0 - 0.25 * F.col("rank"))), 2).alias("confidence"))
+    band = F.when(F.col("s_acctbal") > 5000, 0).when(F.col("s_acctbal") > 0, 1).otherwise(2)
+    s = rollups.ranked_contacts(table(spark, d, "supplier"), "s_nationkey", band, "s_suppkey")
+    return s.select("s_nationkey", "s_suppkey", F.col("rank").cast("bigint").alias("rank"), "confidence")
 
 
 def order_parts_missing(spark: SparkSession, d: str) -> DataFrame:
-    """Suppliers of parts by size band that no returned line holds: set difference."""
-    p = table(spark, d, "part").select("p_partkey", "p_size")
+    """Parts by size that no large returned line holds: set difference."""
     back = table(spark, d, "lineitem").filter("l_returnflag = 'R' AND l_quantity > 45").select(F.col("l_partkey").alias("p_partkey"))
-    return p.join(back, "p_partkey", "left_anti").groupBy("p_size").agg(F.count("*").alias("n"))
+    return rollups.missing_from(table(spark, d, "part").select("p_partkey", "p_size"), back, "p_partkey").groupBy("p_size").agg(F.count("*").alias("n"))
 
 
 QUERIES = {
@@ -250,8 +274,8 @@ QUERIES = {
     "evidence_budget": (evidence_budget, BUDGET_SQL),
     "line_slices": (line_slices, f"WITH {LINES_CTE} SELECT source, (n - 1) // 140 AS slice, count_if(contains(line, '|'))::BIGINT AS hits FROM numbered GROUP BY 1, 2 HAVING hits >= 4"),
     "near_lines": (near_lines, f"WITH {LINES_CTE} SELECT source, n, md5(string_agg(line, chr(10)) OVER (PARTITION BY source, doc_id ORDER BY n ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)) AS near_md5 FROM numbered"),
-    "quote_checks": (quote_checks, None),
-    "contact_checks": (contact_checks, None),
+    "quote_checks": (quote_checks, _quote_sql()),
+    "contact_checks": (contact_checks, _contact_sql()),
     "dashboard": (dashboard, DASHBOARD_SQL),
     "day_sections": (day_sections, "WITH e AS (SELECT strftime(ts, '%Y-%m-%d') AS day, event_id FROM events WHERE event_type = 'error') SELECT day, true AS is_heading, day AS label, count(*) AS n FROM e GROUP BY day UNION ALL SELECT day, false, event_id::VARCHAR, 1 FROM e"),
     "coordinator_rollup": (coordinator_rollup, "SELECT o_custkey, count(*) AS projects, sum(o_totalprice::DECIMAL(18,2))::DOUBLE AS total, string_agg(DISTINCT o_orderpriority, ', ' ORDER BY o_orderpriority) AS kinds, strftime(max(o_orderdate), '%Y-%m-%d') AS latest FROM orders GROUP BY 1"),
@@ -269,7 +293,7 @@ QUERIES = {
     "wait_states": (wait_states, WAIT_SQL),
     "cell_kinds": (cell_kinds, CELL_SQL),
     "attempts_long": (attempts_long, "SELECT sheet_column, count(*) AS n, sum(value::DECIMAL(18,2))::DOUBLE AS total FROM (UNPIVOT (SELECT l_quantity, l_discount, l_tax FROM lineitem) ON l_quantity, l_discount, l_tax INTO NAME sheet_column VALUE value) GROUP BY 1"),
-    "page_hosts": (page_hosts, None),
+    "page_hosts": (page_hosts, HOSTS_SQL),
     "ranked_contacts": (ranked_contacts, "WITH r AS (SELECT s_nationkey, s_suppkey, row_number() OVER (PARTITION BY s_nationkey ORDER BY CASE WHEN s_acctbal > 5000 THEN 0 WHEN s_acctbal > 0 THEN 1 ELSE 2 END, s_suppkey) AS rank FROM supplier) SELECT s_nationkey, s_suppkey, rank, round_even(least(0.95, greatest(0.3, 1.0 - 0.25 * rank))::DOUBLE, 2) AS confidence FROM r WHERE rank <= 3"),
     "order_parts_missing": (order_parts_missing, "SELECT p_size, count(*) AS n FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 45) GROUP BY 1"),
 }
