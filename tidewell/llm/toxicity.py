@@ -37,7 +37,7 @@ from .labelled import best_cut, logistic, probability
 
 FRAME = b"~0~1~2~3~4~5~6~7~8~9"
 LEVEL = 9
-K = 32  # length of the segments that the training picks
+K = 50  # length of the segments that the training picks
 THRESHOLDS = (2, 3, 4, 5, 6)
 KEPT_WORDS = 300_000
 MAX_CHARS, MAX_WINDOWS = 20_000, 300_000
@@ -206,10 +206,9 @@ def fit(sample: DataFrame, seed: int = 7) -> Model:
         train = list(range(len(labels)))
     else:
         train = np.flatnonzero(~third).tolist()
-    distance = Distance(*_dictionaries([texts[k] for k in train], labels[train], seed))
-    x = np.array([distance.features(texts[k]) for k in np.flatnonzero(third)])
-    model = Model(*_dictionaries(texts, labels, seed))
-    model.calibrate(x, labels[third])
+    model = Model(*_dictionaries([texts[k] for k in train], labels[train], seed))
+    distance = Distance(model.toxic, model.ordinary)  # the same that will score, so that the thresholds hold
+    model.calibrate(np.array([distance.features(texts[k]) for k in np.flatnonzero(third)]), labels[third])
     return model
 
 
