@@ -184,6 +184,14 @@ def _slot(path: Column, skeleton: Column) -> Column:
     return F.coalesce(F.array_max(F.filter(skeleton, lambda s: _within(path, s))), F.lit(""))
 
 
+def _with_hosts(left: DataFrame, hosts: DataFrame) -> DataFrame:
+    """left with its hosts' columns (but c, their pages): broadcast if they are small in bytes, else shuffled, large hosts apart."""
+    arrays = [c for c in ("skeleton", "keep", "bad") if c in hosts.columns]
+    chars = lambda c: F.coalesce(F.aggregate(c, F.lit(0).cast("bigint"), lambda n, x: n + F.char_length(x)), F.lit(0))
+    held = hosts.select(F.sum(sum((chars(c) for c in arrays), 64 + 8 * F.coalesce(F.size("fixed"), F.lit(0)))).alias("n")).first()["n"] or 0
+    return left.join(F.broadcast(hosts.drop("c")), "host") if held <= BROADCAST_BYTES else join_unique(left, hosts, "host", HOT_PAGES)
+
+
 def deduce(parsed: DataFrame, share: float = SHARE, least: int = LEAST_PAGES) -> DataFrame:
     """A row per host: c (its pages), skeleton (the template's containers), wrap (the container around the article), keep and bad (slots), fixed (hashes of repeated blocks).
 
@@ -210,7 +218,7 @@ def deduce(parsed: DataFrame, share: float = SHARE, least: int = LEAST_PAGES) ->
     fixed = frequent.filter("block IS NOT NULL AND pages >= 3").groupBy("host").agg(F.collect_set("block").alias("fixed"))
     hosts = settle(sizes.select("host", "c").join(bones, "host", "left").join(fixed, "host", "left"), "html-bones")
 
-    texts = join_unique(once_each.select("host", F.filter("tokens", lambda t: t["block"].isNotNull()).alias("tokens")), hosts.filter("skeleton IS NOT NULL"), "host", HOT_PAGES)
+    texts = _with_hosts(once_each.select("host", F.filter("tokens", lambda t: t["block"].isNotNull()).alias("tokens")), hosts.filter("skeleton IS NOT NULL"))
     texts = texts.withColumn("tokens", F.filter("tokens", lambda t: F.coalesce(~F.array_contains("fixed", t["block"]), F.lit(True))))
     texts = texts.withColumn("whole", F.aggregate("tokens", F.lit(0).cast("bigint"), lambda n, t: n + t["chars"]))
     slots = texts.select("host", "skeleton", "whole", F.explode("tokens").alias("t")).withColumn("slot", _slot(F.col("t.path"), F.col("skeleton")))
@@ -248,9 +256,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     """id, url and text (blocks joined by an empty line) of every page. Without lists, no element or name but those of HARD counts."""
     parsed = settle(parse(pages, id_col, url_col, html_col), "html-pages")
     hosts = settle(deduce(parsed), "html-hosts")
-    size = lambda c, each: F.coalesce(F.aggregate(c, F.lit(0).cast("bigint"), lambda n, x: n + each(x)), F.lit(0))
-    held = hosts.select(F.sum(sum((size(c, F.char_length) for c in ("skeleton", "keep", "bad")), 64 + 8 * F.coalesce(F.size("fixed"), F.lit(0)))).alias("n")).first()["n"] or 0
-    named = parsed.join(F.broadcast(hosts.drop("c")), "host") if held <= BROADCAST_BYTES else join_unique(parsed, hosts, "host", HOT_PAGES)
+    named = _with_hosts(parsed, hosts)
     article = lambda b: b["path"].rlike(r"/(?:article|main)\b")
     new = lambda b: article(b) | F.coalesce(~F.array_contains("fixed", F.xxhash64(b["path"], b["text"])), F.lit(True))
     chars = lambda c: F.aggregate(c, F.lit(0).cast("bigint"), lambda n, b: n + F.char_length(b["text"]))
