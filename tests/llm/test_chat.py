@@ -83,9 +83,9 @@ def test_budget_holds(spark, seed):
     assert several
 
 
-def test_null_ids_are_conversations_of_their_own(spark):
+def test_null_ids_form_one_conversation(spark):
     df = spark.createDataFrame([(None, 0, "user", "a"), (None, 0, "user", "a"), (1, 0, "user", "b")], "conv_id long, turn long, role string, text string")
-    assert sorted((str(r["id"]), len(r["turns"])) for r in chat.conversations(df).collect()) == [("1", 1), ("None", 1), ("None", 1)]
+    assert sorted((str(r["id"]), len(r["turns"])) for r in chat.conversations(df).collect()) == [("1", 1), ("None", 2)]
 
 
 def test_query(spark, tmp_path):

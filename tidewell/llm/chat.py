@@ -20,9 +20,9 @@ window, the one in whose span it lies.
 Defined results for odd input: a null text is the empty text; a null role is the role ``none``; a null
 turn sorts first; repeated turns keep all their rows, ordered by role and text; a turn that doesn't fit
 beside the system turn is a span of its own, whole, without history, and such a window alone exceeds the budget; a
-system turn stands in every window but is the target of none but the first; every row of a null conversation id
-is a conversation of its own, as nothing says what it belongs to; an empty table gives an empty table;
-further columns are not read.
+system turn stands in every window but is the target of none but the first; rows of a null conversation id
+form one conversation, as reading back by id asks for; an empty table gives an empty table; further columns
+are not read.
 """
 
 from __future__ import annotations
@@ -65,8 +65,7 @@ def conversations(rows: DataFrame, id_col: str = "conv_id", turn_col: str = "tur
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     role = F.coalesce(F.col(f"`{role_col}`").cast("string"), F.lit("none"))
     flat = rows.select(F.col(f"`{id_col}`").alias("id"), F.struct(F.col(f"`{turn_col}`").alias("turn"), role.alias("role"), text.alias("text")).alias("t"))
-    ordered = flat.filter("id IS NOT NULL").groupBy("id").agg(F.sort_array(F.collect_list("t")).alias("ts"))
-    ordered = ordered.union(flat.filter("id IS NULL").select("id", F.array("t")))
+    ordered = flat.groupBy("id").agg(F.sort_array(F.collect_list("t")).alias("ts"))
     return ordered.select("id", F.transform("ts", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"), turn_tokens(formatted_turn(t["role"], t["text"])).alias("tokens"))).alias("turns"))
 
 
