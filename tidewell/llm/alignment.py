@@ -39,7 +39,7 @@ from .bpe import _chunks, _take, byte_letters
 from .common import settle
 
 #: Characters of text in a block, and of distinct segments that a task remembers.
-BLOCK_CHARS, KEPT_CHARS = 1 << 22, 1 << 23
+BLOCK_CHARS, KEPT_CHARS = 1 << 20, 1 << 22
 #: Before a space that follows something else than white space.
 CUT = re.compile(r"(?<=\S)(?= )")
 
@@ -81,28 +81,30 @@ class Transducer:
     def align(self, a: list[int], b: list[int]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]] | None:
         """Where groups end on both sides, and the links; None unless both sides spell the same bytes."""
         ends, links, state, i, j, led = [], [], 0, 0, 0, -1
-        while state or i < len(a):
+        known, n, m = self.moves.get, len(a), len(b)
+        while state or i < n:
             if state > 0:
-                if j == len(b):
+                if j == m:
                     return None
                 token = b[j]
-                links.append((led, token))
                 j += 1
+                links.append((led, token))
             else:
-                if i == len(a):
+                if i == n:
                     return None
                 token = a[i]
+                i += 1
                 if state:
                     links.append((token, led))
-                i += 1
-            before, state = state, self.move(state, token)
-            if state is None:
+            after = known((state, token))
+            if after is None and (after := self.move(state, token)) is None:
                 return None
-            if not state:
+            if not after:
                 ends.append((i, j))
-            elif (state > 0) != (before > 0) or not before:
+            elif not state or (after > 0) != (state > 0):
                 led = token
-        return (ends, links) if j == len(b) else None
+            state = after
+        return (ends, links) if j == m else None
 
 
 class Aligner:
@@ -134,48 +136,61 @@ class Aligner:
     def forget(self) -> None:
         self.numbers: dict[str, int] = {}
         self.chars, self.names = 0, []
-        self.links, self.n_links = [], []
-        self.sizes = np.zeros((0, 3), np.int64)  # tokens of A, of B, groups; -1 where the bytes differ
+        self.sizes = np.zeros((0, 4), np.int64)  # tokens of A, of B, groups and links; -1 where the bytes differ
+        self.links, self.at = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def learn(self, segments: list[str]) -> None:
         """Encodes and aligns new segments; each begins with the space that the piece side adds by itself."""
-        ours = [e.ids for e in self.a.encode_batch(segments, add_special_tokens=False)]
+        ours = self.a.encode_batch_fast(segments, add_special_tokens=False)
         theirs = self.b.encode([s[1:] for s in segments], num_threads=1)
-        sizes = []
+        sizes, flat, align = [], [], self.transducer.align
         for s, a, b in zip(segments, ours, theirs, strict=True):
-            found = self.transducer.align(a, b := b or [self.space])
+            a, b = a.ids, b or [self.space]
+            found = align(a, b)
             self.numbers[s] = len(self.numbers)
             self.chars += len(s)
-            ends, links = found or ([], [])
-            sizes.append((len(a), len(b), len(ends)) if found else (-1, -1, -1))
-            self.links.append(np.array([x << 32 | y for x, y in links], np.int64))
-            self.names.append(";".join(f"{','.join(map(str, a[i:m]))}|{','.join(map(str, b[j:n]))}" for (i, j), (m, n) in zip([(0, 0), *ends], ends)))
-        self.sizes = np.concatenate([self.sizes, np.array(sizes, np.int64)])
+            if not found:
+                sizes.append((-1, -1, -1, 0))
+                self.names.append("")
+                continue
+            ends, links = found
+            sizes.append((len(a), len(b), len(ends), len(links)))
+            flat += [x << 32 | y for x, y in links]
+            said, i, j = [], 0, 0
+            for m, n in ends:
+                x = str(a[i]) if m - i == 1 else ",".join(map(str, a[i:m]))
+                said.append(f"{x}|{b[j]}" if n - j == 1 else f"{x}|{','.join(map(str, b[j:n]))}")
+                i, j = m, n
+            self.names.append(";".join(said))
+        sizes = np.array(sizes, np.int64)
+        self.at = np.append(self.at, len(self.links) + np.cumsum(sizes[:, 3]) - sizes[:, 3])
+        self.sizes, self.links = np.concatenate([self.sizes, sizes]), np.append(self.links, np.array(flat, np.int64))
 
     def block(self, texts: list[str]) -> tuple[list[tuple], dict[str, np.ndarray]]:
         """A row for each text (n_a, n_b, n_groups, n_links, groups_sha256, segments), and the block's segments and pairs."""
         if self.chars > KEPT_CHARS:
             self.forget()
         cut = [CUT.split(f" {t}") if t else [] for t in texts]
-        new = list(dict.fromkeys(s for row in cut for s in row if s not in self.numbers))
+        new = [s for s in dict.fromkeys(s for row in cut for s in row) if s not in self.numbers]
         if new:
             self.learn(new)
         numbers = [np.fromiter(map(self.numbers.__getitem__, row), np.int64, len(row)) for row in cut]
-        numbers = [x if len(x) and (self.sizes[x, 0] >= 0).all() else x[:0] for x in numbers]
+        numbers = [x if (self.sizes[x, 0] >= 0).all() else x[:0] for x in numbers]
         used, flat = np.unique(np.concatenate([*numbers, np.zeros(0, np.int64)]), return_inverse=True)
-        links = [self.links[k] for k in used]
-        lengths = np.fromiter(map(len, links), np.int64, len(links))
-        pairs, of_segment = np.unique(np.concatenate([*links, np.zeros(0, np.int64)]), return_inverse=True)
+        lengths = self.sizes[used, 3]
+        pairs, of_segment = np.unique(_take(self.links, self.at[used], lengths), return_inverse=True)
         starts = np.cumsum(lengths) - lengths
+        narrow = "<u2" if len(used) <= 1 << 16 else "<u4"
         docs, rows, at = np.zeros(len(pairs), np.int64), [], 0
         for x in numbers:
             own = flat[at : at + len(x)]
             at += len(x)
+            said = ""
             if len(x):
                 distinct = np.unique(own)
                 docs[np.unique(_take(of_segment, starts[distinct], lengths[distinct]))] += 1
-            said = hashlib.sha256(";".join(map(self.names.__getitem__, x.tolist())).encode()).hexdigest() if len(x) else ""
-            rows.append((*self.sizes[x].sum(axis=0).tolist(), int(lengths[own].sum()), said, own.astype("<u4").tobytes()))
+                said = hashlib.sha256(";".join(map(self.names.__getitem__, x.tolist())).encode()).hexdigest()
+            rows.append((*self.sizes[x].sum(axis=0).tolist(), said, own.astype(narrow).tobytes()))
         return rows, {"a": pairs >> 32, "b": pairs & 0xFFFFFFFF, "docs": docs, "lengths": lengths, "of": of_segment}
 
 
@@ -249,7 +264,8 @@ def align_documents(docs: DataFrame, bpe_path: str, piece_path: str, id_col: str
         ends = np.cumsum(lengths, dtype=np.int64)
         per_segment = [np.diff(np.concatenate([[0], np.cumsum(x[links])])[np.concatenate([[0], ends])]) for x in (best, count)]
         docs = rows.filter(pa.array(~whole))
-        numbers = [np.frombuffer(x, "<u4") for x in docs.column("segments").to_pylist()]
+        narrow = "<u2" if len(lengths) <= 1 << 16 else "<u4"
+        numbers = [np.frombuffer(x, narrow) for x in docs.column("segments").to_pylist()]
         sums = [pa.array([int(x[n].sum()) for n in numbers], pa.int64()) for x in per_segment]
         return pa.table([*[docs.column(k) for k in kept], *sums, docs.column("groups_sha256")], names=[*kept, "n_best", "count_sum", "groups_sha256"])
 
