@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import q01_simhash, q02_pii, q03_toxicity, q04_decontamination, q05_quality, q06_bpe, q08_chat, q09_html, q10_quality_rules, q11_prefix_trie, q13_alignment
+from . import q01_simhash, q02_pii, q03_toxicity, q04_decontamination, q05_quality, q06_bpe, q08_chat, q09_html, q10_quality_rules, q11_prefix_trie, q12_digest, q13_alignment
 
-MODULES = [q01_simhash, q02_pii, q03_toxicity, q04_decontamination, q05_quality, q06_bpe, q08_chat, q09_html, q10_quality_rules, q11_prefix_trie, q13_alignment]
+MODULES = [q01_simhash, q02_pii, q03_toxicity, q04_decontamination, q05_quality, q06_bpe, q08_chat, q09_html, q10_quality_rules, q11_prefix_trie, q12_digest, q13_alignment]
 
 
 def queries() -> dict:
