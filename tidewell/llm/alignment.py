@@ -11,8 +11,7 @@ such a place (words of the byte-level side start there; that no piece of the oth
 vocabulary is loaded). Equal segments are encoded and aligned once a task, within ``KEPT_CHARS``.
 
 Counting pairs over the corpus: texts go through tasks in blocks of about ``BLOCK_CHARS``. A block yields its documents
-(as numbers of the block's segments), its segments (as numbers of the block's pairs) and its pairs with the number of
-its documents that hold them. Pairs are summed over the blocks, joined back to each block, and meet the block's documents in
+(with the numbers of its pairs that each holds) and its pairs, with the number of its documents that hold them. Pairs are summed over the blocks, joined back to each block, and meet the block's documents in
 one group, so no document's links are ever exploded and no table of pairs is broadcast.
 
 Defined results for odd input: null and empty texts, and texts whose tokens don't spell a space and the text
@@ -39,7 +38,7 @@ from .bpe import _chunks, _take, byte_letters
 from .common import settle
 
 #: Characters of text in a block, and of distinct segments that a task remembers.
-BLOCK_CHARS, KEPT_CHARS = 1 << 20, 1 << 22
+BLOCK_CHARS, KEPT_CHARS = 1 << 20, 3 << 21
 #: Before a space that follows something else than white space.
 CUT = re.compile(r"(?<=\S)(?= )")
 
@@ -73,7 +72,7 @@ class Transducer:
             out = self.state(-lead, said[len(residual) :]) if said.startswith(residual) else None
         else:
             out = self.state(lead, residual[len(said) :]) if residual.startswith(said) else None
-        if len(self.moves) > 2_000_000:
+        if len(self.moves) > 500_000:  # what is forgotten is found anew
             self.moves.clear()
         self.moves[key] = out
         return out
@@ -167,7 +166,7 @@ class Aligner:
         self.sizes, self.links = np.concatenate([self.sizes, sizes]), np.append(self.links, np.array(flat, np.int64))
 
     def block(self, texts: list[str]) -> tuple[list[tuple], dict[str, np.ndarray]]:
-        """A row for each text (n_a, n_b, n_groups, n_links, groups_sha256, segments), and the block's segments and pairs."""
+        """A row for each text (n_a, n_b, n_groups, n_links, groups_sha256; steps between the numbers of its pairs, and how often it holds each), and the block's pairs."""
         if self.chars > KEPT_CHARS:
             self.forget()
         cut = [CUT.split(f" {t}") if t else [] for t in texts]
@@ -176,22 +175,26 @@ class Aligner:
             self.learn(new)
         numbers = [np.fromiter(map(self.numbers.__getitem__, row), np.int64, len(row)) for row in cut]
         numbers = [x if (self.sizes[x, 0] >= 0).all() else x[:0] for x in numbers]
-        used, flat = np.unique(np.concatenate([*numbers, np.zeros(0, np.int64)]), return_inverse=True)
-        lengths = self.sizes[used, 3]
-        pairs, of_segment = np.unique(_take(self.links, self.at[used], lengths), return_inverse=True)
-        starts = np.cumsum(lengths) - lengths
-        narrow = "<u2" if len(used) <= 1 << 16 else "<u4"
-        docs, rows, at = np.zeros(len(pairs), np.int64), [], 0
+        used = np.unique(np.concatenate([*numbers, np.zeros(0, np.int64)]))
+        pairs = np.unique(_take(self.links, self.at[used], self.sizes[used, 3]))
+        docs, rows = np.zeros(len(pairs), np.int64), []
         for x in numbers:
-            own = flat[at : at + len(x)]
-            at += len(x)
-            said = ""
-            if len(x):
-                distinct = np.unique(own)
-                docs[np.unique(_take(of_segment, starts[distinct], lengths[distinct]))] += 1
-                said = hashlib.sha256(";".join(map(self.names.__getitem__, x.tolist())).encode()).hexdigest()
-            rows.append((*self.sizes[x].sum(axis=0).tolist(), said, own.astype(narrow).tobytes()))
-        return rows, {"a": pairs >> 32, "b": pairs & 0xFFFFFFFF, "docs": docs, "lengths": lengths, "of": of_segment}
+            own, times = np.unique(_take(self.links, self.at[x], self.sizes[x, 3]), return_counts=True)
+            own = np.searchsorted(pairs, own)
+            docs[own] += 1
+            said = hashlib.sha256(";".join(map(self.names.__getitem__, x.tolist())).encode()).hexdigest() if len(x) else ""
+            rows.append((*self.sizes[x].sum(axis=0).tolist(), said, packed(np.diff(own, prepend=0)), packed(times)))
+        return rows, {"a": pairs >> 32, "b": pairs & 0xFFFFFFFF, "docs": docs}
+
+
+def packed(x: np.ndarray) -> bytes:
+    """Counts in as few bytes each as the largest needs; the first byte says how many."""
+    width = 1 if x.max(initial=0) < 1 << 8 else 2 if x.max() < 1 << 16 else 4
+    return bytes([width]) + x.astype(f"<u{width}").tobytes()
+
+
+def unpacked(x: bytes) -> np.ndarray:
+    return np.frombuffer(x, f"<u{x[0]}", offset=1).astype(np.int64)
 
 
 @functools.lru_cache(maxsize=1)
@@ -200,10 +203,10 @@ def aligner(bpe_path: str, piece_path: str) -> Aligner:
 
 
 def blocks(docs: DataFrame, bpe_path: str, piece_path: str, id_col: str, text_col: str) -> DataFrame:
-    """Rows of documents (whose ``pairs`` is null) and one row for each block."""
+    """Rows of documents and, with a, b and docs, one row for each block."""
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    schema = f"block long, id {kind}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, segments binary, lengths binary, a array<int>, b array<int>, docs array<long>"
+    schema = f"block long, id {kind}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs binary, times binary, a array<int>, b array<int>, docs array<long>"
     names = [x.split()[0] for x in schema.split(", ")]
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,11 +219,10 @@ def blocks(docs: DataFrame, bpe_path: str, piece_path: str, id_col: str, text_co
             n, ids = len(said), pa.chunked_array([p.column(0) for p in parts]).combine_chunks()
             cols = [pa.array([number] * n, pa.int64()), ids]
             cols += [pa.array([r[k] for r in said], pa.int64()) for k in range(4)]
-            cols += [pa.array([r[4] for r in said], pa.string()), pa.array([r[5] for r in said], pa.binary())]
-            cols += [pa.nulls(n, pa.binary()), pa.nulls(n, pa.list_(pa.int32())), pa.nulls(n, pa.list_(pa.int32())), pa.nulls(n, pa.list_(pa.int64()))]
+            cols += [pa.array([r[4] for r in said], pa.string()), pa.array([r[5] for r in said], pa.binary()), pa.array([r[6] for r in said], pa.binary())]
+            cols += [pa.nulls(n, pa.list_(pa.int32())), pa.nulls(n, pa.list_(pa.int32())), pa.nulls(n, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(cols, names=names)
-            cols = [pa.array([number], pa.int64()), pa.nulls(1, ids.type), *[pa.nulls(1, pa.int64())] * 4, pa.nulls(1, pa.string())]
-            cols += [pa.array([whole[k].astype("<u4").tobytes()], pa.binary()) for k in ("of", "lengths")]
+            cols = [pa.array([number], pa.int64()), pa.nulls(1, ids.type), *[pa.nulls(1, pa.int64())] * 4, pa.nulls(1, pa.string()), *[pa.nulls(1, pa.binary())] * 2]
             cols += [pa.array([whole[k].tolist()], pa.list_(pa.int64() if k == "docs" else pa.int32())) for k in ("a", "b", "docs")]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
@@ -255,20 +257,13 @@ def align_documents(docs: DataFrame, bpe_path: str, piece_path: str, id_col: str
     kept = ["id", "n_a", "n_b", "n_groups", "n_links"]
 
     def of(rows: pa.Table, pairs: pa.Table) -> pa.Table:
-        whole = rows.column("whole").to_numpy(zero_copy_only=False).astype(bool)
-        (block,) = rows.filter(pa.array(whole)).select(["segments", "lengths"]).to_pylist()
-        links, lengths = np.frombuffer(block["segments"], "<u4"), np.frombuffer(block["lengths"], "<u4")
-        count, best = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), np.int64)
-        at = pairs.column("at").to_numpy()
-        count[at], best[at] = pairs.column("n_docs").to_numpy(), pairs.column("best").to_numpy(zero_copy_only=False)
-        ends = np.cumsum(lengths, dtype=np.int64)
-        per_segment = [np.diff(np.concatenate([[0], np.cumsum(x[links])])[np.concatenate([[0], ends])]) for x in (best, count)]
-        docs = rows.filter(pa.array(~whole))
-        narrow = "<u2" if len(lengths) <= 1 << 16 else "<u4"
-        numbers = [np.frombuffer(x, narrow) for x in docs.column("segments").to_pylist()]
-        sums = [pa.array([int(x[n].sum()) for n in numbers], pa.int64()) for x in per_segment]
-        return pa.table([*[docs.column(k) for k in kept], *sums, docs.column("groups_sha256")], names=[*kept, "n_best", "count_sum", "groups_sha256"])
-
-    rows = found.select("block", *kept, "groups_sha256", "segments", "lengths", F.col("a").isNotNull().alias("whole"))
+        known = np.zeros((2, pairs.num_rows), np.int64)
+        known[:, pairs.column("at").to_numpy()] = pairs.column("best").to_numpy(zero_copy_only=False), pairs.column("n_docs").to_numpy()
+        sums = np.zeros((2, rows.num_rows), np.int64)
+        for k, (own, times) in enumerate(zip(rows.column("pairs").to_pylist(), rows.column("times").to_pylist(), strict=True)):
+            sums[:, k] = known[:, np.cumsum(unpacked(own))] @ unpacked(times)
+        return pa.table([*[rows.column(k) for k in kept], *map(pa.array, sums), rows.column("groups_sha256")], names=[*kept, "n_best", "count_sum", "groups_sha256"])
+
+    rows = found.filter("a IS NULL").select("block", *kept, "groups_sha256", "pairs", "times")
     schema = f"id {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
     return rows.groupBy("block").cogroup(known.groupBy("of_block")).applyInArrow(of, schema)
