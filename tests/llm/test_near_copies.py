@@ -70,3 +70,34 @@ def test_tables_against_brute_force(spark):
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     got = sorted(r["id"] for r in near_copies.representatives(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert got == brute(rows)
+
+
+def test_many_pairs_just_below_the_threshold(spark):
+    """Copies of one text whose edits leave them near 0.8 of it and of one another, beside a few that are copies of copies."""
+    rnd = random.Random(6)
+    base = [f"w{k}" for k in range(140)]
+    made = [edited(rnd, base, rnd.randrange(2, 8)) for _ in range(120)]
+    made += [edited(rnd, made[k], 1) for k in range(0, 60, 3)]
+    made += [base[:70] + [f"own{k}-{j}" for j in range(rnd.randrange(10, 40))] + base[70:] for k in range(40)]
+    rows = [(k, " ".join(w)) for k, w in enumerate(made)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for bucket in (3, 12, 48):
+        assert sorted(r["id"] for r in near_copies.representatives(df, bucket=bucket).collect()) == brute(rows)
+
+
+def test_bounds_lose_no_similar_pair(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(7)
+    rows = []
+    for k in range(400):
+        n = rnd.choice([1, 3, 40, 200, 3000])
+        x = {rnd.getrandbits(64) for _ in range(n)}
+        y = {h if rnd.random() > 0.15 else rnd.getrandbits(64) for h in x} | {rnd.getrandbits(64) for _ in range(rnd.randrange(1 + n // 8))}
+        sets = [np.array(sorted(s), np.uint64) for s in (x, y)]
+        rows.append((len(x & y) / len(x | y), *[v for s in sets for v in (len(s), near_copies.bitmap(s))]))
+    df = spark.createDataFrame(rows, "j double, a_n long, a_bits array<long>, b_n long, b_bits array<long>")
+    got = df.select("j", near_copies.possible("a_", "b_", 0.8).alias("p")).collect()
+    assert all(r["p"] for r in got if r["j"] >= 0.8) and sum(not r["p"] for r in got) > 50 and sum(r["j"] >= 0.8 for r in got) > 50
+    assert df.limit(0).filter(F.lit(True)).collect() == []

@@ -3,14 +3,19 @@
 Two documents link if the Jaccard similarity of their sets of shingles is ``similarity`` or more; a group is
 what links connect. Operator 1 (simhash.py) goes first, over shingles of five words: texts of one fingerprint,
 and of fingerprints that it links, are verified by their whole sets, and what that connects is paired no more.
-Pairs of similarity 0.8 differ in more bits than a pigeonhole over 64 can find, so more are looked for: minima of ``BANDS * ROWS`` hash functions over a set, dealt into bands, propose pairs: a
-pair of similarity 0.8 shares none of the 40 bands of 6 with a chance of 6 in a million, a closer one with
-less. Each proposed pair is verified by its whole sets, so no wrong pair links.
+Pairs of similarity 0.8 differ in more bits than a pigeonhole over 64 can find, so more are looked for: minima of
+``BANDS * ROWS`` hash functions over a set, dealt into bands, propose pairs: a pair of similarity 0.8 shares none of the
+40 bands of 6 with a chance of 6 in a million, a closer one with less.
 
-Equal texts are one node and are never paired, nor are texts that are already connected. In buckets of over ``bucket`` nodes all are compared with the
-least node first. Members that this did not join with the least one's group are compared with a few others of the
-bucket (chosen by their hash), then with more, at last with all, each time only with what they aren't connected
-with yet; so large groups lose no link, and cost few pairs where they hang together.
+A proposed pair becomes a row only if exact bounds leave it possible; none of them loses a link. Sizes must agree. A bitmap
+of 1,024 bits marks the hashes of a set: each bit that only one set has is a shingle that the other lacks, which bounds what they
+share. What is left is verified on whole sets of sorted hashes, so no wrong pair links.
+
+Equal texts are one node and are never paired, nor are texts that are already connected. In a bucket of over ``bucket`` nodes all
+are compared with its pivot first: the node that has most company in all such buckets, which of many copies tends to be
+the text that they were made from. Members that this did not connect with the pivot may pair with any other; how many
+shingles of theirs no other member of such buckets has is counted, since those can't be shared: copies with many edits of their own
+can't have a partner and leave, the others are compared with all whose size, bitmap and unshared shingles allow it.
 
 Defined results for odd input: words are split and folded as in simhash.py; texts of fewer words than a
 shingle have one shingle, all their words; null and blank texts are alike; rows without an id are not read;
@@ -20,11 +25,10 @@ rows with one id and several texts are several nodes; an empty table gives an em
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import join_unique, settle
@@ -32,8 +36,8 @@ from .simhash import components, of_hashes
 from .simhash import links as fingerprint_links
 
 BANDS, ROWS = 40, 6
-#: How many others of a large bucket its members are compared with, about, in turn; at last all.
-PIVOTS = (64, 1 << 62)
+#: Words of 64 bits of a set's bitmap.
+BITMAP = 16
 #: Odd factors and summands of the hash functions.
 FACTORS, SUMMANDS = np.random.default_rng(42).integers(0, 1 << 63, (2, BANDS * ROWS), np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -67,12 +71,19 @@ def bands(found: np.ndarray) -> list[int]:
     return np.array(keys, np.uint64).view(np.int64).tolist()
 
 
+def bitmap(found: np.ndarray) -> list[int]:
+    """BITMAP signed words; a bit is set if a hash of the set begins with its number."""
+    marks = np.zeros(64 * BITMAP, bool)
+    marks[(found >> np.uint64(54)).astype(np.int64)] = True
+    return np.packbits(marks, bitorder="little").view(np.int64).tolist()
+
+
 def sketches(rows: DataFrame, shingle: int) -> DataFrame:
-    """node, fp (operator 1's fingerprint; blank texts have zero), n (shingles) and keys (of the bands) for each node of the rows node, text."""
+    """node, fp (operator 1's fingerprint; blank texts have zero), n (shingles), keys (of the bands) and bits for each node of the rows node, text."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps, sizes, keys = [], [], []
+            fps, sizes, keys, bits = [], [], [], []
             for x in batch.column(1):
                 text = x.as_py()
                 hashes = shingle_hashes(text, shingle)
@@ -80,32 +91,66 @@ def sketches(rows: DataFrame, shingle: int) -> DataFrame:
                 fps.append(of_hashes(hashes) if text and not text.isspace() else 0)
                 sizes.append(len(found))
                 keys.append(bands(found))
-            cols = [batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(cols, names=["node", "fp", "n", "keys"])
+                bits.append(bitmap(found))
+            cols = [batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(cols, names=["node", "fp", "n", "keys", "bits"])
+
+    found = rows.select("node", "text").mapInArrow(of, "node long, fp long, n int, keys array<long>, bits array<long>")
+    return found.groupBy("node").agg(*[F.first(c).alias(c) for c in ("fp", "n", "keys", "bits")])
+
+
+def possible(x: str, y: str, similarity: float) -> Column:
+    """Whether sets of prefixes x and y (n and bits) may be similar enough, by their sizes and bitmaps."""
+    m, n = F.col(f"{x}n"), F.col(f"{y}n")
+    lacks = lambda s, t: sum((F.bit_count(F.col(f"{s}bits")[k].bitwiseAND(F.bitwise_not(F.col(f"{t}bits")[k]))) for k in range(1, BITMAP)), F.bit_count(F.col(f"{s}bits")[0].bitwiseAND(F.bitwise_not(F.col(f"{t}bits")[0]))))
+    shared = F.lit(similarity / (1 + similarity)) * (m + n) - 1e-6
+    return (F.least(m, n) >= shared) & (m - lacks(x, y) >= shared) & (n - lacks(y, x) >= shared)
+
+
+def hashed_sets(rows: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
+    """node and set (sorted hashes of 64 bits) of those nodes."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = pa.array([shingle_set(x.as_py(), shingle).tobytes() for x in batch.column(1)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), sets], names=["node", "set"])
 
-    found = rows.select("node", "text").mapInArrow(of, "node long, fp long, n int, keys array<long>")
-    return found.groupBy("node").agg(F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+    texts = rows.select("node", "text").join(nodes.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    return settle(texts.mapInArrow(of, "node long, set binary"), "copies-sets")
 
 
 def verified(pairs: DataFrame, rows: DataFrame, similarity: float, shingle: int) -> DataFrame:
     """The pairs a, b of nodes whose sets are similar enough."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = settle(rows.select("node", "text").join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "copies-texts")
+    sets = hashed_sets(rows, pairs.select(F.explode(F.array("a", "b")).alias("node")), shingle)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = lru_cache(maxsize=64)(lambda text: shingle_set(text, shingle))
         for batch in batches:
             keep = []
             for s, t in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = sets(s.as_py()), sets(t.as_py())
+                x, y = (np.frombuffer(z.as_buffer(), np.uint64) for z in (s, t))
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(both / (len(x) + len(y) - both) >= similarity)
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("s")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("t")), "b")
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("s")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("t")), "b")
     return settle(both.select("a", "b", "s", "t").mapInArrow(of, "a long, b long"), "copies-links")
 
 
+def unshared(rows: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
+    """node and u: how many of its shingles no other of these nodes has; nodes without any are absent."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, len(batch), 64):
+                part = batch.slice(k, 64)
+                sets = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column(1)]
+                node = np.repeat(part.column(0).to_numpy(), [len(x) for x in sets])
+                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(np.concatenate(sets))], names=["node", "hash"])
+
+    single = hashed_sets(rows, nodes, shingle).mapInArrow(of, "node long, hash long").groupBy("hash").agg(F.count("*").alias("c"), F.min("node").alias("node")).filter("c = 1")
+    return single.groupBy("node").agg(F.count("*").alias("u"))
+
+
 def by_fingerprint(sketched: DataFrame, limit: int = 2) -> DataFrame:
     """Pairs a, b of nodes that operator 1 connects: with one fingerprint, or with fingerprints that it links."""
     fps = sketched.select("node", "fp")
@@ -118,37 +163,45 @@ def by_fingerprint(sketched: DataFrame, limit: int = 2) -> DataFrame:
 
 def links(rows: DataFrame, similarity: float = 0.8, shingle: int = 5, bucket: int = 48) -> DataFrame:
     """Verified edges a, b that connect what similar nodes connect; rows: node, text, maybe repeated."""
-    fits = lambda x, y: F.least(x, y) >= F.lit(similarity) * F.greatest(x, y)
     whole = settle(sketches(rows, shingle), "copies-sketches")
     close = verified(by_fingerprint(whole), rows, similarity, shingle)
     # A node is known by the least that it is directly connected with: nodes of one such name are connected.
     first = close.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("first"))
     sketched = whole.drop("fp").join(first, "node", "left").withColumn("first", F.coalesce("first", "node"))
-    keys = sketched.select("node", "n", "first", F.explode("keys").alias("key"))
-    crowded = settle(keys.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct("node", "n", "first")).alias("least"), F.max("first").alias("most"), F.min("first").alias("fewest")).filter("c > 1 AND most <> fewest").drop("most", "fewest"), "copies-buckets")
-    members = settle(join_unique(keys, crowded.withColumn("of", F.col("c")), "key").withColumnRenamed("of", "c"), "copies-members")
+    keys = sketched.select("node", "first", F.explode("keys").alias("key"))
+    shared = keys.groupBy("key").agg(F.count("*").alias("c"), F.max("first").alias("most"), F.min("first").alias("fewest")).filter("c > 1 AND most <> fewest").select("key", "c")
+    members = join_unique(keys, settle(shared, "copies-buckets").withColumn("of", F.col("c")), "key").withColumnRenamed("of", "c")
+    members = settle(members.join(whole.select("node", "n", "bits"), "node"), "copies-members")
+    side = lambda df, name, *more: df.select("key", F.col("node").alias(name), F.col("n").alias(f"{name}_n"), F.col("bits").alias(f"{name}_bits"), *[F.col(c).alias(f"{name}_{c}") for c in more])
+    can = possible("a_", "b_", similarity)
     few = members.filter(F.col("c") <= bucket)
-    near = few.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("first").alias("fa")).join(few.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("first").alias("fb")), "key").filter("a < b AND fa <> fb").filter(fits("na", "nb"))
+    a, b = side(few, "a", "first"), side(few, "b", "first")
+    near = a.join(b, (a["key"] == b["key"]) & (F.col("a") < F.col("b")) & (F.col("a_first") != F.col("b_first")) & can)
     many = members.filter(F.col("c") > bucket)
-    star = many.filter("least.node < node AND least.first <> first").filter(fits("n", "least.n")).select(F.col("least.node").alias("a"), F.col("node").alias("b"))
-    pairs = settle(near.select("a", "b").union(star).distinct(), "copies-pairs")
+    weighed = settle(many.join(many.groupBy("node").agg(F.sum("c").alias("weight")), "node"), "copies-crowded")
+    pivots = weighed.groupBy("key").agg(F.max(F.struct("weight", "node", "n", "bits", "first")).alias("p"), F.count("*").alias("c"))
+    pivots = settle(pivots.select("key", "c", F.col("p.node").alias("b"), F.col("p.n").alias("b_n"), F.col("p.bits").alias("b_bits"), F.col("p.first").alias("b_first")), "copies-pivots")
+    star = join_unique(side(many, "a", "first"), pivots, "key").filter((F.col("a") != F.col("b")) & (F.col("a_first") != F.col("b_first")) & can)
+    pairs = settle(near.select("a", "b").union(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct(), "copies-pairs")
     edges = settle(close.union(verified(pairs, rows, similarity, shingle)), "copies-edges")
-    if many.isEmpty():
+    if pivots.isEmpty():
+        return edges
+    roots = components(edges).select("node", "root")
+    rooted = many.select("key", "node", "n", "bits").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    led = pivots.select("key", "c", F.col("b").alias("node")).join(roots, "node", "left").select("key", "c", F.coalesce("root", "node").alias("led"))
+    rooted = settle(join_unique(rooted, led, "key"), "copies-rooted")
+    loose = settle(rooted.filter("root <> led").select("key").distinct(), "copies-loose")
+    if loose.isEmpty():
         return edges
-    for pivots in PIVOTS:
-        roots = components(edges).select("node", "root")
-        rooted = many.select("key", "node", "n", "c", F.col("least.node").alias("least")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        rooted = rooted.join(roots.select(F.col("node").alias("least"), F.col("root").alias("led")), "least", "left").withColumn("led", F.coalesce("led", "least"))
-        rooted = settle(rooted, "copies-rooted")
-        apart = rooted.filter("root <> led").select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
-        if apart.isEmpty():
-            break
-        some = rooted.filter(F.pmod(F.xxhash64("node"), F.greatest(F.lit(1), F.floor(F.col("c") / pivots))) == 0)
-        rest = apart.join(some, "key").filter("rx <> root").filter(fits("n", "nx")).select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
-        rest = settle(rest.join(pairs, ["a", "b"], "left_anti"), "copies-rest")
-        edges = settle(edges.union(verified(rest, rows, similarity, shingle)), "copies-edges")
-        pairs = settle(pairs.union(rest), "copies-pairs")
-    return edges
+    rooted = rooted.join(loose, "key", "left_semi")
+    alone = unshared(rows, rooted.select("node"), shingle)
+    # x shares n - u shingles at most, so its partner's size has a bound, which must reach the least size that fits
+    most = (F.col("n") - F.coalesce("u", F.lit(0))) * F.lit((1 + similarity) / similarity) - F.col("n") + 1e-6
+    alive = settle(rooted.join(alone, "node", "left").withColumn("most", most).filter(F.col("most") >= F.col("n") * similarity), "copies-alive")
+    a, b = side(alive.filter("root <> led"), "a", "root", "most"), side(alive, "b", "root", "most")
+    rest = a.join(b, (a["key"] == b["key"]) & (F.col("a_root") != F.col("b_root")) & (F.col("b_n") <= F.col("a_most")) & (F.col("a_n") <= F.col("b_most")) & can)
+    rest = settle(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti"), "copies-rest")
+    return settle(edges.union(verified(rest, rows, similarity, shingle)), "copies-edges")
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, shingle: int = 5, bucket: int = 48) -> DataFrame:
