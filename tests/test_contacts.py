@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewell.functions import contacts as c
+from tidewell.functions import phones as ph
 from tidewell.operators import importing as im
 
 from .test_functions import one
@@ -18,10 +19,7 @@ def columns(spark):
 def test_emails_and_phones(spark):
     assert one(spark, c.repaired_email(A), a="x@y.comTel") == "x@y.com" and one(spark, c.repaired_email(A), a="x@y.community.org") == "x@y.community.org"
     assert one(spark, c.page_emails(A), a="Me(at)x.org, me [at] x [dot] org; ME@x.org?subject=hi") == ["me@x.org"]
-    assert one(spark, c.normal_phone(A, B), a="030 123 456", b="49") == "+4930123456" and one(spark, c.normal_phone(A, B), a="06 123", b="39") == "+3906123"
-    assert one(spark, c.normal_phone(A, B), a="00353 21", b="49") == "+35321"
-    assert not one(spark, c.plausible_phone(A), a="2019-2023 11") and not one(spark, c.plausible_phone(A), a="12345678") and one(spark, c.plausible_phone(A), a="021 432 6100")
-    assert one(spark, c.phone_trust(A, B, F.lit(False), F.lit(False)), a="021 432 6100", b="Tel: 021 432 6100") == 2
+    assert one(spark, ph.phone_trust(A, B, F.lit(False), F.lit(False), F.lit("IT")), a="021 432 6100", b="Tel: 021 432 6100") == 2
     assert one(spark, c.own_email_strict(A, B), a="j.smith@x.org", b="Jane Smith") and one(spark, c.own_email_strict(A, B), a="jsmith@x.org", b="Jane Smith")
     assert not one(spark, c.own_email_strict(A, B), a="info@x.org", b="Jane Smith") and not one(spark, c.own_email_strict(A, B), a="smithson@x.org", b="Jane Smith")
     df = spark.createDataFrame([("Jane Smith", ["info@x.org", "smith@x.org"]), ("Jo Do", ["a@b.c", "d@e.f"]), ("Jo Do", ["a@b.c"])], "a string, b array<string>")
@@ -30,7 +28,7 @@ def test_emails_and_phones(spark):
 
 
 def test_people_and_roles(spark):
-    assert one(spark, c.looks_like_person(A), a="Dr. Jana van der Berg") and not one(spark, c.looks_like_person(A), a="International Office") and not one(spark, c.looks_like_person(A), a="jana berg")
+    assert one(spark, c.looks_like_person(A), a="Dr. Jana van der Berg") and not one(spark, c.looks_like_person(A), a="jana berg")
     assert one(spark, c.role_of(A), a="Erasmus+ Coordinator") == "institutional_erasmus_coordinator" and one(spark, c.role_of(A), a="Directeur") == "principal_or_director" and one(spark, c.role_of(A), a="cook") is None
     assert one(spark, c.person_from_title(A), a="Prof. Jana Berg - Some School") == "Jana Berg"
     assert one(spark, c.partner_line_ok(A, B), a="Universität Graz", b="with Graz since 1990") and not one(spark, c.partner_line_ok(A, B), a="Universität Graz", b="with Linz")
@@ -62,7 +60,7 @@ def test_importing(spark):
     big = im.parts(spark.range(2500), "id").groupBy("part").count().orderBy("part").collect()
     assert [tuple(r) for r in big] == [(1, 1000), (2, 1000), (3, 500)] and im.parts(spark.range(1200), "id").select("part").distinct().collect()[0][0] == 1
     cells = spark.createDataFrame([("g", 1, "a"), ("g", 2, ""), ("g", 3, "b")], "g string, o int, v string")
-    assert [r["v"] for r in im.inherit_down(cells, "g", "o", ["v"]).orderBy("o").collect()] == ["a", "a", "b"]
+    assert [r["v"] for r in im.inherit_down(cells, "g", ["o"], ["v"]).orderBy("o").collect()] == ["a", "a", "b"]
     old, new = spark.createDataFrame([(1, "", "k")], "k int, a string, b string"), spark.createDataFrame([(1, "n", "o")], "k int, a string, b string")
     assert tuple(im.fill_blanks(old, new, "k", ["a", "b"]).first()) == (1, "n", "k", 1)
 

@@ -60,9 +60,9 @@ def parts(rows: DataFrame, ident: str, size: int = 1000, limit: int = 1200, rang
     return ranged.join(F.broadcast(offsets), "__p").withColumn("part", F.when(F.col("__all") > limit, F.floor(at / size) + 1).otherwise(1)).drop("__p", "__o", "__all")
 
 
-def inherit_down(rows: DataFrame, group: str, order: str, cols: list[str]) -> DataFrame:
-    """Empty cells take the value of the row above, within the group."""
-    w = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+def inherit_down(rows: DataFrame, group: str, order: list[str], cols: list[str]) -> DataFrame:
+    """Empty cells take the value of the row above, within the group. The columns of the order must tell all rows of a group apart."""
+    w = Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return rows.withColumns({c: F.last(F.nullif(F.col(c), F.lit("")), ignorenulls=True).over(w) for c in cols})
 
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.functions.contacts import name_tokens, role_of
+from tidewell.functions.contacts import email_names_person, looks_like_person, name_tokens, pick_email, states_role
 from tidewell.functions.keys import email_hash, fold, folded_key, phone_digits, phone_hash
-from tidewell.functions.text import EMAIL
+from tidewell.functions.text import EMAIL, emails_in, first_phone
 
 
 def phone_on_lines(lines: DataFrame, phones: DataFrame, entity: str, phone: str, n: str = "n") -> DataFrame:
@@ -17,22 +17,51 @@ def phone_on_lines(lines: DataFrame, phones: DataFrame, entity: str, phone: str,
     return hit.groupBy(entity).agg(F.min(n).alias(n))
 
 
-def resolve_contacts(claims: DataFrame, lines: DataFrame, entity: str) -> DataFrame:
-    """Claims (entity, claim, name, name_n, role_n, email_n) that the lines (entity, page, n, line) bear out, with quote, role and email.
+# Role classes in order of rank, with the confidence that each has.
+ROLE_CONFIDENCE = {
+    "institutional_erasmus_coordinator": 0.9, "international_relations_head": 0.85, "international_relations_officer": 0.8, "mobility_coordinator": 0.8, "vice_rector_international": 0.7,
+    "faculty_coordinator": 0.6, "principal_or_director": 0.55, "language_or_project_teacher": 0.5, "secretary_or_admin": 0.4, "other": 0.3,
+}
+# What a person may be in charge of.
+REMIT = r"erasmus|international|mobilit|outgoing|incoming|exchange|relazioni|relations|auslandsamt|internacional"
+
 
-    All tokens of the name stand on its line; the role line states a role, or an address stands within three
-    lines; a role or address on another page than the name doesn't count.
+def resolve_contacts(claims: DataFrame, lines: DataFrame, entity: str) -> DataFrame:
+    """Claims that the numbered lines bear out, with role_class, email, phone, quote, confidence and place.
+
+    claims: entity, claim (unique in it), name, role_class, and the lines name_n, role_n, email_n and phone_n that they cite, or null;
+    lines: entity, page, n, line. A claim stands if the name looks like a person's, its line holds all its tokens, and
+    one of these holds: a role is stated on the role's line or the name's; the role's line names a remit within two
+    lines, with an address or number cited within six; the address is the person's own (it carries their name) and
+    stands within three lines of it. Lines of another page count for nothing: the role's line is then the name's.
+    The address is the first that carries the name on the cited lines, or their only one. Equal lines go once to the shuffle:
+    cited lines are looked up in one join. place: by role, with an address first, then by claim.
     """
-    at = lambda k: lines.select(entity, F.col("n").alias(f"{k}_n"), F.col("line").alias(f"{k}_line"), F.col("page").alias(f"{k}_page"))
-    got = claims.join(at("name"), [entity, "name_n"])
-    for k in ("role", "email"):
-        got = got.join(at(k), [entity, f"{k}_n"], "left")
-    tokens = name_tokens(F.col("name"), 2)
-    named = (F.size(tokens) > 0) & F.forall(tokens, lambda t: F.contains(fold(F.col("name_line")), t))
-    role = F.when(F.col("role_page") == F.col("name_page"), role_of(F.col("role_line")))
-    email = F.when(F.col("email_page") == F.col("name_page"), F.nullif(F.regexp_extract("email_line", f"({EMAIL})", 1), F.lit("")))
-    near = email.isNotNull() & (F.abs(F.col("email_n") - F.col("name_n")) <= 3)
-    return got.filter(named & (role.isNotNull() | near)).select(entity, "claim", "name", F.col("name_line").alias("quote"), role.alias("role"), F.when(near, email).alias("email"))
+    cited = claims.select(entity, "claim", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"{k}_n").alias("n")) for k in ("name", "role", "email", "phone")])).alias("c")).select(entity, "claim", "c.kind", "c.n").filter("n IS NOT NULL")
+    at = cited.join(lines.select(entity, "n", "page", "line"), [entity, "n"]).groupBy(entity, "claim")
+    at = at.agg(*[F.first(F.when(F.col("kind") == k, F.struct("page", "n", "line")), ignorenulls=True).alias(k) for k in ("name", "role", "email", "phone")])
+    got = claims.select(entity, "claim", F.btrim("name").alias("name"), F.col("role_class").alias("said")).join(at.withColumnRenamed("name", "nl"), [entity, "claim"]).filter("nl IS NOT NULL")
+    here = lambda c: F.when(F.col(f"{c}.page") == F.col("nl.page"), F.col(c))
+    got = got.withColumns({"rl": F.coalesce(here("role"), F.col("nl")), "el": here("email"), "pl": here("phone")})
+    text = fold(F.col("nl.line"))
+    tokens = F.regexp_extract_all(fold(F.col("name")), F.lit("([a-z]{2,})"), F.lit(1))
+    on_line = (F.size(tokens) > 0) & F.forall(tokens, lambda t: F.contains(text, t))
+    mails = F.flatten(F.array(*[emails_in(F.coalesce(F.col(f"{c}.line"), F.lit(""))) for c in ("el", "nl", "rl")]))
+    mails = F.filter(mails, lambda e, i: F.array_position(F.transform(mails, F.lower), F.lower(e)) == i + 1)
+    got = got.filter(looks_like_person(F.col("name")) & on_line).withColumn("email", F.coalesce(pick_email(F.col("name"), mails), F.lit("")))
+    apart = lambda c: F.abs(F.col(f"{c}.n") - F.col("nl.n"))
+    own = (F.col("email") != "") & email_names_person(F.col("email"), F.col("name")) & (F.col("el").isNull() | (apart("el") <= 3))
+    remit = fold(F.col("rl.line")).rlike(REMIT) & (apart("rl") <= 2) & (F.coalesce(apart("el") <= 6, F.lit(False)) | F.coalesce(apart("pl") <= 6, F.lit(False)))
+    stated = states_role(F.concat_ws(" ", "rl.line", "nl.line"))
+    pair = F.when(F.col("rl.n") < F.col("nl.n"), F.concat_ws(" ... ", "rl.line", "nl.line")).otherwise(F.concat_ws(" ... ", "nl.line", "rl.line"))
+    role = F.when(F.col("said").isin(*ROLE_CONFIDENCE), F.col("said")).otherwise("other")
+    sure = F.element_at(F.create_map(*[F.lit(x) for p in ROLE_CONFIDENCE.items() for x in p]), F.col("role_class")) + F.when(F.col("email") != "", 0.05).otherwise(-0.1)
+    out = got.filter(stated | remit | own).select(
+        entity, "claim", "name", role.alias("role_class"), "email", F.when(F.col("pl").isNotNull(), F.coalesce(first_phone(F.col("pl.line")), F.lit(""))).otherwise("").alias("phone"),
+        F.when(F.col("rl.n") == F.col("nl.n"), F.col("nl.line")).otherwise(pair).alias("quote"),
+    ).withColumn("confidence", F.bround(F.greatest(F.lit(0.3), F.least(F.lit(0.95), sure)), 2))
+    rank = F.array_position(F.array(*map(F.lit, ROLE_CONFIDENCE)), F.col("role_class"))
+    return out.withColumn("place", F.row_number().over(Window.partitionBy(entity).orderBy(rank, F.col("email") == "", "claim")))
 
 
 def resolve_network(partners: DataFrame, own: DataFrame, entity: str, name: str, order: str) -> DataFrame:
@@ -55,17 +84,22 @@ def topic_roles(people: DataFrame, lines: DataFrame, entity: str, remit: str, ne
     return both.groupBy(entity, "person").agg(F.max(F.col("remit") & (gap <= near)).alias("r"), F.max(F.col("reach") & (gap <= reach)).alias("c")).filter("r AND c").select(entity, "person")
 
 
-def town_match(names: DataFrame, register: DataFrame, words: str = "words", most: int = 4) -> DataFrame:
-    """name_id, grp: names a run of whose words (most at most) is the town of a register entry that they contain or that contains them; one group only.
+def town_match(names: DataFrame, register: DataFrame, generic: tuple[str, ...] = (), most: int = 4) -> DataFrame:
+    """name_id, grp: names of a country and a town that an entry of a register has, and whose other telling words are just the entry's; one group only.
 
-    names: name_id and words; register: entry_id, grp, town, words.
+    names: name_id, country and words; register: entry_id, grp, country, town (its words) and words. A town is a run of most words of
+    the name at most, over three characters long. Telling words have three letters or more, aren't numbers and not generic. That the
+    name's words are all in the entry and the entry's in the name, the town's aside, is equality of two sets: one equi-join on
+    country, town and the sorted rest.
     """
-    n = F.size(words)
-    grams = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(most)), lambda k: F.when(n >= k, F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.array_join(F.slice(words, i, k), " "))).otherwise(F.array().cast("array<string>"))))
-    each = names.select("name_id", F.explode(F.array_distinct(grams)).alias("town"))
-    met = each.join(register.select("town", "entry_id").distinct(), "town").select("name_id", "entry_id").distinct()
-    full = met.join(names.select("name_id", F.col(words).alias("a")), "name_id").join(register.select("entry_id", "grp", F.col(words).alias("b")), "entry_id")
-    fit = full.filter((F.size(F.array_except("a", "b")) == 0) | (F.size(F.array_except("b", "a")) == 0))
+    telling = lambda ws: F.filter(ws, lambda w: (F.char_length(w) >= 3) & ~w.rlike("^[0-9]+$") & ~w.isin(*generic, ""))
+    rest = lambda ws, town: F.array_join(F.array_sort(F.array_except(telling(ws), telling(town))), " ")
+    n = F.size("words")
+    grams = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(most)), lambda k: F.when(n >= k, F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.slice("words", i, k))).otherwise(F.array().cast("array<array<string>>"))))
+    each = names.select("name_id", "country", "words", F.explode(F.array_distinct(grams)).alias("t")).filter(F.char_length(F.array_join("t", " ")) > 3)
+    asked = each.select("name_id", "country", F.array_join("t", " ").alias("town"), rest(F.col("words"), F.col("t")).alias("rest")).filter("rest <> ''")
+    known = register.select("grp", "country", F.array_join("town", " ").alias("town"), rest(F.col("words"), F.col("town")).alias("rest")).distinct()
+    fit = asked.join(known, ["country", "town", "rest"])
     return fit.groupBy("name_id").agg(F.min("grp").alias("grp"), F.count_distinct("grp").alias("k")).filter("k = 1").drop("k")
 
 
@@ -83,13 +117,16 @@ def directory_match(names: DataFrame, register: DataFrame, generic: tuple[str, .
 
 
 def on_file(contacts: DataFrame, known: DataFrame, entity: str, rank: str) -> DataFrame:
-    """contacts with known (a token of four letters of a name on file, or its address) and place: those on file last, else by rank."""
-    tokens = known.select(entity, F.explode(name_tokens(F.col("name"), 4)).alias("t")).distinct()
-    mails = known.select(entity, F.lower("email").alias("e")).filter("e <> ''").distinct()
-    by_name = contacts.select(entity, rank, F.explode(name_tokens(F.col("name"), 4)).alias("t")).join(tokens, [entity, "t"]).select(entity, rank)
-    by_mail = contacts.select(entity, rank, F.lower("email").alias("e")).join(mails, [entity, "e"]).select(entity, rank)
-    flag = by_name.union(by_mail).distinct().withColumn("known", F.lit(True))
-    out = contacts.join(flag, [entity, rank], "left").withColumn("known", F.coalesce("known", F.lit(False)))
+    """contacts with known and place: those on file last, else by rank.
+
+    A contact is on file if their name holds the first two tokens of a name on file (letters, three at least; one where it has one),
+    or has its address. known: entity, name and email, few rows an entity.
+    """
+    first = F.slice(F.regexp_extract_all(fold(F.coalesce("name", F.lit(""))), F.lit("([a-z]{3,})"), F.lit(1)), 1, 2)
+    filed = known.select(entity, first.alias("__t"), F.lower(F.btrim(F.coalesce("email", F.lit("")))).alias("__e"))
+    by_name = (F.size("__t") > 0) & F.forall("__t", lambda t: F.contains(fold(F.col("name")), t))
+    hit = contacts.select(entity, rank, "name", "email").join(filed, entity).filter(by_name | ((F.col("__e") != "") & (F.lower("email") == F.col("__e"))))
+    out = contacts.join(hit.select(entity, rank).distinct().withColumn("known", F.lit(True)), [entity, rank], "left").withColumn("known", F.coalesce("known", F.lit(False)))
     return out.withColumn("place", F.row_number().over(Window.partitionBy(entity).orderBy("known", rank)))
 
 
@@ -167,9 +204,21 @@ def cached_pages(requests: DataFrame, cache: DataFrame, key) -> DataFrame:
 
 
 def json_object(text: Column) -> Column:
-    """The first JSON object in a reply, fences and prose around it left out: from the first brace to its partner, as far as three levels nest."""
-    flat = r'(?:[^{}"]|"(?:[^"\\]|\\.)*")'
-    level = rf"\{{{flat}*\}}"
-    for _ in range(2):
-        level = rf"\{{(?:{flat}|{level})*\}}"
-    return F.nullif(F.regexp_extract(text, f"({level})", 1), F.lit(""))
+    """The first JSON object in a reply, prose and fences around it left out: from the first brace to its partner, at any depth; null without one.
+
+    The text from the first brace is cut into strings, braces and what lies between, by a pattern that neither backtracks nor
+    recurses; one fold over these pieces keeps the depth and the length read, and stops counting at depth 0. A quote that
+    nothing closes begins a string that goes to the end.
+    """
+    at = F.position(F.lit("{"), text)
+    rest = F.substr(text, at)
+    pieces = F.regexp_extract_all(rest, F.lit(r'(?s)("(?:[^"\\]++|\\.)*+"|[{}]|[^"{}]++|".*+)'), F.lit(1))
+    zero = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("n"), F.lit(0).alias("end"))
+
+    def step(s: Column, p: Column) -> Column:
+        depth = s["depth"] + F.when(p == "{", 1).when(p == "}", -1).otherwise(0)
+        n = s["n"] + F.char_length(p)
+        return F.struct(depth.alias("depth"), n.alias("n"), F.when(s["end"] > 0, s["end"]).when(depth == 0, n).otherwise(0).alias("end"))
+
+    end = F.aggregate(pieces, zero, step)["end"]
+    return F.when(at > 0, F.transform(F.array(end), lambda n: F.when(n > 0, F.substr(rest, F.lit(1), n)))[0])

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewell.functions.keys import registrable_domain
 from tidewell.functions.text import attempt_categories, day_month
 
 
@@ -215,11 +218,32 @@ def group_of(batch: Column, name: Column) -> Column:
     return F.when(F.contains(F.lower(batch), F.lit("retail")), "retail").when(F.lower(name).rlike(r"school|universit|college|lyc|gymnas|institut|academ|schule|escuela"), "education").otherwise("other")
 
 
-def pick_official(emails: Column, host: Column, good: tuple[str, ...] = ("info", "office", "contact", "mail")) -> Column:
-    """The best address of an office: international first, then good local parts, the own domain, education, the rest; else the first."""
+# Local parts of an office; public domains of education and of free mail, as parts of a domain.
+OFFICE_LOCAL = (
+    "erasmus international internacional internazional mobility mobilit relint ri@ info office secret segreter sekretar kontakt contact admin direc "
+    "dirig post mail school schule escola escuela scuola ecole lycee college skola skole koulu szkola scoala"
+).split() + ["ce\\."]
+EDU_MAIL = (
+    "istruzione.it pec.it ac- educa edu.gva.es edu.xunta juntadeandalucia.es educarex.es meb.k12.tr meb.gov.tr edu. .edu schule school skola skole koulu kommune kommun "
+    "gov. cat ensino escola scoala szkola"
+).split()
+FREE_MAIL = (
+    "gmail. hotmail. yahoo. outlook. live. libero.it gmx. web.de wp.pl o2.pl orange.fr wanadoo.fr free.fr abv.bg mail.ru seznam.cz t-online.de tiscali.it icloud."
+).split()
+
+
+def pick_official(emails: Column, host: Column) -> Column:
+    """The office's address: the first on the site's own domain, else the first of a public education domain that is no free mail, else none.
+
+    Addresses are looked at in order, those for international matters before others, and offices before persons.
+    """
     local, at = (lambda e: F.lower(F.substring_index(e, "@", 1))), (lambda e: F.lower(F.substring_index(e, "@", -1)))
-    rank = lambda e: F.when(local(e).rlike("erasmus|international|mobility"), 0).when(local(e).isin(*good), 1).when(at(e) == host, 2).when(at(e).rlike(r"\.edu(\.|$)"), 3).otherwise(4)
-    return F.array_min(F.transform(emails, lambda e, i: F.struct(rank(e).alias("r"), i.alias("i"), e.alias("e"))))["e"]
+    order = lambda e, i: F.struct((~local(e).rlike("erasmus|internation|mobilit")).alias("a"), (~local(e).rlike("|".join(OFFICE_LOCAL))).alias("b"), i.alias("i"), e.alias("e"))
+    has = lambda x, parts: x.rlike("|".join(re.escape(p) for p in parts))
+    ranked = F.transform(F.array_sort(F.transform(emails, order)), lambda x: x["e"])
+    own = F.filter(ranked, lambda e: at(e).endswith(registrable_domain(F.lower(host))))
+    edu = F.filter(ranked, lambda e: has(at(e), EDU_MAIL) & ~has(at(e), FREE_MAIL))
+    return F.coalesce(F.get(own, 0), F.get(edu, 0), F.lit(""))
 
 
 def quota_message(text: Column) -> Column:

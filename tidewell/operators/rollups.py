@@ -87,3 +87,26 @@ def missing_from(rows: DataFrame, other: DataFrame, key: str) -> DataFrame:
 def hash_shards(rows: DataFrame, value: Column, shards: int) -> DataFrame:
     """rows with shard: the CRC-32 of the value, which stays the same on every run."""
     return rows.withColumn("shard", F.crc32(value.cast("binary")) % shards)
+
+
+def round_robin_kinds(cands: DataFrame, group: str, ident: str, score: str, kinds: str, turns: list[str], k: int) -> DataFrame:
+    """The first k of a group where a candidate may be of several kinds: in turns each kind takes its best that is still free, then the rest by score.
+
+    At most k are taken, so a kind's first k and the group's first k are all that can be: what a group gathers is bounded by
+    (kinds + 1) * k, and one fold over the turns chooses among them. Ties go by ident.
+    """
+    best = F.struct((-F.col(score)).alias("s"), F.col(ident).alias("id"))
+    each = cands.select(group, best.alias("c"), F.explode(F.array_append(F.array_intersect(kinds, F.array(*map(F.lit, turns))), F.lit(""))).alias("kind"))
+    place = F.row_number().over(Window.partitionBy(group, "kind").orderBy("c"))
+    lists = each.withColumn("__n", place).filter(F.col("__n") <= k).groupBy(group).agg(*[F.transform(F.array_sort(F.collect_list(F.when(F.col("kind") == t, F.col("c")))), lambda c: c["id"]).alias(f"__k{i}") for i, t in enumerate([*turns, ""])])
+
+    def turn(chosen: Column, kind: Column) -> Column:
+        free = F.lit(None)
+        for i in range(len(turns) + 1):
+            own = F.get(F.filter(F.col(f"__k{i}"), lambda c: ~F.array_contains(chosen, c)), 0)
+            free = F.when(kind == i, own).otherwise(free)
+        return F.when((F.size(chosen) < k) & free.isNotNull(), F.array_append(chosen, free)).otherwise(chosen)
+
+    steps = F.array(*[F.lit(i) for _ in range(k) for i in range(len(turns))], *[F.lit(len(turns))] * k)
+    empty = F.array().cast(f"array<{cands.schema[ident].dataType.simpleString()}>")
+    return lists.select(group, F.posexplode(F.aggregate(steps, empty, turn)).alias("place", ident)).withColumn("place", F.col("place") + 1)

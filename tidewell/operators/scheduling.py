@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .allocation import allocate_once
+
 
 def startable(queue: DataFrame, budget: float, lane: str = "lane", priority: str = "priority", added: str = "added", cost: str = "cost", ident: str = "item_id") -> DataFrame:
     """What each lane may start: priority first, then by arrival, while the lane's running cost stays in the budget."""
@@ -48,28 +47,10 @@ def dead_sites(visits: DataFrame, site: str, day: str, ok: str, least: int = 3)
 
 
 def numbers_once(leads: DataFrame, shard: str, lead: str, order: str, number: str, per_lead: int = 3) -> DataFrame:
-    """Give every number to the first lead that can take it: each lead has per_lead at most.
+    """Give every number of a shard to the first lead that can take it: each lead has per_lead at most.
 
-    A number beyond a lead's cap is not used up; a later lead may still take it. That needs an ordered
-    fold, which runs per shard (a key that numbers don't cross, such as a country): rows are dealt out by
-    shard and sorted by Spark, which spills; a task reads them in batches and holds the numbers taken of one shard.
+    A number beyond a lead's cap is not used up; a later lead may still take it. See allocate_once: no task holds a shard.
     """
-    picked = leads.select(shard, lead, order, number)
-
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        where, who, held, taken = None, None, 0, set()
-        for rows in batches:
-            keep = []
-            for s, k, what in zip(rows[shard], rows[lead], rows[number], strict=True):
-                if s != where:
-                    where, who, taken = s, None, set()
-                if k != who:
-                    who, held = k, 0
-                good = what is not None and what not in taken and held < per_lead
-                if good:
-                    taken.add(what)
-                    held += 1
-                keep.append(good)
-            yield rows[keep]
-
-    return picked.repartition(shard).sortWithinPartitions(shard, lead, order, number).mapInPandas(fold, picked.schema)
+    wants = leads.filter(F.col(number).isNotNull()).select(F.struct(shard, lead).alias("__agent"), F.struct(order, number).alias("__place"), F.struct(shard, number).alias("__item"), F.lit(per_lead).alias("__cap"))
+    got = allocate_once(wants, "__agent", "__place", "__item", "__cap")
+    return got.select(f"__agent.{shard}", f"__agent.{lead}", f"__place.{order}", f"__place.{number}")

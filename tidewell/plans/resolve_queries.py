@@ -28,6 +28,7 @@ def phone_lines(spark: SparkSession, d: str) -> DataFrame:
     return resolve.phone_on_lines(_lines(spark, d), phones, "entity", "phone").select("entity", F.col("n").cast("bigint").alias("n"))
 
 
+TOK = "list_distinct(list_filter(string_split(trim(regexp_replace(strip_accents(lower({})), '[^a-z0-9]+', ' ', 'g')), ' '), lambda w: length(w) >= {}))"
 PHONE_SQL = rf"""
 WITH {LINES}, p AS (SELECT doc_id AS entity, right(regexp_replace(list_filter(regexp_extract_all(coalesce(text, ''), '(\+?[0-9(][0-9() ./-]{{6,}}[0-9])', 1), lambda x: length(regexp_replace(x, '[^0-9]', '', 'g')) >= 8)[1], '[^0-9]', '', 'g'), 8) AS d FROM documents)
 SELECT entity, min(n)::BIGINT AS n FROM lines JOIN p USING (entity) WHERE length(d) >= 7 AND contains(regexp_replace(line, '[^0-9]', '', 'g'), d) GROUP BY 1
@@ -35,23 +36,44 @@ SELECT entity, min(n)::BIGINT AS n FROM lines JOIN p USING (entity) WHERE length
 
 
 def resolved_contacts(spark: SparkSession, d: str) -> DataFrame:
-    """Claims that a document's first line names whom its address belongs to: borne out where the address stands within three lines."""
-    lines = _lines(spark, d)
-    mail = lines.filter(F.col("line").rlike(EMAIL)).groupBy("entity").agg(F.min("n").alias("email_n"))
-    name = lines.filter("n = 1").select("entity", F.lit(1).alias("claim"), F.substring_index("line", " ", 2).alias("name"), F.lit(1).alias("name_n"), F.lit(2).alias("role_n"))
+    """Claims that the person named by the first two words of a line, with capitals, holds a role there: every line that has two, the next line as the role's,
+    the document's first address and number as theirs. Some lines state a role in place of a frequent word."""
+    lines = claim_lines(spark, d)
+    mail = lines.groupBy("entity").agg(F.min(F.when(F.col("line").rlike(EMAIL), F.col("n"))).alias("email_n"), F.min(F.when(tx.first_phone(F.col("line")).isNotNull(), F.col("n"))).alias("phone_n"))
+    name = lines.filter(F.col("line").rlike(r"^[A-Za-z]+ [A-Za-z]+ ")).select("entity", F.col("n").alias("claim"), F.initcap(F.substring_index("line", " ", 2)).alias("name"), F.when(F.col("n") % 2 == 0, "mobility_coordinator").otherwise("boss").alias("role_class"), F.col("n").alias("name_n"), (F.col("n") + 1).alias("role_n"))
     out = resolve.resolve_contacts(name.join(mail, "entity"), lines, "entity")
-    return out.select("entity", "name", F.md5(F.encode("quote", "UTF-8")).alias("quote_md5"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("email", F.lit("")).alias("email"))
+    return out.select("entity", F.col("claim").cast("bigint").alias("claim"), "name", "role_class", "email", "phone", F.md5(F.encode("quote", "UTF-8")).alias("quote_md5"), "confidence", F.col("place").cast("bigint").alias("place"))
+
+
+def claim_lines(spark: SparkSession, d: str) -> DataFrame:
+    """All lines of all documents, 'the' and 'que' read as a title."""
+    said = F.replace(F.replace("line", F.lit(" the "), F.lit(" Director ")), F.lit(" que "), F.lit(" Erasmus "))
+    return _lines(spark, d).withColumn("line", said)
+
+
+CLAIM_LINES = LINES.replace("lines AS (", "lines0 AS (") + ", lines AS (SELECT entity, page, n, replace(replace(line, ' the ', ' Director '), ' que ', ' Erasmus ') AS line FROM lines0)"
+TOKENS = "regexp_extract_all(strip_accents(lower({})), '([a-z]{{{},}})', 1)"
 
 
 def _resolved_sql() -> str:
-    cases = " ".join(f"WHEN regexp_matches(f, '{'|'.join(f'(?:{p})' for p in ps)}') THEN '{name}'" for name, ps in contacts.ROLE_CLASSES)
+    mails = lambda t: rf"CASE WHEN regexp_matches({t}, '<[^<>\s@]+@[^<>\s]+>') THEN list_transform(regexp_extract_all({t}, '<([^<>\s@]+@[^<>\s]+)>', 1), lambda x: regexp_replace(x, '[.,;:]+$', '')) ELSE list_transform(regexp_extract_all({t}, '{EMAIL}'), lambda x: regexp_replace(regexp_replace(x, '[.,;:]+$', ''), '^([^@]*@(?:[^.]+\.)*?[^.]+\.(?:{'|'.join(tx.ENDINGS)}))[A-Z].*$', '\1')) END"
+    phone = r"list_filter(regexp_extract_all({}, '(\+?[0-9(][0-9() ./-]{{6,}}[0-9])', 1), lambda x: length(regexp_replace(x, '[^0-9]', '', 'g')) >= 8)[1]"
+    fits = "len(list_filter(nt, lambda t: contains(strip_accents(lower(string_split({}, '@')[1])), t))) > 0"
+    words = "list_filter(string_split(name, ' '), lambda x: lower(regexp_replace(x, '^[.,]+|[.,]+$', '', 'g')) NOT IN {})".format((*contacts.NAME_PARTICLES, *contacts.NAME_TITLES))
     return rf"""
-WITH {LINES}, m AS (SELECT entity, min(n) AS email_n FROM lines WHERE regexp_matches(line, '{EMAIL}') GROUP BY 1),
-c AS (SELECT l.entity, l.line AS quote, array_to_string(string_split(l.line, ' ')[1:2], ' ') AS name, email_n, e.line AS el, strip_accents(lower(r.line)) AS f FROM lines l JOIN m USING (entity) JOIN lines e ON e.entity = l.entity AND e.n = email_n AND e.page IS NOT NULL
-      LEFT JOIN lines r ON r.entity = l.entity AND r.n = 2 WHERE l.n = 1),
-t AS (SELECT *, list_filter(string_split(trim(regexp_replace(strip_accents(lower(name)), '[^a-z0-9]+', ' ', 'g')), ' '), lambda w: length(w) >= 2) AS toks, CASE {cases} END AS role FROM c)
-SELECT entity, name, md5(quote) AS quote_md5, coalesce(role, '') AS role, CASE WHEN email_n - 1 <= 3 THEN regexp_extract(el, '({EMAIL})', 1) ELSE '' END AS email FROM t
-WHERE len(toks) > 0 AND len(list_filter(toks, lambda w: NOT contains(strip_accents(lower(quote)), w))) = 0 AND (role IS NOT NULL OR email_n - 1 <= 3)
+WITH {CLAIM_LINES}, m AS (SELECT entity, min(CASE WHEN regexp_matches(line, '{EMAIL}') THEN n END) AS en, min(CASE WHEN {phone.format("line")} IS NOT NULL THEN n END) AS pn FROM lines GROUP BY 1),
+c AS (SELECT l.entity, l.n, l.page, l.line AS nl, string_split(l.line, ' ') AS w, r.line AS r0, e.line AS el, p.line AS pl, m.en, m.pn FROM lines l JOIN m USING (entity) LEFT JOIN lines r ON r.entity = l.entity AND r.n = l.n + 1 AND r.page = l.page
+      LEFT JOIN lines e ON e.entity = l.entity AND e.n = m.en AND e.page = l.page LEFT JOIN lines p ON p.entity = l.entity AND p.n = m.pn AND p.page = l.page WHERE regexp_matches(l.line, '^[A-Za-z]+ [A-Za-z]+ ')),
+k AS (SELECT *, upper(w[1][1]) || lower(w[1][2:]) || ' ' || upper(w[2][1]) || lower(w[2][2:]) AS name, coalesce(r0, nl) AS rl, r0 IS NULL AS same FROM c),
+t AS (SELECT *, {TOKENS.format("name", 2)} AS toks, {TOK.format("name", 3)} AS nt, list_concat({mails("coalesce(el, '')")}, {mails("nl")}, {mails("rl")}) AS es FROM k),
+u AS (SELECT *, list_filter(es, lambda e, i: list_position(list_transform(es, lambda x: lower(x)), lower(e)) = i) AS u FROM t WHERE len(toks) > 0 AND len(list_filter(toks, lambda x: NOT contains(strip_accents(lower(nl)), x))) = 0
+      AND len({words}) >= 2 AND len(list_filter({words}, lambda x: regexp_matches(strip_accents(lower(x)), '{"|".join(contacts.ROLE_STEMS)}'))) = 0),
+v AS (SELECT *, coalesce(list_filter(u, lambda e: {fits.format("e")})[1], CASE WHEN len(u) = 1 THEN u[1] END, '') AS email, strip_accents(lower(rl || ' ' || nl)) AS said FROM u),
+g AS (SELECT *, CASE WHEN n % 2 = 0 THEN 'mobility_coordinator' ELSE 'other' END AS role_class FROM v WHERE regexp_matches(said, '{"|".join(contacts.ROLE_STEMS)}') OR regexp_matches(said, '\b(?:{"|".join(contacts.BUSINESS_ROLES)})\b')
+      OR (regexp_matches(strip_accents(lower(rl)), '{resolve.REMIT}') AND ((el IS NOT NULL AND abs(en - n) <= 6) OR (pl IS NOT NULL AND abs(pn - n) <= 6))) OR (email <> '' AND {fits.format("email")} AND (el IS NULL OR abs(en - n) <= 3)))
+SELECT entity, n::BIGINT AS claim, name, role_class, email, CASE WHEN pl IS NULL THEN '' ELSE coalesce({phone.format("pl")}, '') END AS phone, md5(CASE WHEN same THEN nl ELSE nl || ' ... ' || rl END) AS quote_md5,
+       round_even(greatest(0.3, least(0.95, CASE role_class WHEN 'other' THEN 0.3 ELSE 0.8 END + CASE WHEN email <> '' THEN 0.05 ELSE -0.1 END)), 2)::DOUBLE AS confidence,
+       row_number() OVER (PARTITION BY entity ORDER BY role_class = 'other', email = '', n) AS place FROM g
 """
 
 
@@ -85,16 +107,18 @@ SELECT p.entity, p.n::BIGINT AS person FROM p JOIN o ON o.entity = p.entity AND
 
 
 def town_matches(spark: SparkSession, d: str) -> DataFrame:
-    """Parts' names and types as names with a town: the brand that alone fits, its towns being its types' last words."""
-    p = table(spark, d, "part").select("p_partkey", "p_brand", F.split(F.lower(F.concat_ws(" ", "p_name", "p_type")), " ").alias("all"), F.split(F.lower("p_name"), " ").alias("name"))
-    names = p.select(F.col("p_partkey").alias("name_id"), F.col("all").alias("words"))
-    register = p.select(F.col("p_partkey").alias("entry_id"), F.col("p_brand").alias("grp"), F.element_at("name", -1).alias("town"), F.col("all").alias("words"))
-    return resolve.town_match(names, register)
+    """Parts' names as names of a place: the brand whose part of the same kind, whose town is the last word, has just the same other words."""
+    p = table(spark, d, "part").select("p_partkey", "p_brand", F.substring_index("p_type", " ", 1).alias("country"), F.split(F.lower("p_name"), " ").alias("words"))
+    names = p.select(F.col("p_partkey").alias("name_id"), "country", "words")
+    register = p.select(F.col("p_partkey").alias("entry_id"), F.col("p_brand").alias("grp"), "country", F.slice("words", -1, 1).alias("town"), "words")
+    return resolve.town_match(names, register, ("red", "blue"))
 
 
 TOWN_SQL = """
-WITH p AS (SELECT p_partkey AS k, p_brand AS grp, string_split(lower(p_name || ' ' || p_type), ' ') AS w, string_split(lower(p_name), ' ')[-1] AS town FROM part)
-SELECT a.k AS name_id, min(b.grp) AS grp FROM p a JOIN p b ON list_contains(a.w, b.town) AND (list_has_all(a.w, b.w) OR list_has_all(b.w, a.w)) GROUP BY 1 HAVING count(DISTINCT b.grp) = 1
+WITH p AS (SELECT p_partkey AS k, p_brand AS grp, string_split(p_type, ' ')[1] AS cc, string_split(lower(p_name), ' ') AS w FROM part), t AS (SELECT *, list_filter(w, lambda x: length(x) >= 3 AND x NOT IN ('red', 'blue')) AS s, w[-1] AS town FROM p),
+f AS (SELECT a.k AS name_id, b.grp FROM t a JOIN t b ON a.cc = b.cc AND list_contains(a.w, b.town) AND length(b.town) > 3
+      WHERE len(list_filter(a.s, lambda x: x <> b.town)) > 0 AND list_has_all(list_concat(b.s, [b.town]), list_filter(a.s, lambda x: x <> b.town)) AND list_has_all(a.s, list_filter(b.s, lambda x: x <> b.town)))
+SELECT name_id, min(grp) AS grp FROM f GROUP BY 1 HAVING count(DISTINCT grp) = 1
 """
 
 
@@ -116,15 +140,16 @@ SELECT item_id AS name_id, CASE WHEN count(*) = 1 THEN min(doc_id) ELSE min(CASE
 
 
 def on_file_contacts(spark: SparkSession, d: str) -> DataFrame:
-    """Orders of a customer as contacts by their clerk's priority; those whose priority's word the first order has are on file and go last."""
-    o = table(spark, d, "orders").select("o_custkey", "o_orderkey", F.col("o_orderpriority").alias("name"), F.col("o_orderstatus").alias("email"))
-    known = o.groupBy("o_custkey").agg(F.min_by("name", "o_orderkey").alias("name"), F.lit("").alias("email"))
+    """Orders of a customer as contacts by their priority and status; those with both words of the first order's priority, or with its clerk's address, are on file and go last."""
+    o = table(spark, d, "orders").select("o_custkey", "o_orderkey", F.concat_ws(" ", "o_orderpriority", "o_orderstatus").alias("name"), F.concat(F.lower("o_orderstatus"), F.col("o_orderkey") % 7, F.lit("@X.org")).alias("email"))
+    known = o.groupBy("o_custkey").agg(F.min_by("name", "o_orderkey").alias("name"), F.lower(F.min_by("email", "o_orderkey")).alias("email"))
     return resolve.on_file(o, known, "o_custkey", "o_orderkey").select("o_custkey", "o_orderkey", "known", F.col("place").cast("bigint").alias("place"))
 
 
 ON_FILE_SQL = r"""
-WITH t AS (SELECT o_custkey, o_orderkey, list_filter(string_split(trim(regexp_replace(lower(o_orderpriority), '[^a-z0-9]+', ' ', 'g')), ' '), lambda w: length(w) >= 4) AS w FROM orders),
-k AS (SELECT o_custkey, arg_min(w, o_orderkey) AS k FROM t GROUP BY 1), f AS (SELECT o_custkey, o_orderkey, list_has_any(w, k) AS known FROM t JOIN k USING (o_custkey))
+WITH t AS (SELECT o_custkey, o_orderkey, lower(o_orderpriority || ' ' || o_orderstatus) AS name, lower(o_orderstatus) || (o_orderkey % 7) AS mail FROM orders),
+k AS (SELECT o_custkey, regexp_extract_all(arg_min(name, o_orderkey), '([a-z]{3,})', 1)[1:2] AS k, arg_min(mail, o_orderkey) AS m FROM t GROUP BY 1),
+f AS (SELECT o_custkey, o_orderkey, (len(k) > 0 AND len(list_filter(k, lambda x: NOT contains(name, x))) = 0) OR mail = m AS known FROM t JOIN k USING (o_custkey))
 SELECT o_custkey, o_orderkey, known, row_number() OVER (PARTITION BY o_custkey ORDER BY known, o_orderkey) AS place FROM f
 """
 
@@ -250,8 +275,9 @@ SELECT k.page_id AS asked, c.page_id FROM k LEFT JOIN c ON c.key = regexp_replac
 
 
 def json_objects(spark: SparkSession, d: str) -> DataFrame:
-    """The props of all events in prose and fences: the object that is in it."""
-    said = F.concat(F.lit("Here it is: ```json\n"), F.coalesce("props", F.lit("nothing")), F.lit("\n``` as {asked}"))
+    """The props of all events nested six deep in prose and fences, beside a string that holds braces: the object that is in it."""
+    inner = F.concat(F.repeat(F.lit('{"in": '), F.lit(6)), F.coalesce("props", F.lit("null")), F.repeat(F.lit("}"), F.lit(6)))
+    said = F.concat(F.lit('Here it is: ```json\n{"said": "}\\"{", "at": '), inner, F.lit("}\n``` as {asked}"))
     return table(spark, d, "events").select("event_id", F.coalesce(resolve.json_object(said), F.lit("")).alias("object"))
 
 
@@ -301,7 +327,7 @@ QUERIES = {
     "keyword_roles": (keyword_roles, KEYWORD_SQL),
     "registry_union": (registry_union, UNION_SQL),
     "cached_pages": (cached_pages, CACHED_SQL),
-    "json_objects": (json_objects, "SELECT event_id, CASE WHEN props IS NULL THEN '{asked}' ELSE props END AS object FROM events"),
+    "json_objects": (json_objects, """SELECT event_id, '{"said": "}\\"{", "at": ' || repeat('{"in": ', 6) || coalesce(props, 'null') || repeat('}', 6) || '}' AS object FROM events"""),
     "clean_report": (clean_report, _report_sql()),
     "flag_counts": (flag_counts, FLAGS_SQL),
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -226,20 +228,24 @@ SELECT p_size <= 20 AS no_type, p_brand <> '' AND NOT starts_with(p_type, 'STAND
 
 
 def official_inbox(spark: SparkSession, d: str) -> DataFrame:
-    """The best office address of every text's addresses, the second one's host as the site."""
+    """The office's address among every text's addresses, the last one's host as the site; where a text has one, the site is another."""
     from tidewell.functions.contacts import page_emails
 
     e = table(spark, d, "documents").select("doc_id", page_emails(F.coalesce("text", F.lit(""))).alias("e")).filter(F.size("e") > 0)
-    return e.select("doc_id", results.pick_official(F.col("e"), F.substring_index(F.element_at("e", -1), "@", -1)).alias("picked"))
+    site = F.when(F.size("e") == 1, "www.other.org").otherwise(F.substring_index(F.element_at("e", -1), "@", -1))
+    return e.select("doc_id", results.pick_official(F.col("e"), site).alias("picked"))
+
 
+def _official_sql() -> str:
+    from .rule_queries import PAGE_EMAILS, _domain_sql
 
-OFFICIAL_SQL = r"""
-WITH p AS (SELECT doc_id, regexp_extract_all(lower(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '(?i)\s*[\[(]\s*(?:at|@)\s*[\])]\s*', '@', 'g'), '(?i)\s*[\[(]\s*(?:dot|punkt|\.)\s*[\])]\s*', '.', 'g'), '%20', ' ', 'g'), '\?subject=[^\s"''>]*', ' ', 'g')),
-    '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+') AS e FROM documents),
-u AS (SELECT doc_id, list_filter(e, lambda v, i: list_position(e, v) = i) AS e FROM p WHERE len(e) > 0),
-x AS (SELECT doc_id, string_split(e[-1], '@')[-1] AS host, unnest(e) AS a, generate_subscripts(e, 1) AS i FROM u),
-r AS (SELECT *, string_split(a, '@')[1] AS l, string_split(a, '@')[-1] AS h FROM x)
-SELECT doc_id, arg_min(a, (CASE WHEN regexp_matches(l, 'erasmus|international|mobility') THEN 0 WHEN l IN ('info', 'office', 'contact', 'mail') THEN 1 WHEN h = host THEN 2 WHEN regexp_matches(h, '\.edu(\.|$)') THEN 3 ELSE 4 END, i)) AS picked FROM r GROUP BY 1
+    either = lambda parts: "|".join(re.escape(x) for x in parts)
+    return rf"""
+WITH {PAGE_EMAILS},
+x AS (SELECT doc_id, CASE WHEN len(e) = 1 THEN 'other.org' ELSE string_split(e[-1], '@')[-1] END AS site, unnest(e) AS a, generate_subscripts(e, 1) AS i FROM e),
+y AS (SELECT *, {_domain_sql("site")} AS own, string_split(a, '@')[1] AS l, string_split(a, '@')[-1] AS h FROM x),
+k AS (SELECT doc_id, a, (NOT regexp_matches(l, 'erasmus|internation|mobilit'), NOT regexp_matches(l, '{"|".join(results.OFFICE_LOCAL)}'), i) AS o, CASE WHEN ends_with(h, own) THEN 0 WHEN regexp_matches(h, '{either(results.EDU_MAIL)}') AND NOT regexp_matches(h, '{either(results.FREE_MAIL)}') THEN 1 END AS t FROM y)
+SELECT doc_id, coalesce(arg_min(a, (t, o)) FILTER (WHERE t IS NOT NULL), '') AS picked FROM k GROUP BY 1
 """
 
 
@@ -297,7 +303,7 @@ QUERIES = {
     "fixed_batches": (fixed_batches, "WITH r AS (SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 500 + 1 AS p, count(*) OVER () AS c FROM orders) SELECT CASE WHEN c > 500 THEN 'recheck-p' || p ELSE 'recheck' END AS batch, count(*) AS n, min(o_orderkey) AS first FROM r GROUP BY 1"),
     "inbox_new": (inbox_new, INBOX_SQL),
     "choice_rules": (choice_rules, CHOICE_SQL),
-    "official_inbox": (official_inbox, OFFICIAL_SQL),
+    "official_inbox": (official_inbox, _official_sql()),
     "paid_usage": (paid_usage, USAGE_SQL),
     "presence_alerts": (presence_alerts, PRESENCE_SQL),
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions import contacts as ct
 from tidewell.functions import keys, pages
+from tidewell.functions import phones as ph
 from tidewell.functions import text as tx
 from tidewell.operators import evidence, importing
 from tidewell.sources.tables import table
@@ -20,28 +21,37 @@ def _texts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def phone_rules(spark: SparkSession, d: str) -> DataFrame:
-    """The first number of every text: digits, international form, country, plausibility, trust, whether the page bears it out."""
+    """The first number of every text: international form in Germany and Hungary, country, plausibility, trust, whether the page bears it out."""
     p = F.coalesce(tx.first_phone(F.col("t")), F.lit(""))
     rows = _texts(spark, d).select("doc_id", "t", p.alias("p"))
     digits = keys.phone_digits(F.col("p"))
     return rows.filter("p <> ''").select(
-        "doc_id", "p", ct.normal_phone(F.col("p"), F.lit("49")).alias("international"), F.coalesce(tx.dial_country(digits), F.lit("")).alias("country"), ct.plausible_phone(F.col("p")).alias("plausible"),
-        ct.phone_trust(F.col("p"), F.col("t"), F.lit(False), F.lit(False)).alias("trust"), tx.phone_in_text(F.col("p"), F.col("t")).alias("borne_out"), ct.area_code(F.col("p")).alias("area"),
-        F.array_join(tx.split_phones(F.concat_ws(";", "p", "p")), ",").alias("both"),
+        "doc_id", "p", ph.normal_phone(F.col("p"), F.lit("DE")).alias("german"), ph.normal_phone(F.col("p"), F.lit("HU")).alias("hungarian"), F.coalesce(tx.dial_country(digits), F.lit("")).alias("country"),
+        ph.plausible_phone(F.col("p"), F.lit("DE")).alias("plausible"), ph.phone_trust(F.col("p"), F.col("t"), F.lit(False), F.lit(False), F.lit("DE")).alias("trust"), tx.phone_in_text(F.col("p"), F.col("t")).alias("borne_out"),
+        ct.area_code(F.col("p")).alias("area"), F.array_join(tx.split_phones(F.concat_ws(";", "p", "p")), ",").alias("both"),
     )
 
 
+def _form_sql(form: str, code: str, trunk: str) -> str:
+    return rf"""CASE WHEN abroad IS NOT NULL THEN CASE WHEN length(world) BETWEEN 8 AND 15 THEN '+' || world ELSE '' END WHEN length(g) BETWEEN 6 AND 12 AND regexp_matches(g, '^(?:{form})$') THEN '+{code}' || regexp_replace(g, '^{trunk}', '') ELSE '' END"""
+
+
 def _phone_sql() -> str:
-    dial = " ".join(f"WHEN g[1:{n}] = '{k}' THEN '{v}'" for n in (3, 2) for k, v in tx.DIAL.items() if len(k) == n)
+    dial = " ".join(f"WHEN d[1:{n}] = '{k}' THEN '{v}'" for n in (3, 2) for k, v in tx.DIAL.items() if len(k) == n)
+    codes = "|".join(sorted({c for c in ph.CODES.values() if c != "39"}, key=lambda c: (-len(c), c)))
     return rf"""
 WITH f AS (SELECT doc_id, coalesce(text, '') AS t, list_filter(regexp_extract_all(coalesce(text, ''), '(\+?[0-9(][0-9() ./-]{{6,}}[0-9])', 1), lambda x: length(regexp_replace(x, '[^0-9]', '', 'g')) >= 8)[1] AS p FROM documents),
-g AS (SELECT *, regexp_replace(p, '[^0-9]', '', 'g') AS g FROM f WHERE p IS NOT NULL),
-h AS (SELECT *, length(g) BETWEEN 7 AND 15 AND NOT regexp_matches(p, '\b(19|20)\d\d\s*[-–/]\s*(19|20)?\d\d\b') AND NOT regexp_matches(p, '^\s*\d{{1,2}}[./-]\d{{1,2}}[./-]\d{{2,4}}\s*$')
-      AND len(list_distinct(string_split(g, ''))) > 2 AND NOT contains('01234567890123456789', g) AND NOT contains('98765432109876543210', g) AS plausible, regexp_replace(g, '^(0039|39)', '') AS n FROM g)
-SELECT doc_id, p, CASE WHEN starts_with(trim(p), '+') THEN '+' || g WHEN starts_with(g, '00') THEN '+' || g[3:32] ELSE '+49' || regexp_replace(g, '^0+', '') END AS international,
-       CASE {dial} ELSE '' END AS country, plausible,
-       CASE WHEN regexp_matches(lower(t), '\b(tel|phone|telefon|telephone|fon|call)\b') AND NOT regexp_matches(lower(t), '\bfax\b') THEN 2 WHEN plausible THEN 1 ELSE 0 END AS trust,
-       length(g) >= 7 AND contains(regexp_replace(t, '[^0-9]', '', 'g'), right(g, 8)) AS borne_out, CASE WHEN starts_with(n, '3') THEN '' ELSE n END AS area, g || ',' || g AS both FROM h
+g AS (SELECT *, regexp_replace(p, '[^0-9]', '', 'g') AS d, trim(replace(p, '(0)', ' ')) AS s, regexp_replace(replace(p, '(0)', ' '), '[^0-9]', '', 'g') AS g FROM f WHERE p IS NOT NULL),
+a AS (SELECT *, CASE WHEN starts_with(s, '+') THEN g WHEN starts_with(s, '00') AND length(g) > 10 THEN g[3:] END AS abroad FROM g),
+w AS (SELECT *, CASE WHEN starts_with(abroad, '39') THEN abroad ELSE regexp_replace(abroad, '^({codes})0', '\1') END AS world FROM a),
+n AS (SELECT *, {_form_sql(ph.NATIONAL["DE"], "49", "0")} AS german, {_form_sql(ph.NATIONAL["HU"], "36", "06")} AS hungarian, trim(p) AS q, regexp_replace(d, '^(0039|39)', '') AS n FROM w),
+h AS (SELECT *, CASE WHEN regexp_matches(q, '^(\d{{1,2}}[./-]\d{{1,2}}[./-](19|20)\d{{2}}|(19|20)\d{{2}}[./-]\d{{1,2}}[./-]\d{{1,2}})$') OR regexp_matches(q, '(19|20)\d{{2}}\s*[-–/]\s*(19|20)\d{{2}}') OR regexp_matches(d, '^(19|20)\d{{2}}(19|20)\d{{2}}$')
+        OR len(list_distinct(string_split(d, ''))) <= 2 OR contains('01234567890123456789', d) OR regexp_matches(q, '^0?1\s?0?2\s?0?3') THEN ''
+      WHEN regexp_matches(q, '^(\+|00)') THEN CASE WHEN starts_with(regexp_replace(d, '^00', ''), '49') THEN german ELSE '' END
+      WHEN length(d) < 8 OR (NOT regexp_matches(q, '[ .\-/]') AND length(d) > 9) THEN '' ELSE german END AS plausible FROM n)
+SELECT doc_id, p, german, hungarian, CASE {dial} ELSE '' END AS country, plausible,
+       CASE WHEN regexp_matches(lower(t), '\b(tel|phone|telefon|telephone|fon|call)\b') AND NOT regexp_matches(lower(t), '\bfax\b') THEN 2 WHEN plausible <> '' THEN 1 ELSE 0 END AS trust,
+       length(d) >= 7 AND contains(regexp_replace(t, '[^0-9]', '', 'g'), right(d, 8)) AS borne_out, CASE WHEN starts_with(n, '3') THEN '' ELSE n END AS area, d || ',' || d AS both FROM h
 """
 
 
@@ -65,11 +75,14 @@ def _domain_sql(h: str) -> str:
     return f"array_to_string({p}[-least(len({p}), CASE WHEN {p}[greatest(len({p}) - 1, 1)] IN ('co','com','ac','edu','gov','org','net') AND length({p}[-1]) = 2 THEN 3 ELSE 2 END) :], '.')"
 
 
+PAGE_EMAILS = rf"""p AS (SELECT doc_id, coalesce(text, '')[1:24] AS name, regexp_replace(regexp_replace(coalesce(text, ''), '(?i)\s*[\[({{]\s*(?:at|@|arroba|chez)\s*[\])}}]\s*', '@', 'g'),
+    '(?i)\s*[\[({{]\s*(?:dot|punkt|point|punto|\.)\s*[\])}}]\s*', '.', 'g') AS t FROM documents),
+r AS (SELECT doc_id, name, list_transform(regexp_extract_all(t, '<([^<>\s@]+@[^<>\s]+)>', 1), lambda x: regexp_replace(x, '[.,;:]+$', '')) AS marked,
+      list_transform(regexp_extract_all(t, '{tx.EMAIL}'), lambda x: regexp_replace(regexp_replace(x, '[.,;:]+$', ''), '^([^@]*@(?:[^.]+\.)*?[^.]+\.(?:{"|".join(tx.ENDINGS)}))[A-Z].*$', '\1')) AS plain FROM p),
+m AS (SELECT doc_id, name, list_filter(list_transform(list_concat(marked, plain), lambda x: lower(regexp_replace(string_split(x, '?')[1], '^(?:%20)+', ''))), lambda x: contains(x, '@')) AS e FROM r),
+e AS (SELECT doc_id, name, list_filter(e, lambda v, i: list_position(e, v) = i) AS e FROM m WHERE len(e) > 0)"""
 EMAIL_SQL = rf"""
-WITH p AS (SELECT doc_id, coalesce(text, '')[1:24] AS name, regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '(?i)\s*[\[(]\s*(?:at|@)\s*[\])]\s*', '@', 'g'),
-    '(?i)\s*[\[(]\s*(?:dot|punkt|\.)\s*[\])]\s*', '.', 'g'), '%20', ' ', 'g'), '\?subject=[^\s"''>]*', ' ', 'g') AS t FROM documents),
-m AS (SELECT doc_id, name, regexp_extract_all(lower(t), '{tx.EMAIL}') AS e FROM p),
-e AS (SELECT doc_id, name, list_filter(e, lambda v, i: list_position(e, v) = i) AS e FROM m WHERE len(e) > 0),
+WITH {PAGE_EMAILS},
 f AS (SELECT *, e[1] AS first, string_split(e[1], '@')[-1] AS host, {TOK.format("name", 3)} AS toks, {TOK.format("name", 5)} AS t5 FROM e),
 g AS (SELECT *, {TOK.format("host", 4)} AS ht, {_domain_sql("host")} AS dom, string_split(first, '@')[1] AS local FROM f)
 SELECT doc_id, array_to_string(e, ';') AS emails, len(list_filter(toks, lambda t: contains(strip_accents(lower(local)), t))) > 0 AS names_person,
@@ -97,26 +110,25 @@ def _role_sql() -> str:
     return rf"""
 WITH x AS (SELECT unnest(string_split(coalesce(text, ''), chr(10))) AS x FROM (SELECT text FROM conversations UNION ALL SELECT text FROM documents)),
 f AS (SELECT x, strip_accents(lower(x)) AS f FROM x WHERE x <> ''), r AS (SELECT x, f, CASE {cases} ELSE 'none' END AS role FROM f)
-SELECT role, count(*) AS n, count_if(regexp_matches(f, '\b(office|department|buro|sekretariat|secretariat|team|service|centre|center|reception)\b'))::BIGINT AS offices, count_if(role <> 'none')::BIGINT AS stated,
+SELECT role, count(*) AS n, count_if(regexp_matches(f, '\b(office|department|buro|sekretariat|secretariat|team|service|centre|center|reception)\b'))::BIGINT AS offices, count_if(regexp_matches(f, '{"|".join(ct.ROLE_STEMS)}') OR regexp_matches(f, '\b(?:{"|".join(ct.BUSINESS_ROLES)})\b'))::BIGINT AS stated,
        count_if(length(regexp_replace(x, '[^\p{{L}}]', '', 'g')) < 4 OR regexp_matches(x, '^\d{{5}}'))::BIGINT AS broken FROM r GROUP BY 1
 """
 
 
 def person_rules(spark: SparkSession, d: str) -> DataFrame:
-    """Page titles read as a person's, and whether the page's first heading shares a telling word with it."""
+    """Beginnings of page titles, some words with capitals, read as a person's, and whether the page's first heading shares a telling word with it."""
     tag = lambda name: F.regexp_extract(F.coalesce("html", F.lit("")), rf"(?s)<{name}>(.*?)</{name}>", 1)
     rows = table(spark, d, "pages").select("page_id", tag("title").alias("title"), tag("h1").alias("h1"))
-    return rows.select("page_id", ct.looks_like_person(F.substring("title", 1, 30)).alias("person"), ct.partner_line_ok(F.col("h1"), F.col("title")).alias("shared"), ct.country_named(F.lit("France"), F.col("title")).alias("named"))
+    return rows.select("page_id", ct.looks_like_person(F.replace(F.replace(F.substring("title", 1, 30), F.lit(" t"), F.lit(" T")), F.lit(" o"), F.lit(" O"))).alias("person"), ct.partner_line_ok(F.col("h1"), F.col("title")).alias("shared"), ct.country_named(F.lit("France"), F.col("title")).alias("named"))
 
 
 PERSON_SQL = rf"""
 WITH t AS (SELECT page_id, regexp_extract(coalesce(html, ''), '(?s)<title>(.*?)</title>', 1) AS title, regexp_extract(coalesce(html, ''), '(?s)<h1>(.*?)</h1>', 1) AS h1 FROM pages),
-c AS (SELECT *, title[1:30] AS p, regexp_replace(regexp_replace(title[1:30], '{ct.TITLES}', ' ', 'g'), '{ct.PARTICLES}', ' ', 'g') AS core FROM t),
-w AS (SELECT *, list_filter(string_split(trim(regexp_replace(core, '[^\p{{L}}''’-]+', ' ', 'g')), ' '), lambda x: x <> '') AS ws,
+c AS (SELECT *, replace(replace(title[1:30], ' t', ' T'), ' o', ' O') AS p FROM t),
+w AS (SELECT *, list_filter(string_split(trim(regexp_replace(p, '\s+', ' ', 'g')), ' '), lambda x: x <> '' AND lower(regexp_replace(x, '^[.,]+|[.,]+$', '', 'g')) NOT IN {(*ct.NAME_PARTICLES, *ct.NAME_TITLES)}) AS ws,
       {TOK.format("h1", 4)} AS t4, {TOK.format("h1", 3)} AS t3, length(regexp_replace(h1, '[^\p{{Latin}}]', '', 'g')) AS latin, length(regexp_replace(h1, '[^\p{{L}}]', '', 'g')) AS letters FROM c)
-SELECT page_id, NOT regexp_matches(p, '[0-9@]') AND len(ws) >= 2 AND len(list_filter(ws, lambda x: NOT regexp_matches(x, '^\p{{Lu}}'))) = 0
-         AND NOT regexp_matches(strip_accents(lower(p)), '{"|".join(f"(?:{p})" for _, ps in ct.ROLE_CLASSES for p in ps)}')
-         AND NOT regexp_matches(strip_accents(lower(p)), '\b(office|department|buro|sekretariat|secretariat|team|service|centre|center|reception)\b') AS person,
+SELECT page_id, NOT regexp_matches(p, '[0-9@]') AND len(ws) >= 2 AND len(list_filter(ws, lambda x: NOT regexp_matches(x, '^(\p{{Lu}}|\P{{L}})'))) = 0
+         AND len(list_filter(ws, lambda x: regexp_matches(strip_accents(lower(x)), '{"|".join(ct.ROLE_STEMS)}'))) = 0 AS person,
        2 * latin < letters OR len(list_filter(CASE WHEN len(t4) > 0 THEN t4 ELSE t3 END, lambda x: contains(strip_accents(lower(title)), x))) > 0 AS shared,
        contains(strip_accents(lower(title)), 'franc') AS named FROM w
 """
@@ -276,11 +288,14 @@ def register_codes(spark: SparkSession, d: str) -> DataFrame:
     return out.select("p_brand", F.array_join("tokens", " ").alias("tokens"), "p_name")
 
 
+#: Tells lines of orders apart but for equal ones.
+LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
 def inherited_cells(spark: SparkSession, d: str) -> DataFrame:
     """Lines of orders with merged cells: the mode of the line above where a line has none."""
-    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.when(F.col("l_quantity") > 25, F.col("l_returnflag")).otherwise("").alias("flag"))
-    li = li.withColumn("place", F.col("l_linenumber").cast("bigint") * 1_000_000_000 + F.col("l_partkey"))
-    out = importing.inherit_down(li, "l_orderkey", "place", ["flag"])
+    li = table(spark, d, "lineitem").select("l_orderkey", *LINE_ORDER, F.when(F.col("l_quantity") > 25, F.col("l_returnflag")).otherwise("").alias("flag"))
+    out = importing.inherit_down(li, "l_orderkey", LINE_ORDER, ["flag"])
     return out.groupBy(F.coalesce("flag", F.lit("none")).alias("flag")).agg(F.count("*").alias("n"))
 
 
@@ -334,7 +349,7 @@ QUERIES = {
     "merged_cells": (merged_cells, MERGED_SQL),
     "sheet_fill": (sheet_fill, FILL_SQL),
     "register_codes": (register_codes, "WITH t AS (SELECT p_brand, p_name, p_size, unnest(string_split(lower(p_type), ' ')) AS t FROM part) SELECT p_brand, string_agg(DISTINCT t, ' ' ORDER BY t) AS tokens, coalesce(max(CASE WHEN p_size >= 40 THEN p_name END), max(p_name)) AS p_name FROM t GROUP BY 1"),
-    "inherited_cells": (inherited_cells, "WITH f AS (SELECT last_value(CASE WHEN l_quantity > 25 THEN l_returnflag END IGNORE NULLS) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber::BIGINT * 1000000000 + l_partkey ROWS UNBOUNDED PRECEDING) AS f FROM lineitem) SELECT coalesce(f, 'none') AS flag, count(*) AS n FROM f GROUP BY 1"),
+    "inherited_cells": (inherited_cells, f"WITH f AS (SELECT last_value(CASE WHEN l_quantity > 25 THEN l_returnflag END IGNORE NULLS) OVER (PARTITION BY l_orderkey ORDER BY {', '.join(LINE_ORDER)} ROWS UNBOUNDED PRECEDING) AS f FROM lineitem) SELECT coalesce(f, 'none') AS flag, count(*) AS n FROM f GROUP BY 1"),
     "national_dropped": (national_dropped, "WITH k AS (SELECT l_suppkey, count_if(l_returnflag <> 'R') AS n, count_if(l_returnflag = 'A') AS u FROM lineitem GROUP BY 1) SELECT s_suppkey AS row, CASE WHEN s_acctbal > 0 THEN coalesce(n, 0)::BIGINT::VARCHAR ELSE '' END AS partners_found, coalesce(u, 0)::BIGINT AS unstated FROM supplier LEFT JOIN k ON l_suppkey = s_suppkey"),
     "failure_counts": (failure_counts, "WITH l AS (SELECT user_id, max(CASE WHEN event_type = 'purchase' THEN event_id END) AS last FROM events GROUP BY 1) SELECT user_id, count(*) AS failures FROM events JOIN l USING (user_id) WHERE event_type = 'error' AND (last IS NULL OR event_id > last) GROUP BY 1 HAVING count(*) >= 3"),
     "sheet_parts": (sheet_parts, "WITH r AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS i, count(*) OVER () AS c FROM orders) SELECT (CASE WHEN c > 1200 THEN i // 1000 + 1 ELSE 1 END)::BIGINT AS part, min(o_orderkey) AS first, max(o_orderkey) AS last, count(*) AS n FROM r GROUP BY 1"),
