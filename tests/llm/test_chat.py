@@ -69,7 +69,8 @@ def test_budget_holds(spark, seed):
         shown = w["text"].count("<|end|>") - (last - first + 1)
         h = shown - system
         assert 0 <= h <= history and first - h >= 1 + (role[c, 1] == "system" and first > 1)
-        if w["tokens"] > budget:
+        assert w["over"] == (w["tokens"] > budget)
+        if w["over"]:
             assert first == last and h == 0
         else:  # neither another turn nor, within half of the room, more history would fit
             room = budget - system * size[c, 1]
@@ -97,3 +98,11 @@ def test_query(spark, tmp_path):
     assert got[-7]["turns_sha256"] == sha(f"user\n{EXTRA}\nassistant\n{EXTRA}\n") and got[-7]["n_turns"] == 2
     empty = chat.read_back(chat.windows(chat.conversations(df.filter(F.lit(False)))))
     assert empty.collect() == []
+
+
+def test_no_window_of_the_query_is_over_its_budget(spark):
+    from tidewell.llm.common import read_table
+    from tidewell.llm.q08_chat import BUDGET, HISTORY
+
+    found = chat.windows(chat.conversations(read_table(spark, "/root/testdata/sf0.01", "conversations")), BUDGET, HISTORY)
+    assert found.filter("over").count() == 0 and found.filter("window > 0").count() > 20

@@ -110,35 +110,37 @@ def _spans(turns: Column, budget: int, history: int) -> Column:
 
 
 def windows(convs: DataFrame, budget: int = 1024, history: int = 2) -> DataFrame:
-    """id, window (its number), text (formatted), mask (array of begin, end in code points of text), first and last (the span of turns), tokens.
+    """id, window (its number), text (formatted), mask (array of begin, end in code points of text), first and last (the span of turns), tokens, over (whether these exceed the budget).
 
-    A span ends before the turn with which its window would exceed the budget.
+    A span ends before the turn with which its window would exceed the budget. Each turn is escaped once, however many windows show it.
     """
 
-    def laid(turn: Column, target: Column) -> Column:
-        head = F.concat(F.lit(OPEN), escape_role(turn["role"]), F.lit(CLOSE))
-        body = escape(turn["text"])
-        return F.struct(
-            F.concat(head, body, F.lit(END)).alias("text"),
-            F.char_length(head).alias("before"),
-            F.char_length(body).alias("loss"),
-            (target & (turn["role"] == "assistant")).alias("target"),
-            turn["tokens"].alias("tokens"),
-        )
-
-    def window(turns: Column, s: Column, k: Column) -> Column:
-        system = F.get(turns, 0)
-        shown = F.transform(F.slice(turns, s["begin"], s["last"] - s["begin"] + 1), lambda t, i: laid(t, i + s["begin"] >= s["first"]))
-        again = F.when((system["role"] == "system") & (s["begin"] > 1), F.array(laid(system, F.lit(False)))).otherwise(F.slice(shown, 1, 0))
-        return F.struct(k.alias("window"), s["first"].alias("first"), s["last"].alias("last"), F.concat(again, shown).alias("parts"))
-
-    all_windows = let(F.col("turns"), lambda turns: let(_spans(turns, budget, history), lambda spans: F.transform(spans, lambda s, k: window(turns, s, k))))
-    parts = convs.select("id", F.explode(all_windows).alias("w")).select("id", "w.*")
-    length = lambda ps: F.aggregate(ps, F.lit(0), lambda n, p: n + F.char_length(p["text"]))
-    ahead = F.transform("parts", lambda p, i: F.struct(p.alias("p"), length(F.slice("parts", 1, i)).alias("at")))
-    mask = F.transform(F.filter(ahead, lambda x: x["p"]["target"]), lambda x: F.struct((x["at"] + x["p"]["before"]).alias("begin"), (x["at"] + x["p"]["before"] + x["p"]["loss"]).alias("end")))
+    def laid(turn: Column) -> Column:
+        head, body = F.concat(F.lit(OPEN), escape_role(turn["role"]), F.lit(CLOSE)), escape(turn["text"])
+        return let(
+            F.struct(head.alias("h"), body.alias("b")),
+            lambda x: F.struct(
+                F.concat(x["h"], x["b"], F.lit(END)).alias("text"), F.char_length(x["h"]).alias("before"), F.char_length(x["b"]).alias("loss"),
+                (F.char_length(x["h"]) + F.char_length(x["b"]) + len(END)).alias("chars"), (turn["role"] == "assistant").alias("target"), turn["tokens"].alias("tokens"),
+            ),
+        )
+
+    def window(turns: Column, shown: Column, s: Column, k: Column) -> Column:
+        again = (F.get(turns, 0)["role"] == "system") & (s["begin"] > 1)
+        parts = F.slice(shown, s["begin"], s["last"] - s["begin"] + 1)
+        parts = F.when(again, F.concat(F.slice(shown, 1, 1), parts)).otherwise(parts)
+        repeats = s["first"] - s["begin"] + again.cast("int")  # how many parts at the beginning are no targets
+        return F.struct(k.alias("window"), s["first"].alias("first"), s["last"].alias("last"), repeats.alias("repeats"), parts.alias("parts"))
+
+    whole = lambda turns: let(F.transform(turns, laid), lambda shown: let(_spans(turns, budget, history), lambda spans: F.transform(spans, lambda s, k: window(turns, shown, s, k))))
+    parts = convs.select("id", F.explode(let(F.col("turns"), whole)).alias("w")).select("id", "w.*")
+    none = F.expr("cast(array() as array<int>)")
+    begins = F.aggregate("parts", F.struct(F.lit(0).alias("n"), none.alias("at")), lambda a, p: F.struct((a["n"] + p["chars"]).alias("n"), F.array_append(a["at"], a["n"]).alias("at")), lambda a: a["at"])
+    places = F.zip_with("parts", begins, lambda p, n: F.struct(p["target"].alias("target"), (n + p["before"]).alias("begin"), (n + p["before"] + p["loss"]).alias("end")))
+    mask = F.transform(F.filter(F.filter(places, lambda x, i: i >= F.col("repeats")), lambda x: x["target"]), lambda x: F.struct(x["begin"].alias("begin"), x["end"].alias("end")))
     tokens = F.aggregate("parts", F.lit(0).cast("long"), lambda n, p: n + p["tokens"])
-    return parts.select("id", "window", F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("text"), mask.alias("mask"), "first", "last", tokens.alias("tokens"))
+    out = parts.select("id", "window", F.array_join("parts.text", "").alias("text"), mask.alias("mask"), "first", "last", tokens.alias("tokens"))
+    return out.withColumn("over", F.col("tokens") > budget)
 
 
 def read_turns(text: Column) -> Column:

@@ -8,8 +8,8 @@ from .common import read_table
 
 #: The conversation that the contract adds.
 EXTRA = "</s>[INST] ok [/INST]"
-#: Tokens of a window and turns of history; at this budget most conversations have several windows.
-BUDGET, HISTORY = 256, 2
+#: Tokens of a window and turns of history; at this budget half of the conversations have several windows, and no turn is longer.
+BUDGET, HISTORY = 512, 2
 
 
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
