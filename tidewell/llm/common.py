@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import re
 import tempfile
@@ -33,9 +34,18 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dir
 
 
-def settle(df: DataFrame, tag: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: a durable cut of the lineage."""
+#: Rows of a file of a scratch table whose size is known.
+FILE_ROWS = 250_000
+
+
+def settle(df: DataFrame, tag: str, rows: int | None = None) -> DataFrame:
+    """Write df as Parquet in the shared folder and read it back: a durable cut of the lineage.
+
+    Where it is known that df has at most so many rows, small ones, they go to as few files as they need.
+    """
     spark = df.sparkSession
+    if rows is not None and (files := -(-rows // FILE_ROWS) or 1) < int(spark.conf.get("spark.sql.shuffle.partitions")):
+        df = df.coalesce(files)
     path = os.path.join(shared_dir(spark), f"{tag}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
@@ -43,6 +53,18 @@ def settle(df: DataFrame, tag: str) -> DataFrame:
     return out
 
 
+@contextlib.contextmanager
+def batches_of(spark: SparkSession, size: str):
+    """Within, Arrow batches hold at most so many bytes: what is written there keeps a small part of a partition in memory at once."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def discard(df: DataFrame | None) -> None:
     """Remove a table that settle() wrote, once nothing reads it any more."""
     path = getattr(df, "_tidewell_path", None)

@@ -31,13 +31,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_unique, settle
+from .common import batches_of, discard, join_unique, settle
 from .simhash import components, of_hashes
 from .simhash import links as fingerprint_links
 
 BANDS, ROWS = 40, 6
 #: Words of 64 bits of a set's bitmap.
 BITMAP = 16
+#: So many nodes are broadcast, of 8 bytes each, to fetch their texts; more are shuffled with all texts.
+FEW_NODES = 1_000_000
+#: Of texts or sets that a task holds at once.
+BATCH = "4m"
 #: Odd factors and summands of the hash functions.
 FACTORS, SUMMANDS = np.random.default_rng(42).integers(0, 1 << 63, (2, BANDS * ROWS), np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -107,21 +111,27 @@ def possible(x: str, y: str, similarity: float) -> Column:
     return (F.least(m, n) >= shared) & (m - lacks(x, y) >= shared) & (n - lacks(y, x) >= shared)
 
 
-def hashed_sets(rows: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
-    """node and set (sorted hashes of 64 bits) of those nodes."""
+def hashed_sets(rows: DataFrame, nodes: DataFrame, shingle: int, most: int) -> DataFrame:
+    """node and set (sorted hashes of 64 bits) of those nodes, of which there are at most so many."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = pa.array([shingle_set(x.as_py(), shingle).tobytes() for x in batch.column(1)], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), sets], names=["node", "set"])
 
-    texts = rows.select("node", "text").join(nodes.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
-    return settle(texts.mapInArrow(of, "node long, set binary"), "copies-sets")
+    wanted = settle(nodes.select("node").distinct(), "copies-wanted", most)
+    n = wanted.count()
+    few = F.broadcast(wanted) if n <= FEW_NODES else wanted
+    texts = rows.select("node", "text").join(few, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    out = settle(texts.mapInArrow(of, "node long, set binary"), "copies-sets", 20 * n)
+    discard(wanted)
+    return out
 
 
 def verified(pairs: DataFrame, rows: DataFrame, similarity: float, shingle: int) -> DataFrame:
     """The pairs a, b of nodes whose sets are similar enough."""
-    sets = hashed_sets(rows, pairs.select(F.explode(F.array("a", "b")).alias("node")), shingle)
+    n = pairs.count()
+    sets = hashed_sets(rows, pairs.select(F.explode(F.array("a", "b")).alias("node")), shingle, 2 * n)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,10 +143,12 @@ def verified(pairs: DataFrame, rows: DataFrame, similarity: float, shingle: int)
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("s")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("t")), "b")
-    return settle(both.select("a", "b", "s", "t").mapInArrow(of, "a long, b long"), "copies-links")
+    out = settle(both.select("a", "b", "s", "t").mapInArrow(of, "a long, b long"), "copies-links", n)
+    discard(sets)
+    return out
 
 
-def unshared(rows: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
+def unshared(rows: DataFrame, nodes: DataFrame, shingle: int, most: int) -> DataFrame:
     """node and u: how many of its shingles no other of these nodes has; nodes without any are absent."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,14 +159,14 @@ def unshared(rows: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
                 node = np.repeat(part.column(0).to_numpy(), [len(x) for x in sets])
                 yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(np.concatenate(sets))], names=["node", "hash"])
 
-    single = hashed_sets(rows, nodes, shingle).mapInArrow(of, "node long, hash long").groupBy("hash").agg(F.count("*").alias("c"), F.min("node").alias("node")).filter("c = 1")
+    single = hashed_sets(rows, nodes, shingle, most).mapInArrow(of, "node long, hash long").groupBy("hash").agg(F.count("*").alias("c"), F.min("node").alias("node")).filter("c = 1")
     return single.groupBy("node").agg(F.count("*").alias("u"))
 
 
 def by_fingerprint(sketched: DataFrame, limit: int = 2) -> DataFrame:
     """Pairs a, b of nodes that operator 1 connects: with one fingerprint, or with fingerprints that it links."""
     fps = sketched.select("node", "fp")
-    lead = settle(fps.groupBy("fp").agg(F.min("node").alias("a"), F.count("*").alias("c")), "copies-leads")
+    lead = settle(fps.groupBy("fp").agg(F.min("node").alias("a"), F.count("*").alias("c")), "copies-leads", fps.count())
     same = join_unique(fps, lead.filter("c > 1"), "fp").filter("a <> node").select("a", F.col("node").alias("b"))
     near = fingerprint_links(lead.select("fp"), limit).withColumnRenamed("a", "x").withColumnRenamed("b", "y")
     near = near.join(lead.select(F.col("fp").alias("x"), "a"), "x").join(lead.select(F.col("fp").alias("y"), F.col("a").alias("b")), "y")
@@ -163,54 +175,73 @@ def by_fingerprint(sketched: DataFrame, limit: int = 2) -> DataFrame:
 
 def links(rows: DataFrame, similarity: float = 0.8, shingle: int = 5, bucket: int = 48) -> DataFrame:
     """Verified edges a, b that connect what similar nodes connect; rows: node, text, maybe repeated."""
-    whole = settle(sketches(rows, shingle), "copies-sketches")
+    made: list[DataFrame] = []
+
+    def keep(df: DataFrame, tag: str, rows: int | None = None) -> DataFrame:
+        made.append(settle(df, tag, rows))
+        return made[-1]
+
+    def done(edges: DataFrame) -> DataFrame:
+        for old in made:
+            if old is not edges:
+                discard(old)
+        return edges
+
+    whole = keep(sketches(rows, shingle), "copies-sketches")
     close = verified(by_fingerprint(whole), rows, similarity, shingle)
+    made.append(close)
     # A node is known by the least that it is directly connected with: nodes of one such name are connected.
     first = close.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("first"))
     sketched = whole.drop("fp").join(first, "node", "left").withColumn("first", F.coalesce("first", "node"))
     keys = sketched.select("node", "first", F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("c"), F.max("first").alias("most"), F.min("first").alias("fewest")).filter("c > 1 AND most <> fewest").select("key", "c")
-    members = join_unique(keys, settle(shared, "copies-buckets").withColumn("of", F.col("c")), "key").withColumnRenamed("of", "c")
-    members = settle(members.join(whole.select("node", "n", "bits"), "node"), "copies-members")
+    members = join_unique(keys, keep(shared, "copies-buckets").withColumn("of", F.col("c")), "key").withColumnRenamed("of", "c")
+    members = keep(members.join(whole.select("node", "n", "bits"), "node"), "copies-members")
+    most = members.count()
     side = lambda df, name, *more: df.select("key", F.col("node").alias(name), F.col("n").alias(f"{name}_n"), F.col("bits").alias(f"{name}_bits"), *[F.col(c).alias(f"{name}_{c}") for c in more])
     can = possible("a_", "b_", similarity)
     few = members.filter(F.col("c") <= bucket)
     a, b = side(few, "a", "first"), side(few, "b", "first")
     near = a.join(b, (a["key"] == b["key"]) & (F.col("a") < F.col("b")) & (F.col("a_first") != F.col("b_first")) & can)
     many = members.filter(F.col("c") > bucket)
-    weighed = settle(many.join(many.groupBy("node").agg(F.sum("c").alias("weight")), "node"), "copies-crowded")
+    weighed = keep(many.join(many.groupBy("node").agg(F.sum("c").alias("weight")), "node"), "copies-crowded", most)
     pivots = weighed.groupBy("key").agg(F.max(F.struct("weight", "node", "n", "bits", "first")).alias("p"), F.count("*").alias("c"))
-    pivots = settle(pivots.select("key", "c", F.col("p.node").alias("b"), F.col("p.n").alias("b_n"), F.col("p.bits").alias("b_bits"), F.col("p.first").alias("b_first")), "copies-pivots")
+    pivots = keep(pivots.select("key", "c", F.col("p.node").alias("b"), F.col("p.n").alias("b_n"), F.col("p.bits").alias("b_bits"), F.col("p.first").alias("b_first")), "copies-pivots", most)
     star = join_unique(side(many, "a", "first"), pivots, "key").filter((F.col("a") != F.col("b")) & (F.col("a_first") != F.col("b_first")) & can)
-    pairs = settle(near.select("a", "b").union(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct(), "copies-pairs")
-    edges = settle(close.union(verified(pairs, rows, similarity, shingle)), "copies-edges")
+    pairs = keep(near.select("a", "b").union(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct(), "copies-pairs")
+    edges = keep(close.union(verified(pairs, rows, similarity, shingle)), "copies-edges", close.count() + pairs.count())
     if pivots.isEmpty():
-        return edges
+        return done(edges)
     roots = components(edges).select("node", "root")
     rooted = many.select("key", "node", "n", "bits").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     led = pivots.select("key", "c", F.col("b").alias("node")).join(roots, "node", "left").select("key", "c", F.coalesce("root", "node").alias("led"))
-    rooted = settle(join_unique(rooted, led, "key"), "copies-rooted")
-    loose = settle(rooted.filter("root <> led").select("key").distinct(), "copies-loose")
+    rooted = keep(join_unique(rooted, led, "key"), "copies-rooted", most)
+    loose = keep(rooted.filter("root <> led").select("key").distinct(), "copies-loose", most)
     if loose.isEmpty():
-        return edges
+        return done(edges)
     rooted = rooted.join(loose, "key", "left_semi")
-    alone = unshared(rows, rooted.select("node"), shingle)
+    alone = keep(unshared(rows, rooted.select("node"), shingle, most), "copies-alone", most)
     # x shares n - u shingles at most, so its partner's size has a bound, which must reach the least size that fits
-    most = (F.col("n") - F.coalesce("u", F.lit(0))) * F.lit((1 + similarity) / similarity) - F.col("n") + 1e-6
-    alive = settle(rooted.join(alone, "node", "left").withColumn("most", most).filter(F.col("most") >= F.col("n") * similarity), "copies-alive")
+    reach = (F.col("n") - F.coalesce("u", F.lit(0))) * F.lit((1 + similarity) / similarity) - F.col("n") + 1e-6
+    alive = keep(rooted.join(alone, "node", "left").withColumn("most", reach).filter(F.col("most") >= F.col("n") * similarity), "copies-alive", most)
     a, b = side(alive.filter("root <> led"), "a", "root", "most"), side(alive, "b", "root", "most")
     rest = a.join(b, (a["key"] == b["key"]) & (F.col("a_root") != F.col("b_root")) & (F.col("b_n") <= F.col("a_most")) & (F.col("a_n") <= F.col("b_most")) & can)
-    rest = settle(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti"), "copies-rest")
-    return settle(edges.union(verified(rest, rows, similarity, shingle)), "copies-edges")
+    rest = keep(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti"), "copies-rest")
+    return done(keep(edges.union(verified(rest, rows, similarity, shingle)), "copies-edges", edges.count() + rest.count()))
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, shingle: int = 5, bucket: int = 48) -> DataFrame:
     """id and node of one text of each group: that of the least id."""
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), node_of(text_col).alias("node")).filter("id IS NOT NULL")
     nodes = settle(rows.groupBy("node").agg(F.min("id").alias("id")), "copies-nodes")
-    roots = components(links(rows, similarity, shingle, bucket))
+    with batches_of(docs.sparkSession, BATCH):
+        edges = links(rows, similarity, shingle, bucket)
+    roots = components(edges)
     grouped = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min(F.struct("id", "node")).alias("kept"))
-    return settle(grouped.select("kept.id", "kept.node"), "copies-kept")
+    out = settle(grouped.select("kept.id", "kept.node"), "copies-kept")
+    for old in (nodes, edges, roots):
+        discard(old)
+    return out
 
 
 def node_of(text_col: str):

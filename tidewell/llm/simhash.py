@@ -193,14 +193,15 @@ def links(fps: DataFrame, limit: int = 2, bucket: int = 48) -> DataFrame:
     n, both = bit_counts(fps)
     masks = [m for group, t in plan(n, both, limit) for m in masks_of(group, t)]
     keys = fps.select("fp", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("v")) for k, m in enumerate(masks)])).alias("key")).select("fp", "key.k", "key.v")
-    crowded = settle(keys.groupBy("k", "v").agg(F.count("*").alias("c")).filter("c > 1"), "simhash-buckets")
+    most = n * len(masks)
+    crowded = settle(keys.groupBy("k", "v").agg(F.count("*").alias("c")).filter("c > 1"), "simhash-buckets", most)
     hot = crowded.filter(F.col("c") > HOT_BUCKET).select("k", "v")  # at most keys / HOT_BUCKET of them
     if bucket < HOT_BUCKET and not hot.isEmpty():
         hot = F.broadcast(settle(hot, "simhash-hot"))
         apart = keys.join(hot, ["k", "v"], "left_semi").withColumn("c", F.lit(HOT_BUCKET + 1).cast("bigint"))
-        members = settle(apart.unionByName(keys.join(hot, ["k", "v"], "left_anti").join(crowded, ["k", "v"])), "simhash-members")
+        members = settle(apart.unionByName(keys.join(hot, ["k", "v"], "left_anti").join(crowded, ["k", "v"])), "simhash-members", most)
     else:
-        members = settle(keys.join(crowded, ["k", "v"]), "simhash-members")
+        members = settle(keys.join(crowded, ["k", "v"]), "simhash-members", most)
     few = members.filter(F.col("c") <= bucket).select("k", "v", "fp")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= limit
     pairs = few.withColumnRenamed("fp", "a").join(few.withColumnRenamed("fp", "b"), ["k", "v"]).filter("a < b").filter(near).select("a", "b")
@@ -225,21 +226,22 @@ def components(edges: DataFrame) -> DataFrame:
     of the nodes. All state is in tables; nothing is gathered on the driver or in one group.
     """
     edge = settle(edges.select("a", "b"), "links")
+    most = 2 * edge.count()  # neither nodes nor edges become more
     root: DataFrame | None = None
     while not edge.isEmpty():
         ways = edge.select("a", "b").union(edge.select(F.col("b").alias("a"), F.col("a").alias("b")))
         order = lambda c: F.struct(F.xxhash64(c).alias("h"), F.col(c).alias("id"))
         up = ways.groupBy(F.col("a").alias("node")).agg(F.min(order("b")).alias("least")).select("node", F.least(order("node"), F.col("least"))["id"].alias("up"))
-        up = settle(up, "follow")
-        twice = settle(up.join(up.select(F.col("node").alias("up"), F.col("up").alias("top")), "up").select("node", F.col("top").alias("up")), "follow")
+        up = settle(up, "follow", most)
+        twice = settle(up.join(up.select(F.col("node").alias("up"), F.col("up").alias("top")), "up").select("node", F.col("top").alias("up")), "follow", most)
         old_root, old_edge = root, edge
         if root is None:
             root = twice.select("node", F.col("up").alias("root"))
         else:
             root = root.join(twice.select(F.col("node").alias("root"), "up"), "root", "left").select("node", F.coalesce("up", "root").alias("root"))
-        root = settle(root, "roots")
+        root = settle(root, "roots", most)
         moved = edge.join(twice.select(F.col("node").alias("a"), F.col("up").alias("x")), "a").join(twice.select(F.col("node").alias("b"), F.col("up").alias("y")), "b")
-        edge = settle(moved.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "links")
+        edge = settle(moved.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "links", most)
         for old in (up, twice, old_root, old_edge):
             discard(old)
     if root is None:
