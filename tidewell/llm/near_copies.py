@@ -123,7 +123,7 @@ def hashed_sets(rows: DataFrame, nodes: DataFrame, shingle: int, most: int) -> D
     n = wanted.count()
     few = F.broadcast(wanted) if n <= FEW_NODES else wanted
     texts = rows.select("node", "text").join(few, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
-    out = settle(texts.mapInArrow(of, "node long, set binary"), "copies-sets", 20 * n)
+    out = settle(texts.mapInArrow(of, "node long, set binary"), "copies-sets", 100 * n)  # 2,500 texts a file
     discard(wanted)
     return out
 
@@ -159,7 +159,9 @@ def unshared(rows: DataFrame, nodes: DataFrame, shingle: int, most: int) -> Data
                 node = np.repeat(part.column(0).to_numpy(), [len(x) for x in sets])
                 yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(np.concatenate(sets))], names=["node", "hash"])
 
-    single = hashed_sets(rows, nodes, shingle, most).mapInArrow(of, "node long, hash long").groupBy("hash").agg(F.count("*").alias("c"), F.min("node").alias("node")).filter("c = 1")
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sets = hashed_sets(rows, nodes, shingle, most).repartition(tasks)  # few files become many rows
+    single = sets.mapInArrow(of, "node long, hash long").groupBy("hash").agg(F.count("*").alias("c"), F.min("node").alias("node")).filter("c = 1")
     return single.groupBy("node").agg(F.count("*").alias("u"))
 
 
