@@ -123,3 +123,41 @@ def test_query(spark, tmp_path):
         parts = [x.split(":") for x in r["spans"].split(",") if x]
         assert {tuple(x) for x in parts} >= {tuple(map(str, s)) for s in spans}
         assert parts == sorted(parts, key=lambda x: (pii.KINDS.index(x[0]), int(x[1])))
+
+
+#: Names, streets and cues, most of which stand in no list of the library.
+OTHERS = [
+    ("My name is {} and I was born on 03.05.1981.", ["Xiulan Nguyen", "Mohammed Al-Farsi", "Svetlana Petrova", "Priya Raghavan", "Giulia Ferrari", "Yuki Tanaka", "Siobhan O'Neil", "Jan van der Berg", "Oluwaseun Adeyemi", "Bo Ek"]),
+    ("The contract was signed by {} on Monday.", ["Ngozi Eze", "Tomasz Kowalczyk", "Ayşe Yılmaz", "Anneke Visser", "Dmitri Volkov"]),
+    ("Yesterday {} came to the office.", ["Dr. Xiulan Nguyen", "Mrs Okonkwo", "Herr Lindqvist", "Prof. Haruki Sato"]),
+    ("Dear {}, thank you for your letter.", ["Leila Haddad", "Piotr Nowak"]),
+]
+STREETS = ["12 Kestrel Close Road", "5 rue de la Paix", "calle Mayor 14", "Lindenallee 7, 10115 Berlin", "221 Juniper Avenue", "8 bis avenue Foch"]
+
+
+def test_people_and_streets_beyond_the_lists(spark):
+    want, texts = {}, []
+    for cue, names in OTHERS:
+        for n in names:
+            want[len(texts)] = ("person", cue.index("{}"), cue.index("{}") + len(n))
+            texts.append(cue.format(n))
+    for x in STREETS:
+        want[len(texts)] = ("address", len("She lives at "), len("She lives at ") + len(x))
+        texts.append(f"She lives at {x}, as we know.")
+    clean = ["Emma Stone was great in La La Land.", "See commit 3f786850e387550fdab836ed7e6dc881de23001b for it.", "The White House and the Eiffel Tower are old.", "In version 10.2 of Open Office the menu is new.", "He read Moby Dick in New York."]
+    texts += [f"{t} Line {k}." for k in range(40) for t in clean]
+    rows = pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    spans = {r["id"]: {tuple(x) for x in r["added"]} for r in rows}
+    missed = [(texts[k], spans[k]) for k, w in want.items() if w not in spans[k]]
+    assert len(missed) <= 0.1 * len(want), missed
+    assert not [(texts[k], x) for k, x in spans.items() if k not in want and x]
+
+
+def test_many_spans_in_a_long_text(spark):
+    import time
+
+    text = "write x@y.org or 1.2.3.4 now é " * 40_000
+    began = time.time()
+    got = pii.redact(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()[0]["text"]
+    assert got == "write [EMAIL] or [IP] now é " * 40_000
+    assert time.time() - began < 90

@@ -6,7 +6,9 @@ numbers of documents. Regex, gazetteer and context labelers vote on every candid
 For each kind, expectation maximisation over the counts of vote patterns estimates how reliable each labeler is,
 and so how likely each pattern means personal data. These soft labels train a naive Bayes classifier over
 features of the spans (length, digits, neighbours, context; each by kind), which decides about the spans to add.
-Persons, dates and bare numbers need context: a title, or words of identity or contact close by.
+Persons, dates and bare numbers need context: a title, or words of identity or contact close by; a word against, such as
+commit or version, is enough to leave any candidate. Persons are candidates by their form, two or more words with capitals, or a title
+and one; the gazetteer of given names only votes.
 
 The counts cover all documents. The driver sees vote patterns and feature values only: 3 ** 6 patterns at
 most, times eight kinds and a few dozen values of features. Spans stay with their document's row, so nothing is shuffled
@@ -56,22 +58,28 @@ INSTITUTIONS = "bank|clinic|hospital|insurance|university|school|college|sparkas
 PROVIDERS = "gmail|outlook|yahoo|hotmail|proton|icloud|aol|gmx|web\\.de|orange|example|mail"
 STREET = "Street|St|Road|Rd|Avenue|Ave|Lane|Drive|Court|Square|Boulevard|Blvd|Way|Terrace|Crescent"
 UPPER_WORD = r"\p{Lu}[\p{L}'-]*+"
+TITLE = "(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Sr|Sra)"
+#: A word of a name; titles and salutations are none.
+NAME = rf"(?!(?:{TITLE}|Dear|Hello|Hi|Attn|Regards|Sincerely)\b)\p{{Lu}}(?:['’]\p{{Lu}})?\p{{L}}++(?:-\p{{Lu}}\p{{L}}++)*+(?![0-9])"
+#: A postal code and its place.
+TOWN = r"(?:,?\x20[0-9]{4,5}\x20\p{Lu}\p{L}++(?:[\x20-]\p{Lu}\p{L}++)?)?"
+WAY = rf"(?:rue|avenue|boulevard|place|calle|plaza|avenida)\x20(?:(?:de|du|la|los|las|des)\x20)*+{UPPER_WORD}(?:\x20{UPPER_WORD})*+"
 #: What further personal data may look like: a candidate is a match of one of these. Runs are open-ended and possessive.
 WIDE = {
     "email": rf"(?<![{LOCAL}])[{LOCAL}]++\s?[\[(]\s?(?:at|AT)\s?[\])]\s?[A-Za-z0-9-]++(?:(?:\.|\s?[\[(]\s?(?:dot|DOT)\s?[\])]\s?)[A-Za-z0-9-]++)++",
     "account": r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])|[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])",
     "birth": r"(?:[0-9]{1,2}[./-][0-9]{1,2}[./-](?:19|20)[0-9]{2}|(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2})(?![0-9])",
     "phone": r"\(?[0-9]{2,4}\)?[\x20.-][0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9])",
-    "address": rf"[0-9]{{1,5}}[A-Za-z]?\x20(?:{UPPER_WORD}\x20){{1,6}}?(?:{STREET})\b|(?:rue|calle)\x20(?:(?:de|du|la|los|las|des)\x20)*+{UPPER_WORD}(?:\x20{UPPER_WORD})*+,?\x20[0-9]{{1,5}}|\p{{Lu}}\p{{L}}*(?:stra(?:ß|ss)e|weg|platz|allee)\x20[0-9]{{1,4}}[a-z]?\b",
+    "address": rf"(?:[0-9]{{1,5}}[A-Za-z]?\x20(?:{UPPER_WORD}\x20){{1,6}}?(?:{STREET})\b|[0-9]{{1,4}}(?:\x20?(?:bis|ter))?,?\x20{WAY}|{WAY},?\x20[0-9]{{1,5}}|\p{{Lu}}\p{{L}}*(?:stra(?:ß|ss)e|weg|platz|allee)\x20[0-9]{{1,4}}[a-z]?\b){TOWN}",
     "id": r"[A-Z]{0,2}[0-9]{6,12}(?![A-Za-z0-9_/+-])",
     "secret": r"[A-Za-z0-9_/+-]{20,}+",
-    "person": rf"(?=[A-Z])(?:(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Sr|Sra)\.?\x20)?{GIVEN_ANY}\x20(?:\p{{Lu}}\.\x20)?\p{{Lu}}\p{{L}}++(?:-\p{{Lu}}\p{{L}}++)?",
+    "person": rf"(?=\p{{Lu}})(?:{TITLE}\.?\x20)?{NAME}\x20(?:\p{{Lu}}\.\x20)?(?:(?:van|von|de|da|di|del|della|der|den|la|le|bin|ibn|al|el)\x20)*+{NAME}(?:\x20{NAME})?|(?=[DFHMPS]){TITLE}\.?\x20{NAME}",
 }
 WIDE_ANY = r"(?<![\p{L}\p{N}])(?:" + "|".join(f"(?:{WIDE[k]})" for k in WIDE) + ")"
 STRICT = r"^(?:\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}|[0-9]{3}-[0-9]{2}-[0-9]{4}|[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?|[0-9a-f]{32,}+|(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])[A-Za-z0-9_/+-]{24,}+|.*[\[(]\s?(?:at|AT)\s?[\])].*|(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Sr|Sra)\.?\x20.*)$"
 GAZETTEER = rf"(?i)\b(?:{PROVIDERS})\b|\.(?:com|org|net|edu|gov|de|fr|es|it|uk)\b|^(?:ghp|gho|sk|pk|xox[bp]|akia|aiza)[_-]?|^(?:DE|FR|ES|IT|GB|NL)[0-9]{{2}}"
 GAZETTEER_NEAR = rf"\b(?:{PLACES.replace(' ', '|')})\b|(?i)\b(?:{INSTITUTIONS})\b"
-BEFORE = r"(?i)\b(?:phone|tel|telephone|mobile|fax|call|contact|mail|e-mail|email|write to|reach|token|key|secret|password|passwd|pwd|bearer|ssn|iban|account|passport|card|identity|licen[cs]e|id|name is|named|signed|patient|resident|lives? (?:at|in)|living at|address|born|birth|dob|né|née|geboren|nacid[oa]|wohnhaft|adresse|name)\b(?:\W{0,12}|\W{1,3}(?:is|on|no|number|at|am|le|el|in|by)\W{1,3})$"
+BEFORE = r"(?i)\b(?:phone|tel|telephone|mobile|fax|call|contact|mail|e-mail|email|write to|reach|token|key|secret|password|passwd|pwd|bearer|ssn|iban|account|passport|card|identity|licen[cs]e|id|name is|named|signed|patient|resident|dear|regards|sincerely|attn|i am|i'm|applicant|employee|tenant|lives? (?:at|in)|living at|address|born|birth|dob|né|née|geboren|nacid[oa]|wohnhaft|adresse|name)\b(?:\W{0,12}|\W{1,3}(?:is|on|no|number|at|am|le|el|in|by)\W{1,3})$"
 #: What says of a date or number itself what it is.
 NAMED = r"(?i)\b(?:born|birth|dob|birthday|né|née|geboren|nacid[oa]|passport|identity|licen[cs]e|ssn|personalausweis|dni)\b(?:\W{0,12}|\W{1,3}(?:is|on|no|number|at|am|le|el)\W{1,3})$"
 AFTER = r"(?i)^\W{0,4}(?:(?:who )?lives?|living|residing|born|birth|dob|né|née|geboren|nacid[oa]|wohnhaft|phone|tel|mobile|e-?mail|passport|address|adresse|aged|ssn|account)\b"
@@ -174,7 +182,7 @@ def _judge(match: Column, before: Column, after: Column) -> dict[str, Column]:
         votes = [
             F.when((k == "person") & ~titled, 1).otherwise(_vote(match.rlike(STRICT) | (k == "address") | (k.isin("birth", "id") & tail.rlike(NAMED)), needy | ~match.rlike("[0-9]"))),
             F.when(place | k.isin("birth", "email"), 1).otherwise(_vote(mixed & (digits * 5 > n) | (digits >= 9), digits == 0)),
-            _vote((k == "person") | match.rlike(GAZETTEER) | (~k.isin("secret", "phone") & (next_.rlike(GAZETTEER_NEAR) | tail.rlike(GAZETTEER_NEAR)))),
+            _vote(((k == "person") & match.rlike(rf"^(?:{TITLE}\.?\x20)?{GIVEN_ANY}\b")) | match.rlike(GAZETTEER) | (~k.isin("secret", "phone") & (next_.rlike(GAZETTEER_NEAR) | tail.rlike(GAZETTEER_NEAR)))),
             _vote(near, (needy & ~titled) | tail.rlike(AGAINST)),
             F.when(place, _vote(next_.rlike(AFTER), (k == "person") & ~near & ~titled)).otherwise(_vote(ends, head.rlike(r"^[\p{L}\p{N}_@#*$%&]"))),
             _vote(F.lit(False), match.rlike(DUMMY)),
@@ -194,8 +202,8 @@ def _judge(match: Column, before: Column, after: Column) -> dict[str, Column]:
 
 
 FEATURES = ["size", "digits", "context", "neighbour"]
-#: No candidate is without a digit, a bracketed at, or a given name.
-SIGN = rf"[0-9]|[\[(]\s?(?:at|AT)\s?[\])]|{GIVEN_ANY}\x20\p{{Lu}}"
+#: No candidate is without a digit, a bracketed at, or a capital behind a space.
+SIGN = r"[0-9]|[\[(]\s?(?:at|AT)\s?[\])]|\x20\p{Lu}"
 
 
 def candidates(text: Column) -> Column:
@@ -268,6 +276,19 @@ def train(found: DataFrame) -> Column | None:
     return odds
 
 
+def _blocks(spans: Column, size: int = 64) -> Column:
+    """Spans in order of start, in blocks with their first start and last end."""
+    cut = lambda xs: F.transform(F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / size).cast("int")), lambda k: F.slice(xs, k * size + 1, size))
+    framed = lambda xs: F.transform(cut(xs), lambda b: F.struct(b[0]["start"].alias("from"), F.array_max(F.transform(b, lambda x: x["end"])).alias("to"), b.alias("of")))
+    return F.when(F.size(spans) > 0, let(F.array_sort(F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))), framed))
+
+
+def _clear(more: Column, base: Column) -> Column:
+    """The spans of more that meet none of base; only blocks that a span meets are looked into."""
+    free = lambda m, blocks: ~F.exists(blocks, lambda k: (k["from"] < m["end"]) & (m["start"] < k["to"]) & F.exists(k["of"], lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
+    return F.when(F.size(base) > 0, let(_blocks(base), lambda blocks: F.filter(more, lambda m: free(m, blocks)))).otherwise(more)
+
+
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
     """id, base (the base spans) and added (further spans) for every row of docs: arrays of kind, start, end.
 
@@ -275,14 +296,15 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_t
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    clear = lambda more, base: F.filter(more, lambda m: ~F.exists(base, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
-    both = let(base_spans(text), lambda base: F.struct(base.alias("base"), clear(candidates(text), base).alias("more")))
+    both = let(base_spans(text), lambda base: F.struct(base.alias("base"), _clear(candidates(text), base).alias("more")))
     found = rows.select("id", *["text"] * keep_text, both.alias("x")).select("id", *["text"] * keep_text, "x.base", "x.more")
     found = settle(found, "pii-spans")
     odds = train(found)
     span = lambda m: F.struct(m["kind"].alias("kind"), m["start"].alias("start"), m["end"].alias("end"))
     none = F.expr("cast(array() as array<struct<kind:string,start:int,end:int>>)")
-    added = none if odds is None else F.coalesce(F.transform(F.filter("more", lambda m: odds(m) > 0), span), none)
+    context = lambda m: m["f"]["context"]
+    fits = lambda m: (context(m) > 0) & (~m["kind"].isin(*NEEDY) | (context(m) == 2))
+    added = none if odds is None else F.coalesce(F.transform(F.filter("more", lambda m: fits(m) & (odds(m) > 0)), span), none)
     return found.select("id", *["text"] * keep_text, "base", added.alias("added"))
 
 
@@ -298,6 +320,19 @@ def written(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+#: Code points of a page of a text.
+PAGE = 2048
+
+
+def _reach(ends: Column, block: int = 256) -> Column:
+    """The greatest of the numbers before each one, 0 before the first, in two levels."""
+    grow = lambda xs, begin: F.aggregate(
+        xs, F.struct(begin.alias("at"), F.expr("cast(array() as array<int>)").alias("all")), lambda acc, x: F.struct(F.greatest(acc["at"], x).alias("at"), F.concat(acc["all"], F.array(acc["at"])).alias("all"))
+    )
+    cut = F.transform(F.sequence(F.lit(0), F.floor((F.size(ends) - 1) / block).cast("int")), lambda b: F.slice(ends, b * block + 1, block))
+    return let(cut, lambda parts: let(grow(F.transform(parts, lambda p: F.array_max(p)), F.lit(0))["all"], lambda begins: F.flatten(F.transform(parts, lambda p, b: grow(p, F.get(begins, b))["all"]))))
+
+
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs with every span of its text replaced by its kind in brackets, as [EMAIL]; null stays null.
 
@@ -307,15 +342,20 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     found = find(docs.select(row.alias("__row"), F.col(f"`{text_col}`").alias("__text")), "__row", "__text")
     spans = F.sort_array(F.transform(F.concat("base", "added"), lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("less"), s["kind"].alias("kind"))))
     text = F.col(f"id.`{text_col}`")
-    end = lambda s: -s["less"]
-    cut = lambda a, b: F.substr(text, a + 1, b - a)
-    clean = F.aggregate(
-        spans,
-        F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
-        lambda acc, s: F.struct(
-            F.when(s["start"] >= acc["at"], F.concat(acc["out"], cut(acc["at"], s["start"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))).otherwise(acc["out"]).alias("out"),
-            F.greatest(acc["at"], end(s)).alias("at"),
-        ),
-        lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1)),
-    )
+    pages = F.transform(F.sequence(F.lit(0), F.floor((F.char_length(text) - 1) / PAGE).cast("int")), lambda k: F.substr(text, k * PAGE + 1, F.lit(PAGE)))
+
+    def made(x: Column) -> Column:  # x: spans, reach (where the spans before each end) and pages
+        def cut(a: Column, b: Column) -> Column:  # from the pages that a piece lies on: a look into the whole text would count from its beginning
+            first, last = F.floor(a / PAGE).cast("int"), F.floor((b - 1) / PAGE).cast("int")
+            part = lambda k: F.substr(F.get(x["pages"], k), F.greatest(a - k * PAGE, F.lit(0)) + 1, b - F.greatest(a, k * PAGE))
+            return F.when(a < b, F.array_join(F.transform(F.sequence(first, last), part), "")).otherwise("")
+
+        def piece(s: Column, i: Column) -> Column:
+            at = F.get(x["reach"], i)
+            return F.when(s["start"] >= at, F.concat(cut(at, s["start"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))).otherwise("")
+
+        rest = let(F.array_max(F.transform(x["spans"], lambda s: -s["less"])), lambda at: cut(at, F.char_length(text)))
+        return F.concat(F.array_join(F.transform(x["spans"], piece), ""), rest)
+
+    clean = let(F.struct(spans.alias("spans"), pages.alias("pages")), lambda y: let(F.struct(y["spans"].alias("spans"), y["pages"].alias("pages"), _reach(F.transform(y["spans"], lambda s: -s["less"])).alias("reach")), made))
     return found.select("id", F.when(F.size(spans) > 0, clean).otherwise(text).alias("__clean")).select(*[F.col("__clean").alias(c) if c == text_col else F.col(f"id.`{c}`") for c in docs.columns])
