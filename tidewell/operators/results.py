@@ -258,9 +258,16 @@ def next_daily_reset(now: Column) -> Column:
     return F.when(now < today, today).otherwise(today + F.expr("INTERVAL 1 DAY"))
 
 
-def paid_usage(events: DataFrame, order: str, usd: str, limit: float) -> DataFrame:
-    """Per event the micro-dollars spent before it by day, and whether it may still be paid for. Days are the windows' keys."""
-    w = Window.partitionBy("day").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+def paid_usage(events: DataFrame, order: str, usd: str, limit: float, block: int = 10_000) -> DataFrame:
+    """Per event the micro-dollars spent before it by day, and whether it may still be paid for.
+
+    order is numeric and tells events apart. A day is cut into blocks of it: sums within a block, and running sums over the blocks' totals, so
+    no task holds a day.
+    """
     micro = F.round(F.col(usd) * 1_000_000).cast("bigint")
-    out = events.withColumn("spent", F.coalesce(F.sum(micro).over(w), F.lit(0)))
-    return out.withColumn("allowed", F.col("spent") + micro <= int(limit * 1_000_000))
+    cut = events.withColumns({"__b": F.floor(F.col(order) / block), "__m": micro})
+    over = Window.partitionBy("day").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    before = cut.groupBy("day", "__b").agg(F.sum("__m").alias("__s")).select("day", "__b", F.coalesce(F.sum("__s").over(over), F.lit(0)).alias("__o"))
+    inside = F.coalesce(F.sum("__m").over(Window.partitionBy("day", "__b").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    out = cut.withColumn("__i", inside).join(before, ["day", "__b"]).withColumn("spent", F.col("__o") + F.col("__i"))
+    return out.withColumn("allowed", F.col("spent") + F.col("__m") <= int(limit * 1_000_000)).drop("__b", "__m", "__o", "__i")

@@ -9,11 +9,17 @@ from .allocation import allocate_once
 
 
 def startable(queue: DataFrame, budget: float, lane: str = "lane", priority: str = "priority", added: str = "added", cost: str = "cost", ident: str = "item_id") -> DataFrame:
-    """What each lane may start: priority first, then by arrival, while the lane's running cost stays in the budget."""
+    """What each lane may start: priority first, then by arrival, while the lane's running cost stays in the budget. Costs aren't negative.
+
+    Sums by lane, priority and arrival tell first where a lane's budget ends; only what arrives before is put in order row by row.
+    """
+    exact = F.col(cost).cast("decimal(18,2)")
+    sums = queue.groupBy(lane, priority, added).agg(F.sum(exact).alias("__s"))
+    ahead = F.sum("__s").over(Window.partitionBy(lane).orderBy(F.col(priority).desc(), added).rowsBetween(Window.unboundedPreceding, -1))
+    within = sums.withColumn("__ahead", ahead).filter(F.coalesce("__ahead", F.lit(0)) <= budget).select(F.col(lane).alias("__l"), F.col(priority).alias("__p"), F.col(added).alias("__a"))
     order = Window.partitionBy(lane).orderBy(F.col(priority).desc(), added, ident)
-    place = F.row_number().over(order)
-    spent = F.sum(F.col(cost).cast("decimal(18,2)")).over(order)
-    return queue.withColumn("place", place).withColumn("spent", spent).filter(F.col("spent") <= budget)
+    rows = queue.join(within, F.col(lane).eqNullSafe(F.col("__l")) & F.col(priority).eqNullSafe(F.col("__p")) & F.col(added).eqNullSafe(F.col("__a"))).drop("__l", "__p", "__a")
+    return rows.withColumn("place", F.row_number().over(order)).withColumn("spent", F.sum(exact).over(order)).filter(F.col("spent") <= budget)
 
 
 def spending_cap(total: Column, spent: Column, floor: float = 0.5, reserve: float = 1.0) -> Column:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import calls_queries, extract_queries, matching_queries, report_queries, resolve_queries, result_queries, rule_queries
+from . import calls_queries, extract_queries, import_queries, matching_queries, report_queries, resolve_queries, result_queries, rule_queries
 
-GROUPS = [calls_queries, matching_queries, report_queries, result_queries, rule_queries, resolve_queries, extract_queries]
+GROUPS = [calls_queries, matching_queries, report_queries, result_queries, rule_queries, resolve_queries, extract_queries, import_queries]
 
 
 def queries() -> dict:
