@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions import text as tx
-from tidewell.operators import results, sheets, verification
+from tidewell.operators import inboxes, results, sheets, verification, workbook
 from tidewell.sources.tables import table
 
 from .report_queries import _comparable_sql
+from .rule_queries import PAGE_EMAILS
 
 HEADINGS = ["Kind of institution", "Partner Name", "Country", "Name", "Surname", "Its website here", "Primary phone"]
 
@@ -112,7 +113,50 @@ WITH p AS (SELECT trim(p_name) || ' ' || trim(p_type) || CASE WHEN p_size % 3 =
 SELECT trim(regexp_replace(regexp_replace(x, '\s+[-–]\s.*$', ''), '(?i)[,\s]+(?:gmbh|ltd|llc|inc|s\.?a|s\.?r\.?l|b\.?v|e\.?v|plc|ag)\.?$', '')) AS name, count(*) AS n FROM p GROUP BY 1
 """
 
+def shared_inboxes(spark: SparkSession, d: str) -> DataFrame:
+    """Three documents at a time as an institution's pages, an address of one of four kinds printed on each, some at a provider of free mail: the best inbox of each."""
+    t = table(spark, d, "documents").select("doc_id", F.floor(F.col("doc_id") / 3).alias("entity"), F.coalesce("text", F.lit("")).alias("text"))
+    domain = F.concat(F.lit("mail"), F.col("entity") % 8, F.lit(".example.com"))
+    local = F.get(F.array(*map(F.lit, ("marie", "info", "jobs", "international"))), (F.col("doc_id") % 4).cast("int"))
+    said = F.concat("text", F.lit("\n"), local, F.lit("@"), F.when(F.col("doc_id") % 5 < 2, "gmail.com").otherwise(domain))
+    pages = t.select("entity", (F.col("doc_id") % 3).alias("i"), F.concat(F.lit("http://www."), domain, F.when(F.col("doc_id") % 2 == 0, "/contact/").otherwise("/"), F.col("doc_id")).alias("url"), said.alias("text"))
+    sites = t.select("entity").distinct().select("entity", F.concat(F.lit("http://www."), domain, F.lit("/")).alias("site"), F.lit("Some Institution").alias("name"))
+    return inboxes.shared_inboxes(pages, sites, "entity").select("entity", "email", F.substring_index("url", "/", -1).alias("page"), F.col("tier").cast("bigint").alias("tier"))
+
+
+def _inbox_sql() -> str:
+    made = PAGE_EMAILS.replace("coalesce(text, '')", "said").replace("FROM documents", "FROM told")
+    return rf"""
+WITH told AS (SELECT doc_id, coalesce(text, '') || chr(10) || ['marie', 'info', 'jobs', 'international'][doc_id % 4 + 1] || '@' || CASE WHEN doc_id % 5 < 2 THEN 'gmail.com' ELSE 'mail' || (doc_id // 3) % 8 || '.example.com' END AS said FROM documents), {made},
+x AS (SELECT doc_id // 3 AS entity, doc_id, doc_id % 3 AS i, 'mail' || (doc_id // 3) % 8 || '.example.com' AS host, unnest(e) AS email FROM e),
+y AS (SELECT *, string_split(email, '@')[1] AS l, string_split(email, '@')[-1] AS h, string_split(host, '.')[1] AS label FROM x),
+o AS (SELECT *, CASE WHEN h = host OR ends_with(h, '.' || host) OR ends_with(host, '.' || h) THEN CASE WHEN regexp_matches(l, '{inboxes.INTERNATIONAL}') THEN 0 WHEN regexp_matches(l, '^({"|".join(inboxes.OFFICES)})') OR (length(l) >= 3 AND (contains(label, l) OR contains(l, label))) THEN 1 ELSE 2 END
+      WHEN h = 'gmail.com' AND (i = 0 OR doc_id % 2 = 0) THEN 3 END AS tier FROM y WHERE NOT regexp_matches(l, '{inboxes.NOT_SHARED}')),
+t AS (SELECT entity, email, max(tier) AS tier, count(*) AS n, min(i * 1000000000 + doc_id) AS first FROM o WHERE tier IS NOT NULL GROUP BY 1, 2)
+SELECT entity, email, (first % 1000000000)::VARCHAR AS page, tier::BIGINT AS tier FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY tier, n DESC, first, email) AS r FROM t) WHERE r = 1
+"""
+
+
+def institution_tabs(spark: SparkSession, d: str) -> DataFrame:
+    """Suppliers as tabs of a workbook: their large returned lines as partners, their nation as a campus if they have a balance."""
+    s = table(spark, d, "supplier").select(F.concat(F.lit("s"), "s_suppkey").alias("row_id"), "s_suppkey", F.col("s_name").alias("name"), "s_nationkey", "s_acctbal")
+    li = table(spark, d, "lineitem").filter("l_returnflag = 'R' AND l_quantity >= 45").select(F.concat(F.lit("s"), "l_suppkey").alias("row_id"), F.col("l_orderkey").alias("s_suppkey"), "l_partkey", "l_quantity")
+    campus = s.filter("s_acctbal > 0").select("row_id", "s_suppkey", F.concat(F.lit("Nation "), "s_nationkey").alias("campus"))
+    tabs = workbook.institution_tabs(s, [("Partners ({n})", li, [("l_partkey", "Part"), ("", ""), ("s_suppkey", "Order")]), ("Campuses ({n})", campus, [("campus", "Campus")])], "row_id", "name", "s_suppkey", ["Institutions"])
+    return tabs.groupBy("title").agg(F.max("line").cast("bigint").alias("lines"), F.sum(F.char_length(F.array_join("cells", "|"))).cast("bigint").alias("chars"))
+
+
+TABS_SQL = """
+WITH p AS (SELECT l_suppkey AS k, count(*) AS n, sum(length(l_partkey || '||' || l_orderkey)) AS c FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 45 GROUP BY 1),
+s AS (SELECT s_suppkey AS k, s_name, s_acctbal > 0 AS campus, s_nationkey, coalesce(n, 0) AS n, coalesce(c, 0) AS c FROM supplier LEFT JOIN p ON k = s_suppkey)
+SELECT trim(('s' || k || ' ' || s_name)[1:31]) AS title, (2 + CASE WHEN n > 0 THEN 3 + n ELSE 0 END + CASE WHEN campus THEN 4 ELSE 0 END)::BIGINT AS lines,
+       (length(s_name) + 2 + length('Back to all institutes') + 2 + CASE WHEN n > 0 THEN 2 + length('Partners (' || n || ')') + 2 + length('Part||Order') + c ELSE 0 END + CASE WHEN campus THEN 2 + length('Campuses (1)') + 2 + length('Campus') + 2 + length('Nation ' || s_nationkey) + 2 ELSE 0 END)::BIGINT AS chars
+FROM s WHERE n > 0 OR campus
+"""
+
 QUERIES = {
+    "shared_inboxes": (shared_inboxes, _inbox_sql()),
+    "institution_tabs": (institution_tabs, TABS_SQL),
     "sheet_import": (sheet_import, SHEET_SQL),
     "headerless_sheet": (headerless_sheet, HEADERLESS_SQL),
     "contact_notes": (contact_notes, _notes_sql()),
