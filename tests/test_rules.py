@@ -105,6 +105,11 @@ def test_page_phones_have_trust(spark):
     assert sorted(tuple(r) for r in ph.best_site_phone(found, "site", "n").collect()) == [("s", "+33144556679", 2), ("t", "+33612345678", 2)]
 
 
+def test_page_phones_after_a_line_break(spark):
+    df = spark.createDataFrame([(1, "Zu ist.\n+1 (617) 555-2870 Den.", "US"), (2, "Zu ist.+1 (617) 555-2870 Den.", "US"), (3, "hôtel 617 555 2870", "US")], "page_id int, html string, cc string")
+    assert sorted((r["page_id"], r["trust"], r["phone"]) for r in ph.page_phones(df, "page_id", "html", "cc").collect()) == [(1, 1, "+16175552870"), (3, 2, "+16175552870")]
+
+
 def test_pick_official(spark):
     cases = [
         (["anna@x.org", "erasmus@other.org", "office@x.org"], "www.x.org", "office@x.org"), (["erasmus@other.org"], "x.org", ""), (["ce.0941018w@ac-creteil.fr", "info@gmail.com"], "branly.fr", "ce.0941018w@ac-creteil.fr"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -90,6 +92,8 @@ def page_phones(pages: DataFrame, ident: str, html: str, country: str) -> DataFr
     number (as far as the one before it) and 30 after it. place is the number's within its class.
     """
     cc = F.col(country)
+    # a line break ends no text, and only ASCII letters make words
+    strict = lambda p: re.sub(r"\$$", r"\\z", p).replace(r"\b", "(?<![A-Za-z0-9_])")
     known = lambda raw: F.coalesce(F.nullif(normal_phone(raw, cc), F.lit("")), F.when(F.btrim(raw).startswith("+") & F.char_length(phone_digits(raw)).between(8, 15), F.concat(F.lit("+"), phone_digits(raw))))
     rows = pages.select(F.col(ident), cc, F.coalesce(F.col(html), F.lit("")).alias("__h"))
     found = lambda pattern: F.regexp_extract_all("__h", F.lit(pattern), F.lit(1))
@@ -102,8 +106,8 @@ def page_phones(pages: DataFrame, ident: str, html: str, country: str) -> DataFr
 
     def beside(raw: Column, i: Column) -> Column:
         before, after = F.get("__p", i), F.get("__p", i + 1)
-        glued = before.rlike(r"[\w/.=#@-]$") | after.rlike(r"^\w")
-        trust = F.when(before.rlike(NO_PHONE) | after.rlike(r"(?i)^\s*fax") | glued, 0).when(before.rlike(LABEL), 2).otherwise(1)
+        glued = before.rlike(r"[\w/.=#@-]\z") | after.rlike(r"^\w")
+        trust = F.when(before.rlike(strict(NO_PHONE)) | after.rlike(r"(?i)^\s*fax") | glued, 0).when(before.rlike(strict(LABEL)), 2).otherwise(1)
         return F.struct(trust.alias("trust"), raw.alias("raw"), F.btrim(F.concat(F.right(before, F.lit(60)), raw, F.substring(after, 1, 30))).alias("quote"))
 
     rows = rows.select(ident, cc, F.concat("__marked", F.transform("__n", beside)).alias("__all"))
