@@ -1,8 +1,10 @@
 """Work that must follow the input: rows that plans make on tables of frequent words, copies and chains."""
 
 import random
+import re
 
-from tidewell.operators import similar
+from tidewell.functions import contacts as ct
+from tidewell.operators import allocation, resolve, similar
 
 
 def most_rows(df):
@@ -37,3 +39,29 @@ def test_register_best_meets_no_square_of_frequent_words_and_copies(spark):
     ))
     assert len(got) == 1200 and all(r["ambiguous"] and kinds[r["code"]] == kinds[r["name_id"] % 300] for r in got)
     assert most < 20_000
+
+
+def test_town_match_meets_equal_names_and_groups_once(spark):
+    words = ["alpha", "beta", "town"]
+    names = spark.createDataFrame([(k, "c", words) for k in range(500)] + [(900, "c", ["gamma", "town"])], "name_id int, country string, words array<string>")
+    register = spark.createDataFrame([(k, f"g{k}", "c", ["town"], words) for k in range(40)] + [(99, "g7", "c", ["town"], ["gamma", "town"])], "entry_id int, grp string, country string, town array<string>, words array<string>")
+    got, most = most_rows(resolve.town_match(names, register))
+    assert [tuple(r) for r in got] == [(900, "g7")] and most < 2_000
+
+
+def test_lead_numbers_makes_no_wish_twice(spark):
+    rows = spark.createDataFrame([(1, "i", ["+49 30 000001", "+49 30 000002"]), (2, "i", ["+49 30 000001"])], "row int, institute string, numbers array<string>")
+    people = spark.createDataFrame([(1, 1, "+49 30 000003"), (2, 0, "+49 30 000003"), (2, 1, "+49 30 000004")], "row int, person int, phone string")
+    out = allocation.lead_numbers(rows, people, spark.createDataFrame([], "institute string, hash string"), "row")
+    assert sorted((r["row"], r["person"], r["number"][-1]) for r in out.collect()) == [(1, 0, "1"), (1, 0, "2"), (1, 1, "3"), (2, 1, "4")]
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_role_gate_and_stems_lose_nothing():
+    said = ["erasmus+ officer", "head of the international", "vice rector for international", "geschaftsfuhrer", "gerant", "proprietaire", "head master", "co-founder", "projektleiter", "ingles docente", "secretar", "mobility manager", "auslandsamt", "faculte x erasmus"]
+    for x in said:
+        assert re.search(ct.ANY_ROLE, x) and re.search(ct.ROLE_GATE, x), x
+    rnd = random.Random(1)
+    for stem in ct.ROLE_STEMS:
+        for x in (stem, f"a{stem}b", stem[:-1], stem[1:], stem + rnd.choice(ct.ROLE_STEMS)):
+            assert bool(re.search("|".join(ct.ROLE_STEMS), x)) == bool(re.search(ct.ANY_STEM, x)), x

@@ -96,11 +96,13 @@ def town_match(names: DataFrame, register: DataFrame, generic: tuple[str, ...] =
     rest = lambda ws, town: F.array_join(F.array_sort(F.array_except(telling(ws), telling(town))), " ")
     n = F.size("words")
     grams = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(most)), lambda k: F.when(n >= k, F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.slice("words", i, k))).otherwise(F.array().cast("array<array<string>>"))))
-    each = names.select("name_id", "country", "words", F.explode(F.array_distinct(grams)).alias("t")).filter(F.char_length(F.array_join("t", " ")) > 3)
-    asked = each.select("name_id", "country", F.array_join("t", " ").alias("town"), rest(F.col("words"), F.col("t")).alias("rest")).filter("rest <> ''")
-    known = register.select("grp", "country", F.array_join("town", " ").alias("town"), rest(F.col("words"), F.col("town")).alias("rest")).distinct()
-    fit = asked.join(known, ["country", "town", "rest"])
-    return fit.groupBy("name_id").agg(F.min("grp").alias("grp"), F.count_distinct("grp").alias("k")).filter("k = 1").drop("k")
+    # equal names are asked once, and of an entry's groups the least and the greatest tell whether there is just one
+    each = names.select("country", "words").distinct().select("country", "words", F.explode(F.array_distinct(grams)).alias("t")).filter(F.char_length(F.array_join("t", " ")) > 3)
+    asked = each.select("country", "words", F.array_join("t", " ").alias("town"), rest(F.col("words"), F.col("t")).alias("rest")).filter("rest <> ''")
+    kinds = register.groupBy("country", "town", "words").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi"))
+    known = kinds.select("country", F.array_join("town", " ").alias("town"), rest(F.col("words"), F.col("town")).alias("rest"), "lo", "hi").groupBy("country", "town", "rest").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    fit = asked.join(known, ["country", "town", "rest"]).groupBy("country", "words").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    return names.join(fit, ["country", "words"]).groupBy("name_id").agg(F.min("lo").alias("grp"), F.max("hi").alias("hi")).filter("grp = hi").drop("hi")
 
 
 def directory_match(names: DataFrame, register: DataFrame, generic: tuple[str, ...], first: int = 4) -> DataFrame:
