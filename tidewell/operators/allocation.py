@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.functions.keys import phone_hash
+from tidewell.functions.keys import phone_digits, phone_hash
 from tidewell.sources.scratch import cleared, written
 
 
@@ -19,19 +19,19 @@ def allocate_once(wants: DataFrame, agent: str, place: str, item: str, cap: str)
     """
     rows = wants.select(agent, place, item, cap).filter(F.col(item).isNotNull())
     # an agent wants an item once, at its first place
-    open_ = written(rows.groupBy(agent, item).agg(F.min(F.struct(place, cap)).alias("w")).select(agent, item, F.col(f"w.{place}").alias(place), F.col(f"w.{cap}").alias(cap), F.col(f"w.{cap}").cast("int").alias("left")), "wishes")
+    once = rows.groupBy(agent, item).agg(F.min(F.struct(place, cap)).alias("w")).select(agent, item, F.col(f"w.{place}").alias(place), F.col(f"w.{cap}").alias(cap), F.col(f"w.{cap}").cast("int").alias("left"), F.lit(False).alias("got"))
+    state = written(once, "wishes")
+    w = Window.partitionBy(agent).orderBy(place)
     granted: list[DataFrame] = []
-    while not open_.isEmpty():
-        first = open_.groupBy(item).agg(F.min(agent).alias("__first"))
-        w = Window.partitionBy(agent).orderBy(place)
-        ranked = open_.withColumn("__before", F.row_number().over(w) - 1).filter("__before < left").join(first, item).filter(F.col(agent) == F.col("__first"))
-        now = written(ranked.select(agent, place, item, cap), "granted")
-        granted.append(now)
-        gone = now.select(item)
-        got = now.groupBy(agent).agg(F.count("*").cast("int").alias("__n"))
-        left = open_.join(gone, item, "left_anti").join(got, agent, "left").withColumn("left", F.col("left") - F.coalesce("__n", F.lit(0))).filter("left > 0")
-        old, open_ = open_, written(left.select(agent, item, place, cap, "left"), "wishes")
+    while not state.filter("NOT got").isEmpty():
+        # the state holds the wishes of the last round as well, so that what they took is gone in this one
+        first = state.groupBy(item).agg(F.min(agent).alias("__first"), F.max("got").alias("__gone")).filter("NOT __gone").drop("__gone")
+        ranked = state.join(first, item).withColumn("got", (F.row_number().over(w) <= F.col("left")) & (F.col(agent) == F.col("__first")))
+        after = ranked.withColumn("left", F.col("left") - F.sum(F.col("got").cast("int")).over(Window.partitionBy(agent)).cast("int"))
+        old, state = state, written(after.filter("got OR left > 0").select(agent, item, place, cap, "left", "got"), "wishes")
         cleared(old)
+        granted.append(written(state.filter("got").select(agent, place, item, cap), "granted"))
+    cleared(state)
     if not granted:
         return rows.limit(0)
     out = granted[0]
@@ -48,10 +48,15 @@ def lead_numbers(rows: DataFrame, people: DataFrame, tried: DataFrame, order: st
     two numbers, the main person's, then the offices' and takes three; then each further person takes their own number, if it
     is still free: a lead of their own (person). Numbers are equal by the hash of their last eight digits; shorter ones than six digits don't count.
     """
-    main = people.filter("person = 0").select(order, F.col("phone").alias("__main"))
-    wanted = rows.join(main, order, "left").select(order, "institute", F.posexplode(F.concat(F.slice("numbers", 1, 2), F.array("__main"), F.slice("numbers", 3, 1_000_000))).alias("k", "number")).withColumn("person", F.lit(0))
-    others = people.filter("person > 0").join(rows.select(order, "institute"), order).select(order, "institute", F.lit(0).alias("k"), F.col("phone").alias("number"), "person")
-    wishes = wanted.unionByName(others).withColumn("hash", phone_hash(F.col("number"))).filter("hash IS NOT NULL").join(tried.select("institute", "hash"), ["institute", "hash"], "left_anti")
-    asked = wishes.select(F.struct(order, "person").alias("agent"), "k", "hash", F.when(F.col("person") == 0, most).otherwise(1).alias("cap"), "number")
-    got = allocate_once(asked, "agent", "k", "hash", "cap")
-    return got.join(asked.select("agent", "k", "number"), ["agent", "k"]).select(f"agent.{order}", "agent.person", "k", F.btrim("number").alias("number"))
+    # one join brings a row's persons, few, beside its numbers
+    beside = people.groupBy(order).agg(F.collect_list(F.struct("person", "phone")).alias("__p"))
+    main = F.get(F.filter("__p", lambda p: p["person"] == 0), 0)["phone"]
+    own = F.struct(F.lit(0).alias("person"), F.concat(F.slice("numbers", 1, 2), F.array(main), F.slice("numbers", 3, 1_000_000)).alias("numbers"))
+    others = F.transform(F.filter(F.coalesce("__p", F.array()), lambda p: p["person"] > 0), lambda p: F.struct(p["person"].cast("int").alias("person"), F.array(p["phone"]).alias("numbers")))
+    leads = rows.join(beside, order, "left").select(order, "institute", F.explode(F.concat(F.array(own), others)).alias("__l"))
+    wanted = leads.select(order, "institute", F.col("__l.person").alias("person"), F.posexplode("__l.numbers").alias("k", "number"))
+    wishes = wanted.filter(F.char_length(phone_digits(F.col("number"))) >= 6).withColumn("hash", phone_hash(F.col("number"))).join(tried.select("institute", "hash"), ["institute", "hash"], "left_anti")
+    # the number rides behind its place, so that no wish is made twice
+    asked = wishes.select(F.struct(order, "person").alias("agent"), F.struct("k", F.btrim("number").alias("number")).alias("place"), "hash", F.when(F.col("person") == 0, most).otherwise(1).alias("cap"))
+    got = allocate_once(asked, "agent", "place", "hash", "cap")
+    return got.select(f"agent.{order}", "agent.person", "place.k", "place.number")

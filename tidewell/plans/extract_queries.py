@@ -94,11 +94,12 @@ SELECT entity, kind, coalesce(partners, 0) AS partners, coalesce(first, 0) AS fi
 
 def lead_numbers(spark: SparkSession, d: str) -> DataFrame:
     """Orders as rows of a dialler's file: parts as the sheet's numbers, suppliers as further persons', returned parts as tried by the customer."""
-    phone = lambda c: F.concat(F.lit("+49 30 "), F.lpad(F.col(c).cast("string"), 6, "0"))
-    li = table(spark, d, "lineitem").join(table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("institute")), "l_orderkey")
-    rows = li.groupBy(F.col("l_orderkey").alias("row"), "institute").agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey"))), lambda x: F.concat(F.lit("+49 30 "), F.lpad(x["l_partkey"].cast("string"), 6, "0"))).alias("numbers"))
+    phone = lambda c: F.concat(F.lit("+49 30 "), F.lpad((F.col(c) if isinstance(c, str) else c).cast("string"), 6, "0"))
+    li, institute = table(spark, d, "lineitem"), table(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("institute"))
+    parts = li.groupBy(F.col("l_orderkey").alias("row")).agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey"))).alias("p"))
+    rows = parts.join(institute, F.col("row") == F.col("o_orderkey")).select("row", "institute", F.transform("p", lambda x: phone(x["l_partkey"])).alias("numbers"))
     people = li.groupBy(F.col("l_orderkey").alias("row"), (F.col("l_linenumber") - 1).alias("person")).agg(F.min(phone("l_suppkey")).alias("phone"))
-    tried = li.filter("l_returnflag = 'R'").select("institute", keys.phone_hash(phone("l_partkey")).alias("hash")).distinct()
+    tried = li.filter("l_returnflag = 'R'").join(institute, F.col("l_orderkey") == F.col("o_orderkey")).select("institute", "l_partkey").distinct().select("institute", keys.phone_hash(phone("l_partkey")).alias("hash"))
     out = allocation.lead_numbers(rows, people, tried, "row")
     return out.select("row", F.col("person").cast("bigint").alias("person"), F.col("k").cast("bigint").alias("k"), "number")
 
