@@ -27,9 +27,13 @@ def _fold_table() -> tuple[str, str]:
 ACCENTED, PLAIN = _fold_table()
 
 
+def _ascii(x: Column) -> Column:
+    return F.octet_length(x) == F.char_length(x)
+
+
 def fold(x: Column) -> Column:
-    """Lower case without accents; loose combining marks go."""
-    return F.regexp_replace(F.translate(F.lower(x), ACCENTED, PLAIN), r"\p{M}+", "")
+    """Lower case without accents; loose combining marks go. Plain ASCII, as many bytes as characters, has neither."""
+    return F.when(_ascii(x), F.lower(x)).otherwise(F.regexp_replace(F.translate(F.lower(x), ACCENTED, PLAIN), r"\p{M}+", ""))
 
 
 def ascii_key(x: Column) -> Column:
@@ -49,8 +53,9 @@ def folded_key(x: Column) -> Column:
 
 def comparable(x: Column) -> Column:
     """For comparing quotes: folded, quotes and dashes unified, white space collapsed, punctuation kept."""
-    plain = F.translate(fold(x), "‘’“”–— ", "''\"\"-- ")
-    return F.btrim(F.regexp_replace(F.replace(plain, F.lit("ß"), F.lit("ss")), r"\s+", " "))
+    wide = F.translate(fold(x), "‘’“”–— ", "''\"\"-- ")
+    plain = F.when(_ascii(x), F.lower(x)).otherwise(F.replace(wide, F.lit("ß"), F.lit("ss")))
+    return F.btrim(F.regexp_replace(plain, r"\s+", " "))
 
 
 def address_key(x: Column) -> Column:
