@@ -3,8 +3,12 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from tidewell.functions import contacts as ct
-from tidewell.operators import allocation, resolve, similar
+from tidewell.functions import keys
+from tidewell.functions import text as tx
+from tidewell.operators import allocation, resolve, similar, verification
 
 
 def most_rows(df):
@@ -65,3 +69,39 @@ def test_role_gate_and_stems_lose_nothing():
     for stem in ct.ROLE_STEMS:
         for x in (stem, f"a{stem}b", stem[:-1], stem[1:], stem + rnd.choice(ct.ROLE_STEMS)):
             assert bool(re.search("|".join(ct.ROLE_STEMS), x)) == bool(re.search(ct.ANY_STEM, x)), x
+
+
+def test_contact_notes_judges_once_and_sends_no_text_on(spark):
+    who = spark.createDataFrame([(k, "Eva Lang", "eva@g.at", "", f"http://g.at/{k % 3}", "Eva Lang", "http://g.at/1", "g.at") for k in range(9)], "id int, name string, email string, phone string, source_url string, evidence_quote string, email_source_url string, official string")
+    pages = spark.createDataFrame([(f"http://g.at/{k}", f"Eva  Lang {k}" + " eva@g.at" * (k > 0), False) for k in range(3)], "url string, text string, uncertified boolean")
+    out = verification.contact_notes(who, pages, "id")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("quote not on page") == 1 and len(re.findall(r"locate\(", plan)) <= 2
+    assert {r["id"]: r["verified"] for r in out.collect()} == {k: True for k in range(9)}
+
+
+def test_addresses_by_runs_are_those_of_the_plain_pattern(spark):
+    rnd = random.Random(5)
+    said = ["".join(rnd.choice(["a", "b.", "-", "_", "@a", "@", ".b", " ", "%", "<"]) for _ in range(rnd.randint(0, 40))) for _ in range(3000)] + ["a@b.com_x@y.com z@q", "a" * 30_000, "x@y.z@u.v.w", ""]
+    df = spark.createDataFrame([(x,) for x in said], "x string")
+    found = lambda p: F.regexp_extract_all("x", F.lit(f"({p})"), F.lit(1))
+    got = df.select(found(tx.EMAIL).alias("a"), found(tx.EMAIL_ONCE).alias("b")).collect()
+    assert all(r["a"] == r["b"] for r in got) and sum(len(r["a"]) for r in got) > 300
+
+
+def test_pieces_that_stand_letter_for_letter_change_no_verdict(spark):
+    rnd = random.Random(6)
+    mixed = lambda n: "".join(rnd.choice("aAéÉΣσ ß \n “'́İ.") for _ in range(rnd.randint(0, n)))
+    rows = [("ΟΔΟΣ", "ΟΔΟΣΑ"), ("ΟΔΟΣΑ", "ΟΔΟΣΑ"), ("a...b", "a...b"), ("ab", "ab"), ("  ab ", "x  ab y")]
+    for _ in range(1500):
+        t = mixed(30)
+        k = rnd.randint(0, len(t))
+        rows.append((rnd.choice([t[k : k + rnd.randint(0, 9)], mixed(4)]), t))
+    df = spark.createDataFrame(rows, "p string, t string")
+    plain = F.contains(keys.comparable(F.col("t")), keys.comparable(F.col("p")))
+    slow = F.size(F.split("p", r"\.\.\.")) == 1
+    long = F.char_length(keys.comparable(F.col("p"))) >= 3
+    wide = F.btrim(F.regexp_replace(F.replace(F.translate(keys.fold(F.col("t")), "“ ", '" '), F.lit("ß"), F.lit("ss")), r"\s+", " "))
+    got = df.select("p", "t", plain.alias("a"), tx.comparable_in(F.col("p"), F.col("t")).alias("b"), (slow & long & plain).alias("c"), tx.quote_in_text(F.col("p"), F.col("t")).alias("d"), slow.alias("s"), (keys.comparable(F.col("t")) == wide).alias("k"), F.contains(F.lower("t"), F.lower(F.btrim("p"))).alias("e"), tx.email_in_text(F.col("p"), F.col("t")).alias("f")).collect()
+    for r in got:
+        assert r["k"] and r["a"] == r["b"] and (not r["s"] or r["c"] == r["d"]) and (r["p"].strip(" ") == "" or r["e"] == r["f"]), r

@@ -53,9 +53,9 @@ def folded_key(x: Column) -> Column:
 
 def comparable(x: Column) -> Column:
     """For comparing quotes: folded, quotes and dashes unified, white space collapsed, punctuation kept."""
-    wide = F.translate(fold(x), "‘’“”–— ", "''\"\"-- ")
+    wide = F.regexp_replace(F.translate(F.lower(x), ACCENTED + "‘’“”–—\u00a0", PLAIN + "''\"\"-- "), r"\p{M}+", "")
     plain = F.when(_ascii(x), F.lower(x)).otherwise(F.replace(wide, F.lit("ß"), F.lit("ss")))
-    return F.btrim(F.regexp_replace(plain, r"\s+", " "))
+    return F.btrim(F.regexp_replace(plain, r"[^\S ]\s*| \s+", " "))  # lone spaces stay as they are
 
 
 def address_key(x: Column) -> Column:
@@ -94,7 +94,7 @@ def registrable_domain(host_: Column, second_levels: tuple[str, ...] = ("co", "c
 
 
 def phone_digits(x: Column) -> Column:
-    return F.regexp_replace(x, "[^0-9]", "")
+    return F.regexp_replace(x, "[^0-9]+", "")
 
 
 def phone_hash(x: Column) -> Column:

@@ -34,6 +34,8 @@ ENDINGS = (
     "lv lt lu is tr rs ua ru mk al ba me xk ad li us ca"
 ).split()
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+#: The same matches, each run of characters tried once: from its beginning or behind the match before.
+EMAIL_ONCE = EMAIL.replace("[A-Za-z0-9._%+-]+@", r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@")
 
 
 def attempt_categories(text: Column) -> Column:
@@ -78,11 +80,22 @@ def repaired_email(x: Column) -> Column:
     return F.regexp_replace(bare, rf"^([^@]*@(?:[^.]+\.)*?[^.]+\.(?:{'|'.join(ENDINGS)}))(?=[A-Z]).*$", "$1")
 
 
+def marked_emails(text: Column) -> Column:
+    """Addresses between angle brackets, without marks at their end."""
+    found = F.regexp_extract_all(text, F.lit(r"<([^<>\s@]+@[^<>\s]+)>"), F.lit(1))
+    return F.when(~F.contains(text, F.lit("<")), F.array().cast("array<string>")).otherwise(F.transform(found, lambda x: F.regexp_replace(x, "[.,;:]+$", "")))
+
+
+def plain_emails(text: Column) -> Column:
+    """All addresses in order, repaired."""
+    return F.transform(F.regexp_extract_all(text, F.lit(f"({EMAIL_ONCE})"), F.lit(1)), repaired_email)
+
+
 def emails_in(text: Column) -> Column:
-    """Distinct addresses in order: marked ones (<address>) alone if there are any, else all, repaired."""
-    marked = F.transform(F.regexp_extract_all(text, F.lit(r"<([^<>\s@]+@[^<>\s]+)>"), F.lit(1)), lambda x: F.regexp_replace(x, "[.,;:]+$", ""))
-    found = F.transform(F.regexp_extract_all(text, F.lit(f"({EMAIL})"), F.lit(1)), repaired_email)
-    return F.array_distinct(F.when(F.size(marked) > 0, marked).otherwise(found))
+    """Distinct addresses in order: marked ones (<address>) alone if there are any, else all, repaired. A text without the sign is not searched."""
+    marked = marked_emails(text)
+    found = F.array_distinct(F.when(F.size(marked) > 0, marked).otherwise(plain_emails(text)))
+    return F.when(~F.contains(text, F.lit("@")), F.array().cast("array<string>")).otherwise(found)
 
 
 def first_phone(text: Column) -> Column:
@@ -91,11 +104,17 @@ def first_phone(text: Column) -> Column:
     return F.get(F.filter(found, lambda x: F.char_length(phone_digits(x)) >= 8), 0)
 
 
+def stands_in(piece: Column, text: Column) -> Column:
+    """Whether the piece stands in the text letter for letter, which lower case and comparable() keep but for a sigma, whose form tells the end of a word."""
+    return F.contains(text, piece) & ~F.contains(piece, F.lit("Σ"))
+
+
 def quote_in_text(quote: Column, text: Column) -> Column:
     """True if the fragments of the quote, parted by dots of omission, stand in the text in this order.
 
-    Both are made comparable first. A lone fragment of under three characters doesn't count.
+    Both are made comparable first, unless the quote stands there letter for letter. A lone fragment of under three characters doesn't count.
     """
+    whole = stands_in(quote, text) & (F.char_length(comparable(quote)) >= 3) & ~quote.rlike(r"\.\.\.|…")
     parts = F.filter(F.transform(F.split(F.coalesce(quote, F.lit("")), r"\s*(?:\.\.\.|…)\s*"), comparable), lambda x: x != "")
     hay = comparable(F.coalesce(text, F.lit("")))
     bound = F.transform(
@@ -111,11 +130,17 @@ def quote_in_text(quote: Column, text: Column) -> Column:
             > 0
         ),
     )
-    return bound[0]
+    return F.when(F.coalesce(whole, F.lit(False)), True).otherwise(bound[0])
+
+
+def comparable_in(piece: Column, text: Column) -> Column:
+    """Whether the piece, made comparable, stands in the text, made comparable."""
+    return F.when(stands_in(piece, text), True).otherwise(F.contains(comparable(text), comparable(piece)))
 
 
 def email_in_text(email: Column, text: Column) -> Column:
-    return (F.btrim(email) != "") & F.contains(F.lower(text), F.lower(F.btrim(email)))
+    e = F.btrim(email)
+    return (e != "") & F.when(stands_in(e, text), True).otherwise(F.contains(F.lower(text), F.lower(e)))
 
 
 def phone_in_text(phone: Column, text: Column) -> Column:
