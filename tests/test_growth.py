@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidewell.functions import contacts as ct
 from tidewell.functions import keys
 from tidewell.functions import text as tx
-from tidewell.operators import allocation, resolve, similar, verification
+from tidewell.operators import allocation, inboxes, resolve, similar, verification
 
 
 def most_rows(df):
@@ -105,3 +105,37 @@ def test_pieces_that_stand_letter_for_letter_change_no_verdict(spark):
     got = df.select("p", "t", plain.alias("a"), tx.comparable_in(F.col("p"), F.col("t")).alias("b"), (slow & long & plain).alias("c"), tx.quote_in_text(F.col("p"), F.col("t")).alias("d"), slow.alias("s"), (keys.comparable(F.col("t")) == wide).alias("k"), F.contains(F.lower("t"), F.lower(F.btrim("p"))).alias("e"), tx.email_in_text(F.col("p"), F.col("t")).alias("f")).collect()
     for r in got:
         assert r["k"] and r["a"] == r["b"] and (not r["s"] or r["c"] == r["d"]) and (r["p"].strip(" ") == "" or r["e"] == r["f"]), r
+
+
+def joined_columns(node):
+    """Names of the columns that any join of a plan is given."""
+    kids = [node.children().apply(i) for i in range(node.children().size())]
+    own = {k.output().apply(i).name() for k in kids for i in range(k.output().size())} if node.nodeName() == "Join" else set()
+    return own.union(*map(joined_columns, kids))
+
+
+def test_shared_inboxes_joins_no_text(spark):
+    pages = spark.createDataFrame([("a", 0, "https://a.org/", "Site by x@studio.org\nwrite to school.a@gmail.com"), ("a", 1, "https://a.org/contact", "Design: maker.a@gmail.com maker.a@gmail.com")], "entity string, i int, url string, text string")
+    sites = spark.createDataFrame([("a", "https://a.org/", "Some Name")], "entity string, site string, name string")
+    out = inboxes.shared_inboxes(pages, sites, "entity")
+    assert [tuple(r) for r in out.collect()] == [("a", "school.a@gmail.com", "https://a.org/", 3)]
+    joined = joined_columns(out._jdf.queryExecution().optimizedPlan())
+    assert "email" in joined and "text" not in joined
+
+
+def test_page_emails_are_those_of_the_plain_patterns(spark):
+    rnd = random.Random(8)
+    parts = ["a", "b.c", "@x.org", "@", " ", "\n", "\t", "<", ">", " [at] ", "(dot)", "{ AT }", "( . )", "(", "]", "?", "%20", ".;", "Info", "x.deFax"]
+    said = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 14))) for _ in range(2500)]
+    df = spark.createDataFrame([(x,) for x in [*said, None]], "x string")
+    x = F.col("x")
+    all_of = lambda t: F.transform(F.regexp_extract_all(t, F.lit(f"({tx.EMAIL})"), F.lit(1)), tx.repaired_email)
+    marked = lambda t: F.transform(F.regexp_extract_all(t, F.lit(r"<([^<>\s@]+@[^<>\s]+)>"), F.lit(1)), lambda e: F.regexp_replace(e, "[.,;:]+$", ""))
+    either = lambda t: F.array_distinct(F.when(F.size(marked(t)) > 0, marked(t)).otherwise(all_of(t)))
+    plain = F.regexp_replace(F.regexp_replace(x, r"(?i)\s*[\[({]\s*(?:at|@|arroba|chez)\s*[\])}]\s*", "@"), r"(?i)\s*[\[({]\s*(?:dot|punkt|point|punto|\.)\s*[\])}]\s*", ".")
+    bare = F.transform(F.concat(either(plain), all_of(plain)), lambda e: F.lower(F.regexp_replace(F.substring_index(e, "?", 1), "^(?:%20)+", "")))
+    slow = F.array_distinct(F.filter(bare, lambda e: F.contains(e, F.lit("@"))))
+    got = df.select("x", either(x).alias("a"), tx.emails_in(x).alias("b"), slow.alias("c"), ct.page_emails(x).alias("d")).collect()
+    for r in got:
+        assert r["a"] == r["b"] and r["c"] == r["d"], r
+    assert sum(len(r["d"] or []) for r in got) > 300

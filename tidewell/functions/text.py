@@ -91,11 +91,21 @@ def plain_emails(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit(f"({EMAIL_ONCE})"), F.lit(1)), repaired_email)
 
 
+def sign_words(text: Column) -> Column:
+    """The words of a text that hold the sign, in order, parted by spaces: an address stands nowhere else, marked or not."""
+    holds = lambda x: F.contains(x, F.lit("@"))
+    lines = F.array_join(F.filter(F.split(text, "\n"), holds), " ")
+    return F.array_join(F.filter(F.split(lines, " "), holds), " ")
+
+
 def emails_in(text: Column) -> Column:
-    """Distinct addresses in order: marked ones (<address>) alone if there are any, else all, repaired. A text without the sign is not searched."""
-    marked = marked_emails(text)
-    found = F.array_distinct(F.when(F.size(marked) > 0, marked).otherwise(plain_emails(text)))
-    return F.when(~F.contains(text, F.lit("@")), F.array().cast("array<string>")).otherwise(found)
+    """Distinct addresses in order: marked ones (<address>) alone if there are any, else all, repaired."""
+
+    def found(t: Column) -> Column:
+        marked = marked_emails(t)
+        return F.array_distinct(F.when(F.size(marked) > 0, marked).otherwise(plain_emails(t)))
+
+    return F.when(~F.contains(text, F.lit("@")), F.array().cast("array<string>")).otherwise(F.transform(F.array(sign_words(text)), found)[0])
 
 
 def first_phone(text: Column) -> Column:

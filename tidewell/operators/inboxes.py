@@ -55,17 +55,22 @@ def shared_inboxes(pages: DataFrame, sites: DataFrame, entity: str) -> DataFrame
     known = hosts.join(sites.select(entity, tokens.alias("named")), entity, "left")
     own_words = F.array_union(F.flatten(F.transform("hosts", lambda h: domain_words(F.concat(h, F.lit(".x"))))), F.coalesce("named", F.array().cast("array<string>")))
     known = known.select(entity, "hosts", F.array_distinct(own_words).alias("own"), F.transform("hosts", lambda h: F.substring_index(h, ".", 1)).alias("labels"))
-    each = pages.select(entity, "i", "url", "text", F.explode(page_emails(F.coalesce("text", F.lit("")))).alias("email")).join(known, entity)
-    each = each.withColumns({"local": F.substring_index("email", "@", 1), "at": F.substring_index("email", "@", -1)}).filter(~F.col("local").rlike(NOT_SHARED))
+    # What the text tells of an address is asked before the join, so no text goes into it; a page's own address, of which nothing more is asked, needs no line.
+    local, at = lambda e: F.substring_index(e, "@", 1), lambda e: F.substring_index(e, "@", -1)
+    line = lambda e: F.coalesce(F.get(F.filter(F.split("text", "\n"), lambda x: F.contains(F.lower(x), local(e))), 0), F.lit(""))
+    home = lambda e: (at(e) != "") & (at(e) == F.col("h"))
+    barred = lambda e: F.when(F.coalesce(home(e), F.lit(False)), False).when(at(e).rlike(PLATFORM) | local(e).rlike(PLACEHOLDER), True).otherwise(line(e).rlike(MAKER))
+    shared = F.filter(page_emails(F.coalesce("text", F.lit(""))), lambda e: ~local(e).rlike(NOT_SHARED))
+    each = pages.withColumn("h", host(F.col("url"))).select(entity, "i", "url", F.explode(F.transform(shared, lambda e: F.struct(e.alias("email"), barred(e).alias("barred")))).alias("f"))
+    each = each.select(entity, "i", "url", "f.*").join(known, entity).withColumns({"local": local(F.col("email")), "at": at(F.col("email"))})
     sub = lambda a, b: a.endswith(F.concat(F.lit("."), b))
     own = F.exists("hosts", lambda h: (F.col("at") == h) | sub(F.col("at"), h) | sub(h, F.col("at")))
     named = (F.char_length("local") >= 3) & F.exists("labels", lambda n: F.contains(n, F.col("local")) | F.contains(F.col("local"), n))
     tier = F.when(F.col("local").rlike(INTERNATIONAL), 0).when(F.col("local").rlike(f"^({'|'.join(OFFICES)})") | named, 1).otherwise(2)
-    line = F.coalesce(F.get(F.filter(F.split("text", "\n"), lambda x: F.contains(F.lower(x), F.col("local"))), 0), F.lit(""))
     words = domain_words(F.col("at"))
     sister = (F.size(words) > 0) & F.forall(words, lambda w: F.exists("own", lambda o: F.contains(o, w) | F.contains(w, o)))
     free = F.col("at").rlike(FREE) & ((F.col("i") == 0) | F.col("url").rlike(MEETING))
-    other = ~F.col("at").rlike(PLATFORM) & ~F.col("local").rlike(PLACEHOLDER) & ~line.rlike(MAKER) & (sister | F.col("at").rlike(AUTHORITY) | free)
+    other = ~F.col("barred") & (sister | F.col("at").rlike(AUTHORITY) | free)
     ranked = each.withColumn("tier", F.when(own, tier).when(other, 3)).filter("tier IS NOT NULL")
     counted = ranked.groupBy(entity, "email").agg(F.max("tier").alias("tier"), F.count("*").alias("n"), F.min(F.struct("i", "url")).alias("first"))
     best = counted.groupBy(entity).agg(F.min(F.struct("tier", (-F.col("n")).alias("n"), F.col("first.i").alias("i"), "email", F.col("first.url").alias("url"))).alias("b"))
