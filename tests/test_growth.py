@@ -61,6 +61,49 @@ def test_lead_numbers_makes_no_wish_twice(spark):
     assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
 
 
+def counting(monkeypatch):
+    """How many rows each table has that the allocation writes for its rounds."""
+    put, many = allocation.written, []
+
+    def seen(df, tag):
+        out = put(df, tag)
+        if tag == "wishes":
+            many.append(out.count())
+        return out
+
+    monkeypatch.setattr(allocation, "written", seen)
+    return many
+
+
+def test_lead_numbers_keep_wishes_for_numbers_long_gone_off_the_disk(spark, monkeypatch):
+    many = counting(monkeypatch)
+    number = lambda k: f"+49 30 {k % 40:06d}"
+    rows = [(k, "i", [number(7 * k + j) for j in range(5)]) for k in range(2000)]
+    people = [(k, p, number(k + p)) for k in range(2000) for p in range(3)]
+    out = allocation.lead_numbers(spark.createDataFrame(rows, "row int, institute string, numbers array<string>"), spark.createDataFrame(people, "row int, person int, phone string"), spark.createDataFrame([], "institute string, hash string"), "row")
+    assert sorted(r["number"] for r in out.collect()) == [number(k) for k in range(40)]
+    assert many[0] < 2000 and sum(many) < 3000  # of 16,000 wishes
+
+
+def test_wishes_fall_once_an_earlier_agent_surely_takes_the_item(spark, monkeypatch):
+    many = counting(monkeypatch)
+    wants = spark.createDataFrame([(a, p, p, 2) for a in range(200) for p in range(6)], "agent int, place int, item int, cap int")
+    got = allocation.allocate_once(wants, "agent", "place", "item", "cap")
+    assert sorted((r["agent"], r["item"]) for r in got.collect()) == [(k // 2, k) for k in range(6)]
+    assert many[0] == 1200 and many[1] < 820  # all wished for 0 and 1, that the first of all takes, fell at once
+
+
+def test_lead_numbers_hold_where_keys_repeat_and_every_row_tells(spark, monkeypatch):
+    monkeypatch.setattr(allocation, "TELLING", 1, raising=False)
+    number = lambda k: f"+49 30 {k:06d}"
+    people = spark.createDataFrame([(1, 1, number(1)), (1, 1, number(2)), (2, 1, number(2)), (3, 1, number(1)), (3, 2, number(3))], "row int, person int, phone string")
+    rows = spark.createDataFrame([(k, None if k == 2 else "i", []) for k in (1, 2, 3)], "row int, institute string, numbers array<string>")
+    tried = spark.createDataFrame([("i", number(3)), (None, number(2))], "institute string, phone string").select("institute", keys.phone_hash(F.col("phone")).alias("hash"))
+    got = allocation.lead_numbers(rows, people, tried, "row")
+    # a lead named twice takes one number, so that the other is still there; nobody's tries are nobody's
+    assert sorted((r["row"], r["person"], r["number"][-1]) for r in got.collect()) == [(1, 1, "1"), (2, 1, "2")]
+
+
 def test_role_gate_and_stems_lose_nothing():
     said = ["erasmus+ officer", "head of the international", "vice rector for international", "geschaftsfuhrer", "gerant", "proprietaire", "head master", "co-founder", "projektleiter", "ingles docente", "secretar", "mobility manager", "auslandsamt", "faculte x erasmus"]
     for x in said:

@@ -20,6 +20,10 @@ from .rule_queries import TOK
 READ = [(" the ", " Erasmus coordinator "), (" de ", " Director "), (" and ", " Partner "), (" of ", " School "), (" que ", " University "), (" th", " Th"), (" e", " E")]
 
 
+#: Lines of orders that a task holds at most where shuffle partitions would be larger.
+LINES_A_TASK = 1_000_000
+
+
 def _lines(spark: SparkSession, d: str) -> DataFrame:
     """Sentences of all documents as lines: entity, page (ten lines), n from 1, line."""
     said = F.replace(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit(". "))
@@ -95,11 +99,16 @@ SELECT entity, kind, coalesce(partners, 0) AS partners, coalesce(first, 0) AS fi
 def lead_numbers(spark: SparkSession, d: str) -> DataFrame:
     """Orders as rows of a dialler's file: parts as the sheet's numbers, suppliers as further persons', returned parts as tried by the customer."""
     phone = lambda c: F.concat(F.lit("+49 30 "), F.lpad((F.col(c) if isinstance(c, str) else c).cast("string"), 6, "0"))
-    li, institute = table(spark, d, "lineitem"), table(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("institute"))
-    parts = li.groupBy(F.col("l_orderkey").alias("row")).agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey"))).alias("p"))
-    rows = parts.join(institute, F.col("row") == F.col("o_orderkey")).select("row", "institute", F.transform("p", lambda x: phone(x["l_partkey"])).alias("numbers"))
-    people = li.groupBy(F.col("l_orderkey").alias("row"), (F.col("l_linenumber") - 1).alias("person")).agg(F.min(phone("l_suppkey")).alias("phone"))
-    tried = li.filter("l_returnflag = 'R'").join(institute, F.col("l_orderkey") == F.col("o_orderkey")).select("institute", "l_partkey").distinct().select("institute", keys.phone_hash(phone("l_partkey")).alias("hash"))
+    institute = table(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("institute"))
+    li = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("row"), "l_linenumber", "l_partkey", "l_suppkey", F.coalesce(F.col("l_returnflag") == "R", F.lit(False)).alias("returned"))
+    # rows, people and tried are all read from the one shuffle of the lines
+    n = -(-li.count() // LINES_A_TASK)
+    dealt = li.repartition(n, "row") if n > int(spark.conf.get("spark.sql.shuffle.partitions")) else li.repartition("row")
+    lines = dealt.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "returned"))).alias("p"))
+    filed = lines.join(institute, F.col("row") == F.col("o_orderkey")).select("row", "institute", "p")
+    rows = filed.select("row", "institute", F.transform("p", lambda x: phone(x["l_partkey"])).alias("numbers"))
+    people = lines.select("row", F.explode("p").alias("x")).groupBy("row", (F.col("x.l_linenumber") - 1).alias("person")).agg(F.min(phone("x.l_suppkey")).alias("phone"))
+    tried = filed.select("institute", F.explode(F.filter("p", lambda x: x["returned"])).alias("x")).select("institute", keys.phone_hash(phone("x.l_partkey")).alias("hash"))
     out = allocation.lead_numbers(rows, people, tried, "row")
     return out.select("row", F.col("person").cast("bigint").alias("person"), F.col("k").cast("bigint").alias("k"), "number")
 
